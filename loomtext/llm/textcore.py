@@ -16,7 +16,7 @@ import numpy as np
 SHINGLE_WORDS = 5
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_BATCH_BYTES = 2_000_000
+_BATCH_BYTES = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
