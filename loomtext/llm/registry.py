@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import neardup
+from . import chat, decontaminate, media, neardup, packing, secrets, sharding, toxicity, urlfilter
 
 QUERIES = {
+    "op1_url_filters": urlfilter.op1_url_filters,
+    "op2_secret_scans": secrets.op2_secret_scans,
+    "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
+    "op4_sharding": sharding.op4_sharding,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_minhash_near_dedup": neardup.op8_minhash_near_dedup,
+    "op9_media_columns": media.op9_media_columns,
+    "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
 ORACLES: dict[str, str] = {}
