@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, media, neardup, packing, secrets, sharding, toxicity, urlfilter
+from . import chat, decontaminate, licenses, media, neardup, packing, secrets, sharding, toxicity, urlfilter
 
 QUERIES = {
     "op1_url_filters": urlfilter.op1_url_filters,
     "op2_secret_scans": secrets.op2_secret_scans,
     "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
     "op4_sharding": sharding.op4_sharding,
+    "op5_license_scans": licenses.op5_license_scans,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_minhash_near_dedup": neardup.op8_minhash_near_dedup,
