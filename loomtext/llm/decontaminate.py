@@ -204,15 +204,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs without the rows that leak an item."""
     for index in item_parts(benchmark, item_id, item_text):
+        docs = docs.where(~_leaking(index)(F.col(text)))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def leaks(texts: pd.Series, index: ItemIndex = index) -> pd.Series:
-            found = np.zeros(len(texts), dtype=bool)
-            found[[row for row, *_ in index.search(texts.tolist())]] = True
-            return pd.Series(found)
 
-        docs = docs.where(~leaks(F.col(text)))
-    return docs
+def _leaking(index: ItemIndex):
+    @F.pandas_udf("boolean")
+    def leaks(texts: pd.Series) -> pd.Series:
+        found = np.zeros(len(texts), dtype=bool)
+        found[[row for row, *_ in index.search(texts.tolist())]] = True
+        return pd.Series(found)
+
+    return leaks
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
