@@ -1,26 +1,62 @@
-"""A corpus pipeline of five stages: toxicity, near-duplicates, decontamination, secrets, packing."""
+"""A corpus pipeline over `documents`: toxicity, near-duplicates, benchmark decontamination, secrets, packing.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
+stage's docs. All stages but the last return the columns of documents; each works on all rows that its predecessor kept.
+A null text goes through every stage (it is not toxic, not a copy, leaks nothing, has no secret, and packs as an end id).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomtext.llm import neardup
+from loomtext.llm import decontaminate, neardup, packing, secrets, toxicity
+from loomtext.session import materialise, table
 
+#: Tokenizing and the trained models are beyond SQL; the tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ordinal model rejects go. The model is fitted on labelled rows of docs."""
+    return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays."""
     return neardup.drop_near_duplicates(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from loomtext.session import materialise
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in texts are replaced; n_chars follows where the text changed."""
+    clean = secrets.redact_secrets(docs.withColumn("_before", F.col("text")))
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("text") != F.col("_before"), F.length("text").cast(docs.schema["n_chars"].dataType))
+        clean = clean.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
+    return clean.select(*docs.columns)
+
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("secrets", redact_secrets),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
