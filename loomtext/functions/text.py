@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters that separate words (the Unicode white space that str.split() knows), for use inside a regex class.
 SPACE = "\t-\r\x1c-\x20\x85\xa0  -     　"
@@ -16,7 +17,7 @@ LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 _DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())  # a type, not a name: workers import this module without a session
 def normalized(text: pd.Series) -> pd.Series:
     """NFKC, case folding and single blanks: the identity of a text. Arrow UDF: Spark has neither NFKC nor case folding."""
     fold = lambda t: None if t is None else " ".join(unicodedata.normalize("NFKC", t).casefold().split())

@@ -12,13 +12,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .evaluate import choose_threshold, evaluate
 
 FEATURES, MIN_DOCUMENTS, LENGTHS = 75_000, 3, (3, 4, 5)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def character_ngrams(text: pd.Series) -> pd.Series:
     """All character 3- to 5-grams of the lower-cased text with single blanks."""
 
