@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import chat, decontaminate, licenses, media, neardup, packing, secrets, sharding, toxicity, urlfilter
+from .oracles import ORACLES
 
 QUERIES = {
     "op1_url_filters": urlfilter.op1_url_filters,
@@ -17,4 +18,4 @@ QUERIES = {
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
