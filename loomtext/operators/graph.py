@@ -33,7 +33,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", n
     if nodes is not None:
         key = nodes.columns[0]
         alone = nodes.select(F.col(key).alias("node")).where(F.col("node").isNotNull()).distinct()
-        out = alone.join(out, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+        out = alone.join(out, "node", "full").select("node", F.coalesce("component", "node").alias("component"))
     return out
 
 
