@@ -44,6 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bounds the rows of an Arrow batch, and so the memory of a Python worker, for tables of long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    current = int(spark.conf.get(key, "0") or 0)
+    if current <= 0 or current > rows:
+        spark.conf.set(key, str(rows))
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Writes df once as Parquet in the shared folder and reads it back: cuts lineage, survives lost executors.
 
