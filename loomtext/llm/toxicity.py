@@ -1,11 +1,12 @@
 """Operator 7: toxicity grades by cumulative-link ordinal regression.
 
-Grades come from the labels: 0 not toxic, 1 toxic in a text of good quality, 2 toxic in a text of low quality. The model is
-P(grade >= k) = sigmoid(w.x - t_k) with ordered thresholds t_1 <= t_2 and one weight vector shared by both. Features are the
-presence of words (maximal runs of word characters, lower case), kept where their association with toxicity in
-the sample is beyond chance. It is fitted on a bounded sample: the FIT_DOCUMENTS labelled documents of least hash. The
-threshold for rejecting is calibrated on a held-out fold of that sample. Every document is then scored on its whole text
-by a table of at most MAX_FEATURES weights.
+Grades are 0 not toxic, 1 toxic, 2 severely toxic. The labels tell 0 from the rest; a toxic sample text is severe when it holds
+at least as many toxic features as the median toxic text. The model is P(grade >= k) = sigmoid(w.x - t_k) with ordered thresholds t_1 <= t_2 and one weight vector shared by both. Features are the
+presence of words (maximal runs of word characters, lower case) and of word beginnings of 4, 5 and 6 characters, kept where
+their association with toxicity in the sample is beyond chance. It is fitted on a bounded sample: the FIT_DOCUMENTS labelled
+documents of least hash, equal texts once. Features are counted and chosen by a distributed aggregate; the driver gets
+the chosen ones, MAX_FEATURES at most, and the sample's rows in terms of them. The threshold for rejecting is calibrated on a
+held-out fold of that sample. Every document is then scored on its whole text.
 
 Defined cases: a null or empty text has no features and the grade of the thresholds alone; labels of unknown documents
 are ignored; of repeated labels the most toxic counts; with no toxic or no clean label nothing is rejected; repeated rows are scored
@@ -19,19 +20,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import materialise, small_batches, table
 from .textcore import flat_words
 
-FIT_DOCUMENTS = 8_000
+FIT_DOCUMENTS = 20_000
 MAX_FEATURES = 4_000
 MIN_DOCUMENTS = 3
+PREFIXES = (4, 5, 6)
+#: Standard deviations from what chance gives that a feature's toxic documents must be.
+BEYOND_CHANCE = 6.0
 RIDGE = 0.02
 #: A clean document wrongly rejected costs as much as this many toxic ones missed.
-CLEAN_COST = 10.0
+CLEAN_COST = 3.0
 GRADES = 3
 
 
@@ -39,20 +42,25 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
 
 
+def features_of(text: str | None) -> set[str]:
+    """The words of a text and, marked by a hyphen, the beginnings of its longer words."""
+    words = set(flat_words(text).decode("utf-8", "surrogatepass").split())
+    return words.union(*[{w[:n] + "-" for w in words if len(w) > n} for n in PREFIXES])
+
+
 @dataclass
 class OrdinalModel:
-    weights: dict[bytes, float]
+    weights: dict[str, float]
     thresholds: np.ndarray  # ordered, one fewer than grades
     reject_at: float = 2.0
 
     def probabilities(self, text: str | None) -> np.ndarray:
         """P(grade >= 1), P(grade >= 2), ..."""
-        words = set(flat_words(text).split())
-        score = sum(self.weights[w] for w in sorted(self.weights.keys() & words))
+        score = sum(self.weights[w] for w in sorted(self.weights.keys() & features_of(text))) if self.weights else 0.0
         return _sigmoid(score - self.thresholds)
 
 
-def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, features: int, ridge: float = RIDGE, steps: int = 600, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, features: int, ridge: float = RIDGE, steps: int = 1200, rate: float = 0.15) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds for binary features given as (row, column) pairs; Adam on the penalised likelihood."""
     n, cuts = len(grades), GRADES - 1
     share = np.array([np.clip((grades >= k).mean(), 1e-4, 1 - 1e-4) for k in range(1, GRADES)])
@@ -83,66 +91,77 @@ def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, grades: np.ndarra
     return w, np.concatenate(([at[0]], at[0] + np.cumsum(np.exp(at[1:]))))
 
 
-def _select(rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray, features: int) -> np.ndarray:
-    """Columns whose presence goes with toxicity beyond chance (four standard deviations), the strongest MAX_FEATURES."""
-    n1, n0 = max(1, toxic.sum()), max(1, (~toxic).sum())
-    with_1 = np.bincount(columns, weights=toxic[rows].astype(float), minlength=features)
-    with_0 = np.bincount(columns, weights=(~toxic[rows]).astype(float), minlength=features)
-    a, b = (with_1 + 0.5) / (n1 + 1), (with_0 + 0.5) / (n0 + 1)
-    z = np.log(a / b) / np.sqrt(1 / (with_1 + 0.5) + 1 / (with_0 + 0.5))
-    seen, p = with_1 + with_0, n1 / (n1 + n0)
-    beyond_chance = np.abs(with_1 - seen * p) > 4 * np.sqrt(seen * p * (1 - p))
-    rank = np.where((seen >= MIN_DOCUMENTS) & beyond_chance, np.abs(z), 0)
-    best = np.argsort(-rank, kind="stable")[:MAX_FEATURES]
-    return best[rank[best] > 0]
+def _chosen(counted: DataFrame, side: str, toxic: int, clean: int) -> dict[str, bool]:
+    """Features whose presence goes with toxicity beyond chance, the strongest MAX_FEATURES; true for those of toxic texts."""
+    with_1, with_0 = F.col(f"{side}_toxic"), F.col(f"{side}_clean")
+    seen, p = with_1 + with_0, toxic / (toxic + clean)
+    z = F.abs(F.log((with_1 + 0.5) / (toxic + 1) / ((with_0 + 0.5) / (clean + 1)))) / F.sqrt(1 / (with_1 + 0.5) + 1 / (with_0 + 0.5))
+    beyond = F.abs(with_1 - seen * p) > BEYOND_CHANCE * F.sqrt(seen * p * (1 - p))
+    best = counted.where((seen >= MIN_DOCUMENTS) & beyond).orderBy(F.desc(F.round(z, 9)), "feature").limit(MAX_FEATURES)
+    return {r["feature"]: r["up"] for r in best.select("feature", (with_1 > seen * p).alias("up")).collect()}
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", documents: int = FIT_DOCUMENTS) -> OrdinalModel:
-    grade = F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).otherwise(0)
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(grade).alias("grade"))
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("grade"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
-    sample = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id")  # `documents` rows at most
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    sample = slim.join(F.broadcast(known), "doc_id")  # `documents` rows at most
+    sample = sample.groupBy(F.md5(F.coalesce("text", F.lit(""))).alias("key")).agg(F.max("grade").alias("grade"), F.first("text").alias("text"))
 
-    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            words = [sorted({xxhash.xxh32_intdigest(w) for w in flat_words(t).split()}) for t in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "grade": frame["grade"], "words": [np.array(w, dtype=np.uint32).tobytes() for w in words]})
-
-    got = sample.mapInPandas(hashed, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, grade int, words binary")
-    found = sorted(((r["doc_id"], r["grade"], bytes(r["words"])) for r in got.toLocalIterator()), key=lambda r: (r[0], r[2]))[: 2 * documents]
-    grades = np.array([r[1] for r in found], dtype=np.int64)
-    if not len(grades) or grades.max() == 0 or grades.min() > 0:
+            yield pd.DataFrame({"key": frame["key"], "grade": frame["grade"], "features": [sorted(features_of(t)) for t in frame["text"]]})
+
+    small_batches(docs.sparkSession)
+    rows = materialise(sample.mapInPandas(featured, "key string, grade int, features array<string>"), "toxicity-sample")
+    rows = rows.withColumn("held", F.conv(F.substring("key", 1, 4), 16, 10).cast("int") % 5 == 0)
+    sizes = {(r["held"], r["bad"]): r["n"] for r in rows.groupBy("held", (F.col("grade") > 0).alias("bad")).agg(F.count("*").alias("n")).collect()}
+    toxic, clean = (sum(n for (_, bad), n in sizes.items() if bad == side) for side in (True, False))
+    if not toxic or not clean:
         return OrdinalModel({}, np.array([2.0, 4.0]))
-    words = [np.frombuffer(r[2], dtype=np.uint32) for r in found]
-    names, columns = np.unique(np.concatenate(words), return_inverse=True)
-    rows = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    held = np.array([xxhash.xxh32_intdigest(str(r[0])) % 5 == 0 for r in found])
-
-    def fitted(use: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        on = use[rows]
-        row_of = np.cumsum(use) - 1
-        chosen = _select(row_of[rows[on]], columns[on], grades[use] > 0, len(names))
-        place = np.full(len(names), -1)
-        place[chosen] = np.arange(len(chosen))
-        keep = on & (place[columns] >= 0)
-        w, t = fit_cumulative_link(row_of[rows[keep]], place[columns[keep]], grades[use], len(chosen))
-        return names[chosen], w, t
-
-    chosen, w, t = fitted(~held)
-    lookup = dict(zip(chosen.tolist(), w.tolist(), strict=True))
-    score = np.array([sum(lookup.get(x, 0.0) for x in words[i].tolist()) for i in np.flatnonzero(held)])
-    reject = _calibrated(_sigmoid(score - t[0]), grades[held] > 0)
-    chosen, w, t = fitted(np.ones(len(grades), dtype=bool))
-    by_hash = dict(zip(chosen.tolist(), w.tolist(), strict=True))
-
-    def spelled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    each = rows.select((F.col("grade") > 0).alias("bad"), "held", F.explode("features").alias("feature"))
+    counted = each.groupBy("feature").agg(
+        F.count_if("bad").alias("all_toxic"), F.count_if(~F.col("bad")).alias("all_clean"), F.count_if(F.col("bad") & ~F.col("held")).alias("fit_toxic"), F.count_if(~F.col("bad") & ~F.col("held")).alias("fit_clean")
+    )
+    counted = materialise(counted.where(F.col("all_toxic") + F.col("all_clean") >= MIN_DOCUMENTS), "toxicity-counts")
+    whole = _chosen(counted, "all", toxic, clean)
+    part = _chosen(counted, "fit", sizes.get((False, True), 0), sizes.get((False, False), 0)) if sizes.get((False, True)) and sizes.get((False, False)) else {}
+    names = sorted({*whole, *part})
+    place = {w: i for i, w in enumerate(names)}
+
+    def compact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            seen = {v for text in frame["text"] for v in flat_words(text).split() if xxhash.xxh32_intdigest(v) in by_hash}
-            yield pd.DataFrame({"word": sorted(seen)})
-
-    spelling = sample.mapInPandas(spelled, "word binary").distinct().collect()
-    weights = {bytes(r[0]): by_hash[xxhash.xxh32_intdigest(bytes(r[0]))] for r in spelling}
-    return OrdinalModel(weights, t, reject)
+            yield pd.DataFrame({"key": frame["key"], "grade": frame["grade"], "held": frame["held"], "at": [[place[w] for w in ws if w in place] for ws in frame["features"]]})
+
+    got = sorted(rows.mapInPandas(compact, "key string, grade int, held boolean, at array<int>").collect())
+    grades, held = np.array([r["grade"] for r in got], dtype=np.int64), np.array([r["held"] for r in got], dtype=bool)
+    row_of = np.repeat(np.arange(len(got)), [len(r["at"]) for r in got])
+    column = np.array([i for r in got for i in r["at"]], dtype=np.int64)
+
+    def fitted(use: np.ndarray, chosen: dict[str, bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of all names (0 where not chosen) and thresholds."""
+        ids = np.array([place[w] for w in chosen], dtype=np.int64)
+        up = np.zeros(len(names))
+        up[[place[w] for w, toxic_side in chosen.items() if toxic_side]] = 1.0
+        held_up = np.bincount(row_of, weights=up[column], minlength=len(got))
+        bad = grades > 0
+        severe = bad & (held_up >= max(1.0, np.median(held_up[use & bad])))
+        levels = bad.astype(np.int64) + severe
+        inner = np.full(len(names), -1)
+        inner[ids] = np.arange(len(ids))
+        keep = use[row_of] & (inner[column] >= 0)
+        w, t = fit_cumulative_link((np.cumsum(use) - 1)[row_of[keep]], inner[column[keep]], levels[use], len(ids))
+        full = np.zeros(len(names))
+        full[ids] = w
+        return full, t
+
+    reject = 0.5
+    if part and held.any():
+        w, t = fitted(~held, part)
+        p = _sigmoid(np.bincount(row_of, weights=w[column], minlength=len(got)) - t[0])
+        reject = _calibrated(p[held], grades[held] > 0)
+    w, t = fitted(np.ones(len(got), dtype=bool), whole)
+    return OrdinalModel({name: float(w[place[name]]) for name in whole}, t, reject)
 
 
 def _calibrated(p: np.ndarray, toxic: np.ndarray) -> float:
@@ -171,6 +190,7 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, doc_id: str = "doc_id",
             each = np.concatenate([np.ones((len(p), 1)), p], axis=1) - np.concatenate([p, np.zeros((len(p), 1))], axis=1)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "p_toxic": p[:, 0], "p_severe": p[:, 1], "expected_severity": p.sum(axis=1), "grade": each.argmax(axis=1), "toxic": p[:, 0] >= model.reject_at})
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
 
 
@@ -181,6 +201,7 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, text: str = "text") -> Data
     def rejected(texts: pd.Series) -> pd.Series:
         return pd.Series([bool(model.probabilities(t)[0] >= model.reject_at) for t in texts], dtype=bool)
 
+    small_batches(docs.sparkSession)
     return docs.where(~rejected(F.col(text)))
 
 
