@@ -25,7 +25,7 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import table
+from ..session import small_batches, table
 
 BLOCK = 64
 SAMPLE_RATE = 8000
@@ -132,14 +132,16 @@ def _pdf(data: bytes, at: int) -> int:
 def _gzip(data: bytes, at: int) -> int:
     if at + 18 > len(data) or data[at + 3] & 0xE0:
         return -1
-    engine, pos = zlib.decompressobj(31), at
+    engine, pos, held = zlib.decompressobj(31), at, b""
     try:
-        while not engine.eof and pos < len(data):  # a bounded piece of output at a time; none is kept
-            piece = engine.unconsumed_tail or data[pos : (pos := pos + 65536)]
-            engine.decompress(piece, 1 << 20)
+        while not engine.eof and (held or pos < len(data)):  # a bounded piece of output at a time; none is kept
+            if not held:
+                held, pos = data[pos : pos + 65536], pos + 65536
+            engine.decompress(held, 1 << 20)
+            held = engine.unconsumed_tail
     except zlib.error:
         return -1
-    return pos - len(engine.unused_data) if engine.eof else -1
+    return min(pos, len(data)) - len(engine.unused_data) - len(held) if engine.eof else -1
 
 
 def _zip(data: bytes, at: int) -> int:
@@ -250,6 +252,7 @@ def text_media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
             stored = [wrap_pcm(b.ljust(max(BLOCK, -(-len(b) // BLOCK) * BLOCK), b"\0")) for b in raw]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "n_bytes": [len(b) for b in raw], "declared": "bin", "media": stored})
 
+    small_batches(docs.sparkSession)
     return _renamed(docs, doc_id, text).mapInPandas(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_bytes long, declared string, media binary")
 
 

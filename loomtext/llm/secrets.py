@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import small_batches, table
 
 KINDS = ("assign", "access", "hex", "markov")
 #: Labelled samples of each class, and the documents whose words make the identifiers.
@@ -45,6 +45,22 @@ _CODE = np.full(128, 0, dtype=np.int64)
 _CODE[[ord(c) for c in _ALPHABET]] = np.arange(1, len(_ALPHABET) + 1)
 _STATES = len(_ALPHABET) + 1
 
+#: Words that names in programs and addresses are made of, beside those of the corpus.
+COMMON_WORDS = (
+    "access account action add address admin after agent alert all amount api app archive array async auth author backup base batch before begin bin block body bool buffer build button byte cache call cancel "
+    "case cell chain change channel char check child class clean clear client clock close cluster code color column command comment commit common config connect content context control convert copy count "
+    "create current cursor custom data date debug default delete depth detail device dict diff digest direct disk display document domain double down driver edge edit element email enable encode end engine "
+    "entry error event example exception export extra factory field file filter find first flag float folder font format frame from function gate generic get global graph group handle hash header height hidden "
+    "history hook host html http icon identifier image import index info init inner input insert instance int item iterator job join json key label language last layer layout length level library limit line link "
+    "list load local lock log loop main manager map mask match matrix max member memory menu merge message meta method metric min mode model module month mount move multi name native net network next node "
+    "none normal note null number object offset old open operator option order origin other output owner package page pair panel parameter parent parse part partition path pattern payload pending pixel plan player "
+    "plugin point policy pool port position post prefix previous price print private process product profile program project property protocol provider proxy public query queue quick random range rate read record "
+    "reference region register release remote remove render repeat replace report request reset resource response result return role root route row rule run sample save scale schema scope score screen script search "
+    "section select sequence server service session set setting shape share shift shop short side signal simple single size skip slot small socket sort source space split stack stage start state static status step "
+    "stop storage store stream string style submit sum support switch symbol sync system table tag target task team template temp test text theme thread time title toggle tool top total trace track transform tree "
+    "trigger type unique unit update upload url usage user util valid value vector version video view wait watch web week weight widget width window word worker wrapper write year zone"
+).split()
+
 Span = tuple[int, int, str]
 
 
@@ -109,12 +125,12 @@ def random_samples(n: int = SAMPLES, seed: int = 7) -> list[str]:
 def identifier_samples(words: Sequence[str], n: int = SAMPLES, seed: int = 11) -> list[str]:
     """Names of at least MIN_RUN characters made of words: joined plainly, with _, -, ., / or capitals, with or without a number."""
     draw = random.Random(seed)
-    words = list(words) or ["value", "name", "index", "count", "document", "number", "state", "result", "table", "source"]
+    words = list(words)
     out = []
     for _ in range(n):
         style, parts = draw.choice(("", "_", "-", ".", "/", "Camel", "UPPER")), []
         while sum(map(len, parts)) < MIN_RUN + draw.randint(0, 12):
-            parts.append(draw.choice(words))
+            parts.append(draw.choice(words if words and draw.random() < 0.5 else COMMON_WORDS))
         if style == "Camel":
             name = "".join(p.capitalize() for p in parts)
         elif style == "UPPER":
@@ -133,6 +149,7 @@ def train_models(docs: DataFrame, text: str = "text", samples: int = SAMPLES, do
             found = {w for t in frame["text"] for w in _WORD.findall(t)}
             yield pd.DataFrame({"word": sorted(found)})
 
+    small_batches(docs.sparkSession)
     some = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(text).alias("h")).orderBy("h").limit(documents)
     counted = some.mapInPandas(words, "word string").groupBy("word").agg(F.xxhash64("word").alias("h")).orderBy("h").limit(samples)
     vocabulary = sorted(r[0] for r in counted.select("word").collect())
@@ -173,6 +190,7 @@ def scan_secrets(docs: DataFrame, models: MarkovPair | None = None, doc_id: str
             out.insert(0, "doc_id", frame["doc_id"].to_numpy())
             yield out
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
 
 
@@ -197,6 +215,7 @@ def redact_secrets(docs: DataFrame, models: MarkovPair | None = None, text: str
     def clean(bodies: pd.Series) -> pd.Series:
         return pd.Series([redact(b, models) for b in bodies], dtype=object)
 
+    small_batches(docs.sparkSession)
     return docs.withColumn(text, clean(F.col(text)))
 
 
