@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -70,18 +70,14 @@ def tail_line_frequencies(rows: DataFrame, id: str = "id", publisher: str = "pub
 def length_quantiles(rows: DataFrame, words: str = "whitespace_words") -> DataFrame:
     """Least, upper median and greatest length. Lengths are counted first, so the order statistics are read off a histogram."""
     counts = rows.groupBy(F.col(words).alias("w")).count()
-    total = counts.agg(F.sum("count").alias("n"), F.min("w").alias("shortest"), F.max("w").alias("longest"))
-    from pyspark.sql import Window
-
-    below = counts.withColumn("upto", F.sum("count").over(Window.partitionBy(F.lit(0)).orderBy("w")))
-    middle = below.join(F.broadcast(total)).where(F.col("upto") > F.floor(F.col("n") / 2)).agg(F.min("w").alias("upper_median"), F.first("shortest").alias("shortest"), F.first("longest").alias("longest"))
-    return middle.select("shortest", "upper_median", "longest")
+    whole = Window.partitionBy(F.lit(0))  # one row for each distinct length
+    marked = counts.select("w", F.sum("count").over(whole).alias("n"), F.sum("count").over(whole.orderBy("w")).alias("upto"))
+    middle = F.min(F.when(F.col("upto") > F.floor(F.col("n") / 2), F.col("w")))
+    return marked.agg(F.min("w").alias("shortest"), middle.alias("upper_median"), F.max("w").alias("longest"))
 
 
 def review_sample(rows: DataFrame, strata: Sequence[str], id: str, k: int = 8, seed: str = "review:") -> DataFrame:
     """The k rows of least hash of each stratum (k bounds the result), with `review_rank`."""
-    from pyspark.sql import Window
-
     key = t.text_hash(F.concat(F.lit(seed), F.col(id).cast("string")))
     rank = F.row_number().over(Window.partitionBy(*strata).orderBy(key, F.col(id)))
     return rows.withColumn("review_rank", rank).where(F.col("review_rank") <= k)

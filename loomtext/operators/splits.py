@@ -37,16 +37,26 @@ def highest_split(split: Column) -> Column:
     return F.max_by(split, priority(split))
 
 
+#: Leading hex digits of the hash by which a rank is cut into ranges.
+_RANGE_DIGITS = 3
+
+
 def _ranked(groups: DataFrame, key: Column, by: Sequence[str] = ()) -> DataFrame:
-    window = Window.partitionBy(*(by or [F.lit(0)]))
-    order = window.orderBy(F.sha2(key, 256), key)
-    return groups.withColumns({"_rank": F.row_number().over(order), "_n": F.count("*").over(window)})
+    """Groups with `_rank` (by hash of the key) and `_n`, per stratum, in two levels: the rank inside a range of hashes, and the
+    ranges' counts (16^3 a stratum), so no task ranks a whole stratum."""
+    hashed = groups.withColumns({"_hash": F.sha2(key, 256), "_key": key})
+    hashed = hashed.withColumn("_range", F.substring("_hash", 1, _RANGE_DIGITS))
+    strata = list(by)
+    counts = hashed.groupBy(*strata, "_range").agg(F.count("*").alias("_c"))
+    whole = Window.partitionBy(*(strata or [F.lit(0)]))
+    before = F.coalesce(F.sum("_c").over(whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.withColumns({"_before": before, "_n": F.sum("_c").over(whole)}).drop("_c")
+    inner = F.row_number().over(Window.partitionBy(*strata, "_range").orderBy("_hash", "_key"))
+    return hashed.withColumn("_inner", inner).join(offsets, [*strata, "_range"]).withColumn("_rank", F.col("_before") + F.col("_inner"))
 
 
 def rank_split(groups: DataFrame, group: str, seed: str, share: float = 0.1) -> DataFrame:
     """Whole groups by hash rank: the first `share` (rounded up, at most half) test, as many validation, the rest train.
-
-    A rank over all groups is one ordered pass; it runs over distinct groups only (a name each), never over their rows.
     """
     ranked = _ranked(groups.select(group).distinct(), F.concat(F.lit(seed), F.col(group)))
     reserve = F.least(F.ceil(F.col("_n") * share), F.floor((F.col("_n") - 1) / 2))
