@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .licenses import CONTAINED, TEMPLATES, _template_rows
 from .media import BLOCK, SAMPLE_RATE
+from .urlfilter import _LOWER, _SYMBOLS, _UPPER, ACCEPT_LOSS, HELD_OUT, ORDER, RULES, SHARE
 
 _WORD = r"[\p{L}\p{N}\p{M}_]+"
 
@@ -58,7 +59,41 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   coalesce(sum(upto) FILTER (role = 'assistant'), 0)::BIGINT AS formatted_chars, (count(*) FILTER (role = 'assistant'))::BIGINT AS n_examples FROM a GROUP BY conv_id"""
 
+
+
+def _urls() -> str:
+    """The URL filter: rules, n-gram counts, Witten-Bell models level by level, scores, threshold, verdicts."""
+    ranked = sorted(RULES, key=lambda r: (len(r[1]), r[1]), reverse=True)
+    fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}')", v, r) for v, r in ranked for h, _, p in [r.partition("/")]]
+    pick = lambda k: "CASE " + " ".join(f"WHEN {f[0]} THEN '{f[k]}'" for f in fits) + " END"
+    share = lambda side, less: f"CASE WHEN {side}_n > 0 THEN ({side} + {side}_t * {less}) / ({side}_n + {side}_t) ELSE {less} END"
+    levels = []
+    for n in range(1, ORDER + 2):
+        less = (f"{1 / _SYMBOLS!r}::DOUBLE",) * 2 if n == 1 else (f"q.y{n - 1}", f"q.z{n - 1}")
+        source = f"kept k JOIN ctx c ON c.context = left(k.gram, {n - 1})" + ("" if n == 1 else f" JOIN l{n - 1} q ON q.gram = substr(k.gram, 2)")
+        levels.append(f"""l{n} AS (SELECT k.gram, {share("yes", less[0])} AS y{n}, {share("no", less[1])} AS z{n}, ln(y{n}) - ln({less[0]}) - yes_b - (ln(z{n}) - ln({less[1]}) - no_b) AS gain FROM {source} WHERE k.n = {n})""")
+    back = lambda side: f"CASE WHEN {side}_n > 0 THEN ln({side}_t / ({side}_n + {side}_t)) ELSE 0 END AS {side}_b"
+    gains = " UNION ALL ".join(f"SELECT gram, gain FROM l{n}" for n in range(1, ORDER + 2))
+    return rf"""
+WITH a AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+b AS (SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+p AS (SELECT *, {pick(2)} AS rule, {pick(1)} AS verdict, ('0x' || substr(md5(url), 1, 8))::BIGINT % {HELD_OUT} = 0 AS held, chr(2) || regexp_replace(translate(url, '{_UPPER}', '{_LOWER}'), '[^\x21-\x7d]', '~', 'g') || chr(3) AS s FROM b),
+g AS MATERIALIZED (SELECT page_id, verdict, held, substr(s, i, n) AS gram, n FROM (SELECT *, unnest(range(1, length(s) - n + 2)) AS i FROM (SELECT *, unnest(range(1, {ORDER + 2})) AS n FROM p))),
+counted AS (SELECT gram, n, (count(*) FILTER (verdict = 'allow'))::DOUBLE AS yes, (count(*) FILTER (verdict = 'block'))::DOUBLE AS no FROM g WHERE verdict IS NOT NULL AND NOT held GROUP BY 1, 2),
+kept AS MATERIALIZED (SELECT * FROM counted WHERE yes + no >= greatest(2, {SHARE} * (SELECT sum(yes + no) FROM counted WHERE n = 1))),
+ctx AS MATERIALIZED (SELECT *, {back("yes")}, {back("no")} FROM (SELECT left(gram, n::INT - 1) AS context, sum(yes) AS yes_n, (count(*) FILTER (yes > 0))::DOUBLE AS yes_t, sum(no) AS no_n, (count(*) FILTER (no > 0))::DOUBLE AS no_t FROM kept GROUP BY 1)),
+{", ".join(levels)},
+model AS (SELECT x.gram, gain + coalesce(yes_b - no_b, 0) AS value FROM ({gains}) x LEFT JOIN ctx ON context = x.gram),
+summed AS (SELECT page_id, sum(value) AS total FROM g JOIN model USING (gram) GROUP BY 1),
+scored AS (SELECT p.*, coalesce(total, 0) / length(s) + (SELECT yes_b - no_b FROM ctx WHERE context = '') AS score FROM p LEFT JOIN summed USING (page_id)),
+bins AS (SELECT floor(score * 1000) AS bin, count(*) AS n FROM scored WHERE held AND verdict = 'allow' GROUP BY 1),
+cum AS (SELECT bin, sum(n) OVER (ORDER BY bin) AS below, sum(n) OVER () AS total FROM bins),
+cut AS (SELECT coalesce((max(bin) FILTER (below <= total * {ACCEPT_LOSS}) + 1) / 1000, least(0, min(bin) / 1000), 0) AS cut FROM cum)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN score >= cut THEN 'allow' ELSE 'block' END) AS verdict, round(score, 6) AS score, cut::DOUBLE AS threshold FROM scored, cut"""
+
+
 ORACLES = {
+    "op1_url_filters": _urls(),
     "op5_license_scans": LICENSES,
     "op8_minhash_near_dedup": NEAR_DUPLICATES,
     "op9_media_columns": MEDIA,
