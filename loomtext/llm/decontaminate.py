@@ -12,7 +12,7 @@ maxima over its essential terms, plus SLACK, bounds the score of every item of t
 reaches their least threshold are scored exactly, and all items that reach theirs are retrieved and verified.
 
 A passage is two neighbouring strides of words, a stride being the longest item of the index part; so every stretch as
-long as an item lies whole in a passage. The index is read in parts of ITEMS_PER_PART items, each broadcast and run over
+long as an item lies whole in a passage. The index is read in parts of bounded size, each broadcast and run over
 all documents, so its memory does not grow with the number of items.
 
 Defined cases: null or empty texts and items match nothing; an item of fewer than five words is one shingle of all its
@@ -39,6 +39,7 @@ K1, B = 1.2, 0.75
 SLACK = 0.1
 CONTAINED = 0.8
 ITEMS_PER_PART = 4_000
+CHARACTERS_PER_PART = 4_000_000
 BLOCKS = 32
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -172,13 +173,15 @@ class ItemIndex:
 
 
 def item_parts(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", per_part: int = ITEMS_PER_PART) -> Iterator[ItemIndex]:
-    """The index, part by part: at most `per_part` items are on the driver at a time."""
+    """The index, part by part: at most `per_part` items, and CHARACTERS_PER_PART and one item's text, are on the driver at a time."""
     part: list[tuple[object, str]] = []
+    used = 0
     for row in benchmark.where(F.col(text).isNotNull()).select(item_id, text).orderBy(item_id, text).toLocalIterator():
         part.append((row[0], row[1]))
-        if len(part) == per_part:
+        used += len(row[1])
+        if len(part) == per_part or used >= CHARACTERS_PER_PART:
             yield ItemIndex(part)
-            part = []
+            part, used = [], 0
     if part:
         yield ItemIndex(part)
 
