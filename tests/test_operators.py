@@ -45,11 +45,13 @@ def greedy(sizes, limit):
     return out
 
 
-def test_budget_is_greedy_with_skips(spark):
+@pytest.mark.parametrize("at_once", [0, 40, 1000])
+def test_budget_is_greedy_with_skips(spark, monkeypatch, at_once):
+    monkeypatch.setattr(budget, "SEQUENTIAL_ROWS", at_once)
     draw = random.Random(3)
     sizes = [draw.randint(1, 60) for _ in range(300)]
     rows = spark.createDataFrame(list(enumerate(sizes)), "i long, w long")
-    got = [r["selected"] for r in budget.greedy_budget(rows, F.lit(500), F.struct("i"), "w").orderBy("i").collect()]
+    got = [r["selected"] for r in budget.greedy_budget(rows, F.lit(500), F.col("i"), "w").orderBy("i").collect()]
     assert got == greedy(sizes, 500)
 
 
