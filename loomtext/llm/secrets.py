@@ -150,7 +150,10 @@ def train_models(docs: DataFrame, text: str = "text", samples: int = SAMPLES, do
             yield pd.DataFrame({"word": sorted(found)})
 
     small_batches(docs.sparkSession)
-    some = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(text).alias("h")).orderBy("h").limit(documents)
+    hashed = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    # the cut is found on hashes alone, so no task gathers texts of all partitions
+    cut = hashed.select("h").distinct().orderBy("h").limit(documents).agg(F.max("h")).first()[0]
+    some = hashed.where(F.col("h") <= F.lit(cut)).groupBy("h").agg(F.first("text").alias("text")).select("text")
     counted = some.mapInPandas(words, "word string").groupBy("word").agg(F.xxhash64("word").alias("h")).orderBy("h").limit(samples)
     vocabulary = sorted(r[0] for r in counted.select("word").collect())
     return MarkovPair.train(random_samples(samples), identifier_samples(vocabulary, samples))
