@@ -4,12 +4,12 @@ Texts are multisets of five-word shingles (see textcore); two texts are linked w
 is 0.8 or more, and a class is a connected component of links.
 
 Plan. Equal texts collapse to one node (an MD5 of the text) before anything is paired. One Arrow pass makes the node's
-BagMinHash signature. Bands of the signature are hashed in the JVM; within a band value every node is paired with one
+BagMinHash signature. Bands of the signature are hashed in the JVM; within a band value every node is first paired with one
 leader only, the least in one of ORDERS random orders, found by an aggregate with map-side combine; so a bucket of n nodes
-makes n-1 candidates, not n^2. Candidates are verified on the whole texts. A bucket with a candidate that failed, of nodes
-that no other links join, is cut finer by further signature components, where its nodes meet LEADERS others each, and so
-on, until no bucket holds a failed candidate; a bucket of many texts that are all different ends by falling apart, at no more than LEADERS candidates a node,
-band and level.
+makes n-1 candidates, not n^2. Candidates are verified on the whole texts. Buckets that then still hold nodes of different
+classes are searched whole: all pairs of nodes of different classes whose sizes allow the similarity are verified exactly.
+Such a bucket is cut into blocks of some PART nodes and every two blocks meet in a task of their own; texts are sent once to
+each group of pairs, not once a pair. So the only pairs missed are those that share no band.
 
 Defined cases: a null text and a text without words are in classes of their own unless another text is byte-identical
 (null is never identical to anything); texts of one to four words are one shingle; repeated rows share a class; an empty
@@ -18,6 +18,7 @@ table gives an empty result. The class id is the least doc_id of the class; with
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,17 +29,17 @@ from pyspark.sql import functions as F
 from ..operators.graph import connected_components
 from ..session import materialise, small_batches, table
 from .bagminhash import COMPONENTS, text_signatures
-from .textcore import batches, multiset, shingle_hashes, weighted_jaccard
+from .textcore import SHINGLE_WORDS, batches, flat_words, multiset, shingle_hashes, weighted_jaccard
 
 SIMILARITY = 0.8
 BANDS = 20
 ROWS = COMPONENTS // BANDS
-#: Signature components added to a bucket's key at each finer level; the last level uses the whole signature.
-DEEPER = (2, 2, 4, 8, 60)
 #: Orders by which bands choose the leaders of their buckets, so that a node meets several.
 ORDERS = 4
-#: Leaders of a bucket at the finer levels.
-LEADERS = 2
+#: Nodes of a block, of which every two of a bucket meet.
+PART = 256
+#: Pairs that are verified together on average, where the pairs are few for their nodes.
+TOGETHER = 500
 #: A set of nodes up to this many (some 16 bytes each) is broadcast; a larger one is joined by a shuffle.
 BROADCAST_NODES = 500_000
 
@@ -52,39 +53,66 @@ def near_duplicate_links(docs: DataFrame, text: str = "text", similarity: float
     nodes = docs.where(F.col(text).isNotNull()).select(node_of(F.col(text)).alias("node"), F.col(text).alias("text"))
     signed = materialise(_signed(nodes), "signatures")
     keys = _band_keys(signed)
-    found = labels = failed = None
-    used = ROWS
-    for level in (0, *DEEPER):
-        if level:
-            coarse = keys.join(failed, "key", "left_semi")
-            if "label" not in keys.columns:
-                coarse = coarse.join(labels, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("label"))
-            keys = materialise(_finer(coarse, signed, used, level), "bands")
-            used += level
-        own = ["node", "label"] if level else ["node"]
-        orders = [F.xxhash64("node", F.col("band") % ORDERS, F.lit(used), F.lit(k)) for k in range(LEADERS if level else 1)]
-        chosen = F.array_distinct(F.array(*[F.min(F.struct(o.alias("order"), F.struct(*own).alias("of")))["of"] for o in orders]))
-        leaders = keys.groupBy("key").agg(chosen.alias("leaders"), F.count("*").alias("n")).where("n > 1").drop("n")
-        met = keys.join(leaders, "key").select("key", *own, F.explode("leaders").alias("leader")).where("node <> leader.node")
-        if level:  # nodes that are of one class already need no further link
-            met = met.where("label <> leader.label")
-        members = materialise(met.select("key", F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")), "members")
-        pairs = members.select("a", "b").distinct()
-        if found is not None:
-            pairs = pairs.join(found.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = materialise(_verified(materialise(pairs, "pairs"), nodes), "verified")
-        found = fresh if found is None else found.unionByName(fresh)
-        ok = found.where(F.col("similarity") >= similarity).select("a", "b")
-        open_ = members.join(ok, ["a", "b"], "left_anti")
-        if not level:
-            labels = materialise(connected_components(ok, "a", "b"), "labels")
-            side = lambda name: labels.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
-            open_ = open_.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-        failed = materialise(open_.select("key").distinct(), "failed")
-        if failed.isEmpty():
-            break
-    links = found.where(F.col("similarity") >= similarity).select(F.col("a").alias("src"), F.col("b").alias("dst"), "similarity")
-    return links, signed
+    order = F.xxhash64("node", F.col("band") % ORDERS)
+    leaders = keys.groupBy("key").agg(F.min(F.struct(order.alias("order"), "node"))["node"].alias("leader"), F.count("*").alias("n")).where("n > 1")
+    met = keys.join(leaders, "key").where("node <> leader")
+    members = materialise(met.select("key", "n", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")), "members")
+    found = materialise(_verified(materialise(members.select("a", "b").distinct(), "pairs"), nodes), "verified")
+    linked = found.where(F.col("similarity") >= similarity)
+    labels = materialise(connected_components(linked, "a", "b"), "labels")
+    side = lambda name: labels.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
+    # in a bucket of two nodes the candidate was the only pair
+    unlike = members.where("n > 2").join(linked.select("a", "b"), ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
+    failed = unlike.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("key").distinct()
+    open_ = keys.join(failed, "key", "left_semi").join(labels, "node", "left").join(signed.select("node", "n"), "node")
+    open_ = materialise(open_.select("key", "node", F.coalesce("component", "node").alias("label"), "n"), "open")
+    pairs = materialise(_open_pairs(open_, similarity).join(found.select("a", "b"), ["a", "b"], "left_anti"), "open-pairs")
+    links = linked.unionByName(materialise(_verified_together(pairs, nodes, similarity), "verified"))
+    return links.select(F.col("a").alias("src"), F.col("b").alias("dst"), "similarity"), signed
+
+
+def _open_pairs(open_: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): nodes of different classes that share a bucket of open_ (key, node, label, n), and whose shingle counts n allow the similarity."""
+    parts = open_.groupBy("key").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    sized = open_.join(parts, "key").withColumns({"own": F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), "any": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    left = sized.select("key", F.col("own").alias("row"), F.col("any").alias("col"), F.col("node").alias("a"), F.col("label").alias("of_a"), F.col("n").alias("n_a"))
+    right = sized.select("key", F.col("any").alias("row"), F.col("own").alias("col"), F.col("node").alias("b"), F.col("label").alias("of_b"), F.col("n").alias("n_b"))
+    met = left.join(right, ["key", "row", "col"]).where("a < b AND of_a <> of_b").where(F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
+    return met.select("a", "b").distinct()
+
+
+def _verified_together(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, similarity) of the pairs that reach the similarity; a text is sent once to each group of pairs that needs it."""
+    ends = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
+    texts = materialise(nodes.join(_maybe_broadcast(ends), "node", "left_semi").dropDuplicates(["node"]), "texts")
+    sides = max(1, math.ceil(min(ends.count() / PART, math.sqrt(pairs.count() / TOGETHER))))
+    part = lambda node: F.pmod(F.xxhash64(node), F.lit(sides))
+    dealt = pairs.select(part("a").alias("row"), part("b").alias("col"), "a", "b")
+    sent = dealt.select(F.col("row").alias("of_row"), F.col("col").alias("of_col"), F.col("a").alias("node")).union(dealt.select("row", "col", "b")).distinct()
+    wanted = sent.join(texts, "node")
+
+    def verify(found: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        place, bodies = {node: i for i, node in enumerate(known["node"])}, known["text"].tolist()
+        bags = []
+        for piece in batches(bodies):
+            hashes, counts = shingle_hashes(bodies[piece])
+            bags += [multiset(h) for h in np.split(hashes, np.cumsum(counts)[:-1])]
+        hashes, sizes = np.concatenate([b[0] for b in bags] or [np.zeros(0, np.uint64)]), [len(b[0]) for b in bags]
+        ids = np.split(np.unique(hashes, return_inverse=True)[1], np.cumsum(sizes)[:-1])
+        totals = np.array([int(b[1].sum()) for b in bags])
+        here, out = np.zeros(len(hashes), dtype=np.int64), []
+        for b, of_b in found.groupby("b", sort=False)["a"]:
+            at, names = place[b], of_b.tolist()
+            others = [place[a] for a in names]
+            here[ids[at]] = bags[at][1]
+            common = np.minimum(here[np.concatenate([ids[i] for i in others])], np.concatenate([bags[i][1] for i in others]))
+            common = np.add.reduceat(common, np.cumsum([0] + [sizes[i] for i in others[:-1]]))
+            here[ids[at]] = 0
+            value = common / (totals[others] + totals[at] - common)
+            out += [(names[i], b, float(value[i])) for i in np.flatnonzero(value >= similarity)]
+        return pd.DataFrame(out, columns=["a", "b", "similarity"])
+
+    return dealt.groupBy("row", "col").cogroup(wanted.groupBy("of_row", "of_col")).applyInPandas(verify, "a binary, b binary, similarity double")
 
 
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -142,10 +170,11 @@ def _signed(nodes: DataFrame) -> DataFrame:
             frame = frame.drop_duplicates("node")
             values = text_signatures(frame["text"].tolist())
             has = values.any(axis=1)
-            yield pd.DataFrame({"node": frame["node"][has].tolist(), "signature": [v.tobytes() for v in values[has]]})
+            words = np.array([flat_words(t).count(b" ") + 1 for t in frame["text"][has]], dtype=np.int64)
+            yield pd.DataFrame({"node": frame["node"][has].tolist(), "signature": [v.tobytes() for v in values[has]], "n": np.maximum(words - SHINGLE_WORDS + 1, 1)})
 
     small_batches(nodes.sparkSession)
-    signed = nodes.mapInPandas(sign, "node binary, signature binary")
+    signed = nodes.mapInPandas(sign, "node binary, signature binary, n long")
     return signed.dropDuplicates(["node"])
 
 
@@ -162,11 +191,6 @@ def _band_keys(signed: DataFrame) -> DataFrame:
     return signed.select("node", F.inline(F.array(*keys))).select("key", "band", "node")
 
 
-def _finer(coarse: DataFrame, signed: DataFrame, used: int, more: int) -> DataFrame:
-    parts = F.array(*[_piece(b * ROWS + used, more) for b in range(BANDS)])
-    return coarse.join(signed, "node").select(F.xxhash64("key", F.element_at(parts, F.col("band") + 1)).alias("key"), "band", "node", "label")
-
-
 def _maybe_broadcast(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_NODES else ids
 

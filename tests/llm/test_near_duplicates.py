@@ -124,3 +124,18 @@ def test_dropping_with_nulls_between_and_repeats(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, _node string").coalesce(1)
     kept = neardup.drop_near_duplicates(df).collect()
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == [(0, ""), (0, ""), (3, "w " * 9 + "x"), (8, "Other words, that stand on their own here!")]
+
+
+def test_links_inside_a_hot_group_of_texts_that_share_boilerplate(spark):
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choices("abcdefghijklmnop", k=6))
+    shared = [word() for _ in range(300)]
+    rows, want = [], {}
+    for i in range(0, 600, 2):  # pairs over 0.8 to each other, and below it to all others
+        own = [word() for _ in range(49)]
+        twin = own[:23] + [word() for _ in range(26)]
+        rows += [(i, " ".join(shared + own)), (i + 1, " ".join(shared + twin))]
+        want[i] = want[i + 1] = i
+    bags = {i: bag(text) for i, text in rows[:40]}
+    assert all((similarity(bags[a], bags[b]) >= 0.8) == (want[a] == want[b]) for a, b in itertools.combinations(bags, 2))
+    assert classes(neardup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == want
