@@ -155,6 +155,35 @@ def greedy_keep(ranked: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFra
     return order.select("id").join(gone, "id", "left_anti"), removed
 
 
+def keep_distinct(ranked: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: float = 0.92, word_ratio: float = 0.85) -> tuple[DataFrame, DataFrame]:
+    """greedy_keep of rows (id, rank) over all duplicate edges among them, from pairs that link equal sets through their least id.
+
+    Rows of equal sets and word counts have the same neighbours and each other, so only the first of them by rank can be kept;
+    greedy_keep runs on these, and the others follow. The edges of a group of copies are never listed.
+    """
+    least = pairs.where("jaccard = 1").select(F.col("second").alias("id"), F.col("first").alias("least"))
+    members = sets.select("id", "words").join(ranked.select("id", "rank"), "id").join(least, "id", "left").withColumn("least", F.coalesce("least", "id"))
+    members = materialise(members, "members")
+    groups = members.groupBy("least", "words").agg(F.min(F.struct("rank", "id"))["id"].alias("best"), F.min("rank").alias("rank"), F.count("*").alias("n"))
+    groups = materialise(groups, "groups")
+    near = pairs.where((F.col("jaccard") >= similarity) & (F.col("jaccard") < 1)).select("first", "second")
+    same = groups.groupBy("least").count().where("count > 1").select(F.col("least").alias("first"), F.col("least").alias("second"))
+    side = lambda name: groups.select(F.col("least").alias(name), F.col("words").alias(f"{name}_words"), F.col("best").alias(f"{name}_best"))
+    met = near.unionByName(same).join(side("first"), "first").join(side("second"), "second").where("first_best <> second_best")
+    met = met.where(F.least("first_words", "second_words") / F.greatest("first_words", "second_words") >= word_ratio)
+    edges = materialise(met.select(F.col("first_best").alias("first"), F.col("second_best").alias("second")), "edges")
+    kept, gone = greedy_keep(groups.select(F.col("best").alias("id"), "rank"), edges)
+    kept, gone = materialise(kept, "kept"), materialise(gone, "gone")
+    copies = members.join(groups.where("n > 1").select("least", "words", "best"), ["least", "words"]).where("id <> best").select("id", "rank", "best")
+    of_kept = copies.join(kept.select(F.col("id").alias("best")), "best", "left_semi").select(F.col("id").alias("removed_id"), F.col("best").alias("retained_id"))
+    ends = edges.select(F.col("first").alias("best"), F.col("second").alias("other")).union(edges.select("second", "first")).distinct()
+    others = ends.join(kept.join(ranked, "id").select(F.col("id").alias("other"), F.col("rank").alias("other_rank")), "other")
+    of_gone = copies.join(gone.select(F.col("removed_id").alias("best")), "best", "left_semi").join(others, "best").where("other_rank < rank")
+    of_gone = of_gone.groupBy("id").agg(F.min("other").alias("retained_id")).withColumnRenamed("id", "removed_id")
+    removed = materialise(gone.unionByName(of_kept).unionByName(of_gone), "removed")
+    return ranked.select("id").join(removed.select(F.col("removed_id").alias("id")), "id", "left_anti"), removed
+
+
 def overlaps(sets: DataFrame, others: DataFrame, minimum: float) -> DataFrame:
     """(id, other_id, containment): share of the other text's shingles that a text holds, at least `minimum`."""
     left = sets.select("id", F.explode("shingles").alias("shingle"))

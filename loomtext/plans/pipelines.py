@@ -71,7 +71,7 @@ def clean(documents: DataFrame, policy: QualityPolicy) -> dict[str, DataFrame]:
     pairs = similarity.similar_pairs(sets, policy.group_jaccard) if policy.exact else similarity.banded_pairs(sets, policy.group_jaccard)
     pairs = materialise(pairs, "pairs")
     ranked = kept.select("id", F.struct((F.col("license") == "unknown").cast("int").alias("rank"), (-F.col("whitespace_words")).alias("shorter"), "id").alias("rank"))
-    _, removed = similarity.greedy_keep(ranked, similarity.duplicate_edges(pairs, policy.dedup_jaccard, policy.dedup_word_ratio))
+    _, removed = similarity.keep_distinct(ranked, sets, pairs, policy.dedup_jaccard, policy.dedup_word_ratio)
     removed = materialise(removed, "removed")
     retained = kept.join(removed.select(F.col("removed_id").alias("id")), "id", "left_anti")
     cut_spans = materialise(spans.make_spans(retained, policy.minimum_words, policy.maximum_span_words), "spans")

@@ -232,9 +232,8 @@ def near_dup_components(spark, sf):
 def near_dup_keep(spark, sf):
     """Which near-copies go, and for which retained document."""
     sets = _sets(spark, sf)
-    edges = similarity.duplicate_edges(similarity.similar_pairs(sets, 0.8))
     ranked = sets.select("id", F.struct((-F.col("words")).alias("w"), "id").alias("rank"))
-    return similarity.greedy_keep(ranked, edges)[1]
+    return similarity.keep_distinct(ranked, sets, similarity.similar_pairs(sets, 0.8))[1]
 
 
 @query()

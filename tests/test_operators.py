@@ -216,3 +216,26 @@ def test_summaries(spark):
     assert got["records"] == 2 and got["documents"] == 2 and got["authorship"] == {"h": 1, "m": 1} and got["engine"] == {"None": 1, "e": 1}
     assert tuple(aggregate.length_quantiles(rows).first()) == (5, 6, 6)
     assert aggregate.field_coverage(rows).where("field = 'engine'").first()["present"] == 1
+
+
+def test_copies_beside_a_longer_near_copy_all_go(spark):
+    words = [f"w{i}" for i in range(300)]
+    texts = {"x": words + ["and", "more"], "c1": words, "c2": words, "c3": words, "d": [f"v{i}" for i in range(200)], "e": [f"v{i}" for i in range(200)]}
+    texts["y"] = words[3:]
+    texts |= {f"g{i}": [f"u{j}" for j in range(i, 100 + i // 2)] for i in range(5)}
+    texts["d2"] = texts["d"] + ["-"] * 40  # the same shingles, but too many words
+    rows = [(k, " ".join(v)) for k, v in texts.items()]
+    sets = similarity.shingle_sets(spark.createDataFrame(rows, "id string, text string"))
+    ranked = sets.select("id", F.struct((-F.col("words")).alias("w"), "id").alias("rank"))
+    _, removed = similarity.keep_distinct(ranked, sets, similarity.similar_pairs(sets, 0.8))
+    terms = {k: shingles(t) for k, t in rows}
+    near = lambda a, b: len(terms[a] & terms[b]) / len(terms[a] | terms[b]) >= 0.92 and min(len(texts[a]), len(texts[b])) / max(len(texts[a]), len(texts[b])) >= 0.85
+    kept, want = [], {}
+    for k in sorted(texts, key=lambda k: (-len(texts[k]), k)):
+        found = sorted(o for o in kept if near(k, o))
+        if found:
+            want[k] = found[0]
+        else:
+            kept.append(k)
+    assert {want[k] for k in ("c1", "c2", "c3")} == {"x"} and "d" not in want and want["e"] == "d"
+    assert {r["removed_id"]: r["retained_id"] for r in removed.collect()} == want
