@@ -22,6 +22,8 @@ from .graph import connected_components
 
 WIDTH = 7
 BANDS, ROWS = 16, 8
+#: Sets of a block, of which every two of a bucket meet.
+PART = 256
 _WORD = re.compile(r"\w+(?:['’]\w+)*")
 
 
@@ -61,13 +63,18 @@ def _verified(candidates: DataFrame, sets: DataFrame, minimum: float) -> DataFra
     return scored.select("first", "second", "jaccard", ratio.alias("word_ratio"))
 
 
-def similar_pairs(sets: DataFrame, minimum: float = 0.8) -> DataFrame:
-    """All pairs of at least `minimum` (first < second), exactly. Equal sets are paired through one of them only."""
+def _collapsed(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sets, copies, ones): sets that aren't empty, pairs of copies with the least id of their set, and one row a set."""
     sets = materialise(sets.where(F.size("shingles") > 0), "sets")
     # equal sets collapse before anything is paired: a group of n copies makes n-1 pairs with its least id
     same = sets.groupBy("shingles").agg(F.min("id").alias("least"))
     copies = sets.join(same, "shingles").where("id <> least").select(F.col("least").alias("first"), F.col("id").alias("second"))
-    ones = materialise(sets.join(same.select(F.col("least").alias("id")), "id", "left_semi"), "sets")
+    return sets, copies, materialise(sets.join(same.select(F.col("least").alias("id")), "id", "left_semi"), "sets")
+
+
+def similar_pairs(sets: DataFrame, minimum: float = 0.8) -> DataFrame:
+    """All pairs of at least `minimum` (first < second), exactly. Equal sets are paired through one of them only."""
+    sets, copies, ones = _collapsed(sets)
     postings = ones.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     frequency = postings.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "shingle"))
@@ -109,12 +116,16 @@ def minhash_bands(sets: DataFrame, bands: int = BANDS, rows: int = ROWS, seed: i
 
 
 def banded_pairs(sets: DataFrame, minimum: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Verified pairs among those that share a band with the least id of the band's bucket (approximate retrieval)."""
-    sets = materialise(sets, "sets")
-    keys = minhash_bands(sets, bands, rows)
-    least = keys.groupBy("band").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = keys.join(least, "band").where("id <> first").select("first", F.col("id").alias("second")).distinct()
-    return _verified(pairs, sets, minimum)
+    """All pairs of at least `minimum` among those that share a band (approximate retrieval). Equal sets are paired through one of them only."""
+    sets, copies, ones = _collapsed(sets)
+    keys = materialise(minhash_bands(ones, bands, rows), "bands")
+    # a bucket is cut into blocks of some PART sets, and every two blocks meet in a task of their own
+    parts = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band", F.ceil(F.col("n") / F.lit(PART)).cast("int").alias("parts"))
+    dealt = keys.join(parts, "band").withColumns({"own": F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), "any": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    left = dealt.select("band", F.col("own").alias("row"), F.col("any").alias("col"), F.col("id").alias("first"))
+    right = dealt.select("band", F.col("any").alias("row"), F.col("own").alias("col"), F.col("id").alias("second"))
+    pairs = left.join(right, ["band", "row", "col"]).where("first < second").select("first", "second").distinct()
+    return _verified(pairs.unionByName(copies), sets, minimum)
 
 
 def duplicate_edges(pairs: DataFrame, similarity: float = 0.92, word_ratio: float = 0.85) -> DataFrame:

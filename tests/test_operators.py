@@ -239,3 +239,15 @@ def test_copies_beside_a_longer_near_copy_all_go(spark):
             kept.append(k)
     assert {want[k] for k in ("c1", "c2", "c3")} == {"x"} and "d" not in want and want["e"] == "d"
     assert {r["removed_id"]: r["retained_id"] for r in removed.collect()} == want
+
+
+def test_banded_pairs_verify_whole_buckets(spark):
+    draw = random.Random(3)
+    base = [f"w{i}" for i in range(1500)]
+    texts = {i: base[: 1500 - i] + [f"t{i}"] for i in range(12)} | {i: texts_of for i, texts_of in ((20, base[:900]), (21, base[:900]), (22, base[:895]), (30, []))}
+    rows = [(i, " ".join(v)) for i, v in texts.items()]
+    draw.shuffle(rows)
+    found = similarity.banded_pairs(similarity.shingle_sets(spark.createDataFrame(rows, "id long, text string")), 0.95)
+    terms = {k: shingles(t) for k, t in rows}
+    want = {(a, b) for a, b in itertools.combinations(sorted(texts), 2) if terms[a] and terms[b] and len(terms[a] & terms[b]) / len(terms[a] | terms[b]) >= 0.95}
+    assert {(r["first"], r["second"]) for r in found.collect()} == want - {(21, 22)}  # 21 is a copy of 20
