@@ -251,3 +251,18 @@ def test_banded_pairs_verify_whole_buckets(spark):
     terms = {k: shingles(t) for k, t in rows}
     want = {(a, b) for a, b in itertools.combinations(sorted(texts), 2) if terms[a] and terms[b] and len(terms[a] & terms[b]) / len(terms[a] | terms[b]) >= 0.95}
     assert {(r["first"], r["second"]) for r in found.collect()} == want - {(21, 22)}  # 21 is a copy of 20
+
+
+def test_restored_punctuation_has_every_document(spark, tmp_path):
+    from loomtext.plans.queries import restored_punctuation
+
+    long = "word , " * 1000
+    rows = [(1, "a , b ( c ) @-@ d ."), (2, long), (3, None), (4, " one\t@-@ two [ x ] ")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["restored"] for r in restored_punctuation(spark, str(tmp_path)).collect()}
+
+    def restored(text):
+        text = re.sub(r"([(\[])[ \t]+", r"\1", re.sub(r"[ \t]+([,.;:!?%)\]])", r"\1", text))
+        return re.sub(r"\s+@-@\s+", "-", text, flags=re.ASCII).strip(" ")
+
+    assert got == {i: None if text is None else restored(text) for i, text in rows}
