@@ -407,4 +407,4 @@ def detector_report(spark, sf):
 
     rows = _scored(spark, sf).drop("score", "split").join(_docs(spark, sf, "doc_id", "text").withColumnRenamed("doc_id", "id"), "id").where("source_language = 'en'")
     rows = rows.withColumn("split", splits.split_of(splits.hash_bucket(F.col("id").cast("string")), 60, 20))
-    return detector.train_and_report(rows, 0.05, features=5_000)[1]
+    return detector.train_and_report(rows, 0.05)[1]

@@ -266,3 +266,11 @@ def test_restored_punctuation_has_every_document(spark, tmp_path):
         return re.sub(r"\s+@-@\s+", "-", text, flags=re.ASCII).strip(" ")
 
     assert got == {i: None if text is None else restored(text) for i, text in rows}
+
+
+def test_detector_report_uses_all_features(monkeypatch, spark, sf):
+    from loomtext.operators import detector
+    from loomtext.plans.queries import detector_report
+
+    monkeypatch.setattr(detector, "train_and_report", lambda rows, maximum_fpr, **options: (None, options))
+    assert detector_report(spark, sf).get("features", detector.FEATURES) == 75_000
