@@ -6,9 +6,10 @@ other URL is judged by the length-normalised difference of its log-likelihoods u
 calibrated on labelled URLs that were held out of the counts, so that at most ACCEPT_LOSS of the accepted are blocked.
 
 A model in back-off form is additive: the log-ratio of a URL is a sum, over the n-grams it contains, of one number
-for each n-gram. So scoring is one explode, one hash join and one sum in the task that read the URL. N-grams rarer
-than a fixed share of all n-gram positions are not kept; since an n-gram is never more frequent than its parts, what is
-kept is closed under shortening, and at most (ORDER+1)/SHARE n-grams can be kept, which bounds the broadcast.
+for each n-gram. So scoring is one explode, two joins and one sum. Every n-gram that occurs LEAST times among the labelled
+URLs is kept; since an n-gram is never more frequent than its parts, what is kept is closed under shortening. The model
+grows with the input: n-grams that hold a fixed share of all n-gram positions, at most (ORDER+1)/SHARE of them, are joined by
+a broadcast, and the rarer ones, of which none is hot, by a shuffle.
 
 Defined cases: a null URL, or one without "://", has an empty host and path and no rule; a null URL scores as an
 empty string; with no accepted or no rejected labels the method allows; repeated rows are judged alike; an empty table
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from ..session import materialise, table
 
 ORDER = 4
-#: An n-gram is kept when it holds this share of all n-gram positions of its order, and two occurrences.
+#: Occurrences among the labelled URLs from which on an n-gram is kept.
+LEAST = 2
+#: N-grams of at least this share of all positions are joined by a broadcast, the others by a shuffle. (The SQL still drops the others.)
 SHARE = 2e-5
 #: One labelled URL in this many is held out of the counts and calibrates the threshold.
 HELD_OUT = 5
@@ -80,13 +83,15 @@ def _grams(symbols: Column) -> Column:
     return F.flatten(F.array(*[of(n) for n in range(1, ORDER + 2)]))
 
 
-def _counted(labelled: DataFrame) -> DataFrame:
-    """(gram, n, yes, no): counts of the kept n-grams among accepted and rejected URLs."""
-    grams = labelled.select("accepted", F.explode(_grams(F.col("symbols"))).alias("gram"))
-    counts = grams.groupBy("gram").agg(F.sum(F.col("accepted").cast("long")).alias("yes"), F.sum((~F.col("accepted")).cast("long")).alias("no"))
+def _counted(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gram, n, yes, no): counts of the kept n-grams among accepted and rejected URLs; (gram): n-grams frequent among all URLs."""
+    side = F.when(F.col("verdict").isNotNull() & ~F.col("held_out"), F.col("accepted"))
+    grams = parsed.select(side.alias("accepted"), _symbols(F.col("url")).alias("symbols")).select("accepted", F.explode(_grams(F.col("symbols"))).alias("gram"))
+    number = lambda of: F.sum(F.when(of, 1).otherwise(0).cast("long"))
+    counts = grams.groupBy("gram").agg(number(F.col("accepted")).alias("yes"), number(~F.col("accepted")).alias("no"), F.count("*").alias("all"))
     counts = materialise(counts.withColumn("n", F.length("gram")), "grams")
-    positions = counts.where("n = 1").agg(F.sum(F.col("yes") + F.col("no"))).first()[0] or 0
-    return counts.where((F.col("yes") + F.col("no")) >= max(2, SHARE * positions))
+    positions = counts.where("n = 1").agg(F.sum("all")).first()[0] or 0
+    return counts.where(F.col("yes") + F.col("no") >= LEAST).drop("all"), counts.where(F.col("all") >= SHARE * positions).select("gram")
 
 
 def _model(counts: DataFrame) -> tuple[DataFrame, float]:
@@ -144,13 +149,20 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, page_id: str =
     parsed = parsed.select("_row", "page_id", "url", "host", "path", "_rule.rule", "_rule.verdict")
     parsed = parsed.withColumns({"accepted": F.col("verdict") == "allow", "held_out": F.conv(F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 8), 16, 10).cast("long") % HELD_OUT == 0})
     parsed = materialise(parsed, "urls")
-    labelled = parsed.where("verdict IS NOT NULL AND NOT held_out").select("accepted", _symbols(F.col("url")).alias("symbols"))
+    labelled = parsed.where("verdict IS NOT NULL AND NOT held_out")
     if {r[0] for r in labelled.select("accepted").distinct().collect()} != {True, False}:
         return parsed.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"), F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("threshold"))
-    model, constant = _model(_counted(labelled))
-    symbols = parsed.select("_row", _symbols(F.col("url")).alias("symbols"))
-    hits = symbols.select("_row", F.explode(_grams(F.col("symbols"))).alias("gram")).join(F.broadcast(model), "gram")
-    sums = hits.groupBy("_row").agg(F.sum(F.round("value", 9).cast("decimal(28,9)")).cast("double").alias("sum"))
+    counts, frequent = _counted(parsed)
+    frequent = materialise(frequent, "frequent")
+    model, constant = _model(counts)
+    value = F.round("value", 9).cast("decimal(28,9)")
+    grams = parsed.select("_row", _symbols(F.col("url")).alias("symbols")).select("_row", F.explode(_grams(F.col("symbols"))).alias("gram"))
+    sums = grams.join(F.broadcast(model.join(frequent, "gram", "left_semi")), "gram").groupBy("_row").agg(F.sum(value).alias("sum"))
+    rare = model.join(frequent, "gram", "left_anti")
+    if not rare.isEmpty():
+        hits = grams.join(F.broadcast(frequent), "gram", "left_anti").join(rare.hint("shuffle_hash"), "gram")
+        sums = sums.unionByName(hits.groupBy("_row").agg(F.sum(value).alias("sum")))
+    sums = sums.groupBy("_row").agg(F.sum("sum").cast("double").alias("sum"))
     positions = F.length(F.coalesce("url", F.lit(""))) + 2
     score = F.coalesce("sum", F.lit(0.0)) / positions + F.lit(constant)
     scored = materialise(parsed.join(sums, "_row", "left").withColumn("score", score), "scored-urls")

@@ -96,6 +96,28 @@ def test_url_models_tell_held_out_rules_apart(spark):
     assert right / len(rows) > 0.9
 
 
+def test_rare_url_evidence_counts_on_a_large_table(spark):
+    draw = random.Random(4)
+    word = lambda k: "".join(draw.choices("abcdefgh", k=k))
+    urls = [f"http://{word(8)}.{draw.choice(('com', 'net/es'))}/{word(12)}" for _ in range(6000)]
+    held = lambda u: int(hashlib.md5(u.encode()).hexdigest()[:8], 16) % urlfilter.HELD_OUT == 0
+    urls += [u for k in range(40) for u in [f"http://{word(8)}.com/zqzq{k}"] if not held(u)][:3]  # three of some 150,000 positions
+    samples = [(v == "allow", u) for u in urls for _, v in [rule_of(*split_url(u))] if v and not held(u)]
+    assert sum(len(u) + 2 for _, u in samples) * urlfilter.SHARE > 3
+    asked = "http://x.org/zqzq"
+    counts = Counter()
+    for accepted, url in samples:
+        s = "\x02" + url + "\x03"
+        for n in range(1, urlfilter.ORDER + 2):
+            for i in range(len(s) - n + 1):
+                counts[s[i : i + n], accepted] += 1
+    kept = {g: (counts[g, True], counts[g, False]) for g, _ in list(counts) if counts[g, True] + counts[g, False] >= 2}
+    (yes, n), (no, _) = log_probability(kept, asked, 0), log_probability(kept, asked, 1)
+    rows = spark.createDataFrame(list(enumerate([*urls, asked])), "page_id long, url string")
+    got = {r["page_id"]: r["score"] for r in urlfilter.filter_urls(rows).collect()}
+    assert abs(got[len(urls)] - (yes - no) / n) < 1e-6
+
+
 def test_urls_of_an_empty_table(spark):
     assert urlfilter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
