@@ -3,9 +3,9 @@
 Three pattern kinds (assign, access, hex) find secrets by shape. The method adds the kind `markov`: long token runs that
 two character Markov models, one of random strings and one of ordinary identifiers, tell apart by their
 log-likelihood ratio per character. The models are trained from labelled samples: random strings drawn from a seeded generator
-over the usual key alphabets, and identifiers made of words of a bounded sample of the corpus (SAMPLE_DOCUMENTS
-documents, those of least hash) joined in the usual ways. The threshold is calibrated on samples held out of the
-counts. Added spans never overlap a pattern's span.
+over the usual key alphabets, and identifiers made of the words of all documents, each weighing as often as its word occurs,
+joined in the usual ways. Words are counted, and the identifiers' trigrams summed, by distributed aggregates; the trigram table
+is bounded by the alphabet. The threshold is calibrated on samples held out of the counts. Added spans never overlap a pattern's span.
 
 Offsets are code points, end exclusive. Defined cases: a null or empty text has no spans; a table without words gives
 models of the generated samples alone; repeated rows are scanned each; an empty table gives an empty result. Every
@@ -17,6 +17,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -24,12 +26,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import small_batches, table
+from ..session import materialise, small_batches, table
 
 KINDS = ("assign", "access", "hex", "markov")
-#: Labelled samples of each class, and the documents whose words make the identifiers.
+#: Generated samples of each class, beside the identifiers made of the corpus.
 SAMPLES = 20_000
-SAMPLE_DOCUMENTS = 1_000
 MIN_RUN = 20
 #: Share of held-out identifiers that may pass as random.
 FALSE_ALARMS = 0.0005
@@ -79,6 +80,15 @@ def _codes(token: str) -> np.ndarray:
     return _CODE[np.frombuffer(token.encode("ascii"), dtype=np.uint8)]
 
 
+def _trigrams(tokens: Sequence[str], weights: Sequence[int]) -> np.ndarray:
+    """Counts of all character triples of weighted tokens."""
+    counts = np.zeros(_STATES**3)
+    for token, weight in zip(tokens, weights, strict=True):
+        c = np.concatenate(([0, 0], _codes(token)))
+        np.add.at(counts, (c[:-2] * _STATES + c[1:-1]) * _STATES + c[2:], float(weight))
+    return counts
+
+
 class MarkovPair:
     """Order-2 character models of random strings and identifiers, interpolated with order 1, as one table of log-ratios."""
 
@@ -96,10 +106,10 @@ class MarkovPair:
 
     @staticmethod
     def _log_model(samples: Sequence[str]) -> np.ndarray:
-        counts = np.zeros(_STATES**3)
-        for token in samples:
-            c = np.concatenate(([0, 0], _codes(token)))
-            np.add.at(counts, (c[:-2] * _STATES + c[1:-1]) * _STATES + c[2:], 1.0)
+        return MarkovPair._log_of(_trigrams(samples, [1] * len(samples)))
+
+    @staticmethod
+    def _log_of(counts: np.ndarray) -> np.ndarray:
         triples = counts.reshape(_STATES, _STATES, _STATES)
         pairs = triples.sum(axis=0)
         singles = pairs.sum(axis=0) + 1.0
@@ -122,41 +132,104 @@ def random_samples(n: int = SAMPLES, seed: int = 7) -> list[str]:
     return ["".join(draw.choices(draw.choice(alphabets), k=draw.randint(MIN_RUN, 64))) for _ in range(n)]
 
 
+_STYLES = ("", "_", "-", ".", "/", "Camel", "UPPER")
+
+
+def _named(draw: random.Random, style: str, parts: Sequence[str]) -> str:
+    if style == "Camel":
+        name = "".join(p.capitalize() for p in parts)
+    elif style == "UPPER":
+        name = draw.choice(("", "_")).join(p.upper() for p in parts)
+    else:
+        name = style.join(parts)
+    if draw.random() < 0.2:
+        name += draw.choice(("", "_", "-", ".")) + str(draw.randint(0, 2030))
+    return name
+
+
 def identifier_samples(words: Sequence[str], n: int = SAMPLES, seed: int = 11) -> list[str]:
     """Names of at least MIN_RUN characters made of words: joined plainly, with _, -, ., / or capitals, with or without a number."""
     draw = random.Random(seed)
     words = list(words)
     out = []
     for _ in range(n):
-        style, parts = draw.choice(("", "_", "-", ".", "/", "Camel", "UPPER")), []
+        style, parts = draw.choice(_STYLES), []
         while sum(map(len, parts)) < MIN_RUN + draw.randint(0, 12):
             parts.append(draw.choice(words if words and draw.random() < 0.5 else COMMON_WORDS))
-        if style == "Camel":
-            name = "".join(p.capitalize() for p in parts)
-        elif style == "UPPER":
-            name = draw.choice(("", "_")).join(p.upper() for p in parts)
-        else:
-            name = style.join(parts)
-        if draw.random() < 0.2:
-            name += draw.choice(("", "_", "-", ".")) + str(draw.randint(0, 2030))
-        out.append(name)
+        out.append(_named(draw, style, parts))
+    return out
+
+
+def word_identifiers(word: str) -> list[str]:
+    """One name in each style of a word, about half of its parts, and common words; the same for a word on any machine."""
+    draw, out = random.Random(zlib.crc32(word.encode())), []
+    for style in _STYLES:
+        parts = [word]
+        while sum(map(len, parts)) < MIN_RUN + draw.randint(0, 12):
+            parts.append(word if draw.random() < 0.5 else draw.choice(COMMON_WORDS))
+        draw.shuffle(parts)
+        out.append(_named(draw, style, parts))
     return out
 
 
-def train_models(docs: DataFrame, text: str = "text", samples: int = SAMPLES, documents: int = SAMPLE_DOCUMENTS) -> MarkovPair:
-    def words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _held_out(name: str) -> bool:
+    return zlib.crc32(name.encode()) % 5 == 0
+
+
+def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): the occurrences of every word in all documents."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = {w for t in frame["text"] for w in _WORD.findall(t)}
-            yield pd.DataFrame({"word": sorted(found)})
+            found: Counter = Counter()
+            for t in frame["text"]:
+                found.update(_WORD.findall(t))
+            yield pd.DataFrame({"word": list(found), "n": list(found.values())}).astype({"n": "int64"})
 
     small_batches(docs.sparkSession)
-    hashed = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    # the cut is found on hashes alone, so no task gathers texts of all partitions
-    cut = hashed.select("h").distinct().orderBy("h").limit(documents).agg(F.max("h")).first()[0]
-    some = hashed.where(F.col("h") <= F.lit(cut)).groupBy("h").agg(F.first("text").alias("text")).select("text")
-    counted = some.mapInPandas(words, "word string").groupBy("word").agg(F.xxhash64("word").alias("h")).orderBy("h").limit(samples)
-    vocabulary = sorted(r[0] for r in counted.select("word").collect())
-    return MarkovPair.train(random_samples(samples), identifier_samples(vocabulary, samples))
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
+    return texts.mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def train_models(docs: DataFrame, text: str = "text", samples: int = SAMPLES) -> MarkovPair:
+    """The models from the generated samples and the words of all documents."""
+    words = materialise(count_words(docs, text), "words")
+
+    def triples(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(_STATES**3)
+        for frame in frames:
+            names = [(x, n) for w, n in zip(frame["word"], frame["n"], strict=True) for x in word_identifiers(w) if not _held_out(x)]
+            total += _trigrams([x for x, _ in names], [n for _, n in names])
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"triple": at, "n": total[at].astype(np.int64)})
+
+    made = identifier_samples((), samples)
+    counts = _trigrams([x for x in made if not _held_out(x)], [1] * sum(not _held_out(x) for x in made))
+    of_words = words.mapInPandas(triples, "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n")).toPandas()
+    counts[of_words["triple"].to_numpy(dtype=np.int64)] += of_words["n"].to_numpy(dtype=np.float64)
+    drawn = [x for i, x in enumerate(random_samples(samples)) if i % 5]
+    models = MarkovPair(MarkovPair._log_model(drawn) - MarkovPair._log_of(counts), 0.0)
+    score = lambda x: round(models.score(x), 3)
+
+    def scores(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found: Counter = Counter()
+            for w, n in zip(frame["word"], frame["n"], strict=True):
+                for x in word_identifiers(w):
+                    if _held_out(x):
+                        found[score(x)] += n
+            yield pd.DataFrame({"score": list(found), "n": list(found.values())}).astype({"score": "float64", "n": "int64"})
+
+    # scores of three decimals, so the histogram is bounded
+    bins = Counter({r[0]: r[1] for r in words.mapInPandas(scores, "score double, n long").groupBy("score").agg(F.sum("n")).collect()})
+    bins.update(score(x) for x in made if _held_out(x))
+    left = FALSE_ALARMS * sum(bins.values())
+    for value in sorted(bins, reverse=True):
+        left -= bins[value]
+        if left < 0:
+            models.threshold = max(0.0, value)
+            break
+    return models
 
 
 def all_spans(text: str | None, models: MarkovPair) -> tuple[list[Span], list[Span]]:

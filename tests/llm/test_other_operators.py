@@ -166,6 +166,17 @@ def test_secret_scan(spark, sf, models):
         assert set(f"{k}:{a}:{b}" for a, b, k in base) <= set(r["spans"].split(","))
 
 
+def test_identifier_model_learns_from_every_document(spark):
+    docs = spark.createDataFrame([(i, f"plain words of text number{i}") for i in range(1500)] + [(9000 + i, f"zqxjk vwqzx {i}") for i in range(1500)], "doc_id long, text string")
+    counted = {r["word"]: r["n"] for r in secrets.count_words(docs).collect()}
+    assert counted["zqxjk"] == counted["vwqzx"] == counted["plain"] == 1500 and counted["number"] == 1500
+    name = "zqxjk_vwqzx_zqxjk_vwqzx"
+    models = secrets.train_models(docs)
+    assert models.score(name) < models.threshold and not secrets.all_spans(name, models)[1]
+    once = secrets.train_models(docs.where("doc_id <= 9000"))
+    assert models.score(name) < once.score(name)  # counts, not only the words, are gathered
+
+
 def test_added_spans_and_redaction(models):
     key = "xK9vQ2mZp7Lr4TnB8sWd3Yh6"
     text = f"see {key} or password=hunter22 é"
