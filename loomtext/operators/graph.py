@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", nodes: DataFrame | None = None, max_rounds: int = 100) -> DataFrame:
@@ -21,7 +21,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", n
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        current = materialise(_small_star(_large_star(current)), "cc")
+        last, current = current, materialise(_small_star(_large_star(current)), "cc")
+        discard(last)
         before, mark = mark, _mark(current)
         if mark == before:
             break
