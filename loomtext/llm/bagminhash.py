@@ -74,15 +74,21 @@ def signatures(keys: np.ndarray, weights: np.ndarray, owner: np.ndarray, documen
     return (values >> np.uint64(32)).astype(np.uint32).reshape(documents, components)
 
 
-def text_signatures(texts, components: int = COMPONENTS) -> np.ndarray:
-    """Signatures of the texts' shingle multisets, in pieces of bounded size."""
+def signed_texts(texts, components: int = COMPONENTS) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the texts' shingle multisets, in pieces of bounded size, and the shingles of each text."""
     out = np.zeros((len(texts), components), dtype=np.uint32)
+    total = np.zeros(len(texts), dtype=np.int64)
     for piece in batches(texts):
         hashes, counts = shingle_hashes(texts[piece])
         owner = np.repeat(np.arange(len(counts)), counts)
         keys, owner, weights = _distinct(hashes, owner)
         out[piece] = signatures(keys, weights, owner, len(counts), components)
-    return out
+        total[piece] = counts
+    return out, total
+
+
+def text_signatures(texts, components: int = COMPONENTS) -> np.ndarray:
+    return signed_texts(texts, components)[0]
 
 
 def _distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

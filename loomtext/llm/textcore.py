@@ -16,7 +16,7 @@ import numpy as np
 SHINGLE_WORDS = 5
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_BATCH_BYTES = 1_000_000
+_BATCH_BYTES = 300_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -55,7 +55,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get("p")
     if have is None or len(have) < n:
-        size = max(n, _BATCH_BYTES * 2)
+        size = max(n, _BATCH_BYTES)
         ones = np.full(size, _BASE, dtype=np.uint64)
         ones[0] = 1
         inverse = np.full(size, _INVERSE, dtype=np.uint64)

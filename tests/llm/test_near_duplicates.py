@@ -139,3 +139,59 @@ def test_links_inside_a_hot_group_of_texts_that_share_boilerplate(spark):
     bags = {i: bag(text) for i, text in rows[:40]}
     assert all((similarity(bags[a], bags[b]) >= 0.8) == (want[a] == want[b]) for a, b in itertools.combinations(bags, 2))
     assert classes(neardup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == want
+
+
+def brute_force(rows):
+    """The least doc_id of every row's class, from all pairs."""
+    bags, parent = {i: bag(text) for i, text in rows}, {i: i for i, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(bags), 2):
+        if similarity(bags[a], bags[b]) >= 0.8:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in parent}
+
+
+def test_near_copies_on_both_sides_of_the_limit_match_brute_force(spark, monkeypatch):
+    draw = random.Random(1)
+    word = lambda: "".join(draw.choices("abcdefghijklmnop", k=6))
+    rows = []
+    for group in range(2):
+        base = [word() for _ in range(120)]
+        for i in range(200):
+            w = list(base)
+            for _ in range(2):
+                w[draw.randrange(len(w))] = word()
+            rows.append((group * 200 + i, " ".join(w)))
+    want = brute_force(rows)
+    assert 20 < len(set(want.values())) < 300
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert classes(neardup.near_duplicate_classes(df).collect()) == want
+    # the same classes when buckets are cut into many small blocks
+    monkeypatch.setattr(neardup, "PART", 16)
+    monkeypatch.setattr(neardup, "PART_ELEMENTS", 1 << 11)
+    assert classes(neardup.near_duplicate_classes(df).collect()) == want
+
+
+def test_overlaps_of_sets():
+    texts = [" ".join(random.Random(i).choices("abc", k=30 + 5 * i)) for i in range(9)]
+    sets = [neardup.elements_of(t) for t in texts]
+    want = [[sum((bag(a) & bag(b)).values()) for b in texts] for a in texts]
+    apart = ~np.eye(9, dtype=bool)  # an element that one set alone has is left out
+    assert (neardup.overlaps(sets) == want)[apart].all()
+    assert (neardup.overlaps(sets[:4], sets[4:]) == np.array(want)[:4, 4:]).all()
+    assert [[neardup.common(a, b) for b in sets] for a in sets] == want
+    assert neardup.overlaps([np.zeros(0, np.uint64)]).tolist() == [[0.0]]
+
+
+def test_dropping_keeps_columns_named_as_our_own(spark):
+    names = ["doc_id", "text", "near_node", "kept_node", "kept_id", "node", "id", "repeated", "Best"]
+    rows = [(2**53 + 1, "one text of more than five words", *"abcdefg"), (2**53 + 3, "one text of more than five words", *"hijklmn"), (None, None, *"opqrstu")]
+    kept = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[2:])))
+    assert kept.columns == names
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2]], key=str)
