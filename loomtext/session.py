@@ -85,6 +85,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df if it is a working table already, else df written as one."""
+    return df if df in _WRITTEN else materialise(df, label)
+
+
 def materialise_small(df: DataFrame, label: str) -> DataFrame:
     """materialise, with small Arrow batches: for tables of long texts."""
     with small_batches(df.sparkSession):
@@ -104,7 +109,7 @@ def discard(*tables: DataFrame) -> None:
 def fresh(stem: str, *taken: Iterable[str]) -> str:
     """A column name that begins with stem and is in none of the lists of names, whatever the case."""
     used = {name.lower() for names in taken for name in names}
-    return next(name for name in chain([stem], (f"{stem}{i}" for i in count())) if name.lower() not in used)
+    return next(name for name in chain([stem], (f"{stem}{i}" for i in count(1))) if name.lower() not in used)
 
 
 def release_on_exit(spark: SparkSession, path: str) -> None:
