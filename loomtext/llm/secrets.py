@@ -2,14 +2,16 @@
 
 Three pattern kinds (assign, access, hex) find secrets by shape. The method adds the kind `markov`: long token runs that
 two character Markov models, one of random strings and one of ordinary identifiers, tell apart by their
-log-likelihood ratio per character. The models are trained from labelled samples: random strings drawn from a seeded generator
-over the usual key alphabets, and identifiers made of the words of all documents, each weighing as often as its word occurs,
-joined in the usual ways. Words are counted, and the identifiers' trigrams summed, by distributed aggregates; the trigram table
-is bounded by the alphabet. The threshold is calibrated on samples held out of the counts. Added spans never overlap a pattern's span.
+log-likelihood ratio per character. The models are trained from labelled samples. Random strings: those that the patterns label in
+all documents, each once, and strings drawn from a seeded generator over the usual key alphabets. Identifiers: names made of the
+words of all documents, each weighing as often as its word occurs, joined in the usual ways. Strings and words are counted, and
+their trigrams summed, by distributed aggregates; the trigram table is bounded by the alphabet. The threshold is calibrated on
+samples held out of the counts. Added spans never overlap a pattern's span.
 
-Offsets are code points, end exclusive. Defined cases: a null or empty text has no spans; a table without words gives
+Offsets are code points, end exclusive. Defined cases: a null or empty text has no spans; a table without words or secrets gives
 models of the generated samples alone; repeated rows are scanned each; an empty table gives an empty result. Every
-text is scanned whole.
+text is scanned whole. Ids are passed on untouched, null ones too. Other columns may have any names: a scan ignores them and
+redaction returns them as they are.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..session import materialise, small_batches, table
+from ..session import discard, materialise, materialise_small, table
 
 KINDS = ("assign", "access", "hex", "markov")
 #: Generated samples of each class, beside the identifiers made of the corpus.
@@ -176,53 +180,95 @@ def _held_out(name: str) -> bool:
     return zlib.crc32(name.encode()) % 5 == 0
 
 
+def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(secret, sample, n): the words of all documents outside of secrets with their occurrences, and the strings of MIN_RUN
+    characters or more that the patterns label as secrets."""
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            words: Counter = Counter()
+            labelled: Counter = Counter()
+            for body in batch.column("text").to_pylist():
+                labelled.update(secret_strings(body))
+                words.update(_WORD.findall(without(body, base_spans(body))))
+            yield _packed(["secret", "sample", "n"], [*[(False, w, n) for w, n in words.items()], *[(True, x, n) for x, n in labelled.items()]], [pa.bool_(), pa.string(), pa.int64()])
+
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
+    return texts.mapInArrow(run, "secret boolean, sample string, n long").groupBy("secret", "sample").agg(F.sum("n").alias("n"))
+
+
+def _packed(names: Sequence[str], rows: Sequence[tuple], types: Sequence[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(types)], list(names))
+
+
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): the occurrences of every word in all documents."""
+    return labelled_samples(docs, text).where("NOT secret").select(F.col("sample").alias("word"), "n")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found: Counter = Counter()
-            for t in frame["text"]:
-                found.update(_WORD.findall(t))
-            yield pd.DataFrame({"word": list(found), "n": list(found.values())}).astype({"n": "int64"})
 
-    small_batches(docs.sparkSession)
-    texts = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
-    return texts.mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def without(text: str, spans: Sequence[Span]) -> str:
+    """The text with a blank in place of each span."""
+    parts, done = [], 0
+    for begin, end, _ in sorted(spans):
+        parts.append(text[done : max(begin, done)])
+        done = max(done, end)
+    return " ".join([*parts, text[done:]]) if spans else text
+
+
+def secret_strings(text: str) -> list[str]:
+    """The strings of at least MIN_RUN characters that the patterns label, without the name before them."""
+    if not (":" in text or "=" in text or max(map(len, text.split()), default=0) >= MIN_RUN):
+        return []
+    found = [(m[2]) for m in _ASSIGN.finditer(text)] if ":" in text or "=" in text else []
+    for run in _RUN.finditer(text):
+        found += [m[0] for m in _ACCESS.finditer(run[0])] + [m[0] for m in _HEX.finditer(run[0])]
+    return [x for x in found if len(x) >= MIN_RUN]
 
 
 def train_models(docs: DataFrame, text: str = "text", samples: int = SAMPLES) -> MarkovPair:
-    """The models from the generated samples and the words of all documents."""
-    words = materialise(count_words(docs, text), "words")
-
-    def triples(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(_STATES**3)
-        for frame in frames:
-            names = [(x, n) for w, n in zip(frame["word"], frame["n"], strict=True) for x in word_identifiers(w) if not _held_out(x)]
-            total += _trigrams([x for x, _ in names], [n for _, n in names])
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"triple": at, "n": total[at].astype(np.int64)})
-
-    made = identifier_samples((), samples)
-    counts = _trigrams([x for x in made if not _held_out(x)], [1] * sum(not _held_out(x) for x in made))
-    of_words = words.mapInPandas(triples, "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n")).toPandas()
-    counts[of_words["triple"].to_numpy(dtype=np.int64)] += of_words["n"].to_numpy(dtype=np.float64)
-    drawn = [x for i, x in enumerate(random_samples(samples)) if i % 5]
-    models = MarkovPair(MarkovPair._log_model(drawn) - MarkovPair._log_of(counts), 0.0)
+    """The models from the generated samples, and the labelled strings and the words of all documents."""
+    known = materialise_small(labelled_samples(docs, text), "samples")
+    words = known.where("NOT secret").select("sample", "n")
+
+    def triples(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {False: np.zeros(_STATES**3), True: np.zeros(_STATES**3)}
+        for batch in found:
+            names: dict[bool, list] = {False: [], True: []}
+            for secret, sample, n in zip(*[batch.column(c).to_pylist() for c in ("secret", "sample", "n")], strict=True):
+                if secret:
+                    names[True].append((sample, 1))  # a secret in many copies is one sample
+                else:
+                    names[False] += [(x, n) for x in word_identifiers(sample) if not _held_out(x)]
+            for side, listed in names.items():
+                total[side] += _trigrams([x for x, _ in listed], [n for _, n in listed])
+        for side, counts in total.items():
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), side)), pa.array(at), pa.array(counts[at].astype(np.int64))], ["secret", "triple", "n"])
+
+    made, drawn = identifier_samples((), samples), random_samples(samples)
+    counts = {
+        False: _trigrams([x for x in made if not _held_out(x)], [1] * sum(not _held_out(x) for x in made)),
+        True: _trigrams([x for i, x in enumerate(drawn) if i % 5], [1] * sum(i % 5 > 0 for i in range(len(drawn)))),
+    }
+    # at most two tables of the alphabet's triples
+    for side, triple, n in known.mapInArrow(triples, "secret boolean, triple long, n long").groupBy("secret", "triple").agg(F.sum("n").alias("n")).toPandas().itertuples(index=False):
+        counts[side][triple] += n
+    models = MarkovPair(MarkovPair._log_of(counts[True]) - MarkovPair._log_of(counts[False]), 0.0)
     score = lambda x: round(models.score(x), 3)
 
-    def scores(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found: Counter = Counter()
-            for w, n in zip(frame["word"], frame["n"], strict=True):
-                for x in word_identifiers(w):
+    def scores(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            seen: Counter = Counter()
+            for word, n in zip(batch.column("sample").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                for x in word_identifiers(word):
                     if _held_out(x):
-                        found[score(x)] += n
-            yield pd.DataFrame({"score": list(found), "n": list(found.values())}).astype({"score": "float64", "n": "int64"})
+                        seen[score(x)] += n
+            yield _packed(["score", "n"], list(seen.items()), [pa.float64(), pa.int64()])
 
     # scores of three decimals, so the histogram is bounded
-    bins = Counter({r[0]: r[1] for r in words.mapInPandas(scores, "score double, n long").groupBy("score").agg(F.sum("n")).collect()})
+    bins = Counter({r[0]: r[1] for r in words.mapInArrow(scores, "score double, n long").groupBy("score").agg(F.sum("n")).collect()})
     bins.update(score(x) for x in made if _held_out(x))
+    discard(known)
     left = FALSE_ALARMS * sum(bins.values())
     for value in sorted(bins, reverse=True):
         left -= bins[value]
@@ -253,21 +299,21 @@ def joined(spans: Sequence[Span]) -> str:
 def scan_secrets(docs: DataFrame, models: MarkovPair | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, the counts of the base kinds, base_sha256, spans and n_markov."""
     models = models or train_models(docs, text)
-    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string"
+    names = ["n_assign", "n_access", "n_hex", "n_markov", "base_sha256", "spans"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
             rows = []
-            for body in frame["text"]:
+            for body in batch.column("text").to_pylist():
                 base, spans = all_spans(body, models)
                 kinds = [s[2] for s in spans]
                 rows.append((*[kinds.count(k) for k in KINDS], hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_markov", "base_sha256", "spans"])
-            out.insert(0, "doc_id", frame["doc_id"].to_numpy())
-            yield out
+            packed = _packed(names, rows, [pa.int64()] * 4 + [pa.string()] * 2)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *packed.columns], ["doc_id", *names])
 
-    small_batches(docs.sparkSession)
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    schema = StructType([slim.schema["doc_id"], *[StructField(n, LongType() if n.startswith("n_") else StringType()) for n in names]])
+    return materialise_small(slim.mapInArrow(run, schema), "secrets")
 
 
 def redact(text: str | None, models: MarkovPair) -> str | None:
@@ -283,16 +329,25 @@ def redact(text: str | None, models: MarkovPair) -> str | None:
     return "".join(parts) + text[done:]
 
 
-def redact_secrets(docs: DataFrame, models: MarkovPair | None = None, text: str = "text") -> DataFrame:
-    """docs with the secrets in its text column replaced; all rows and other columns stay."""
-    models = models or train_models(docs, text)
-
+def redacted(text: Column, models: MarkovPair) -> Column:
     @F.pandas_udf("string")
     def clean(bodies: pd.Series) -> pd.Series:
         return pd.Series([redact(b, models) for b in bodies], dtype=object)
 
-    small_batches(docs.sparkSession)
-    return docs.withColumn(text, clean(F.col(text)))
+    return clean(text)
+
+
+def redact_secrets(docs: DataFrame, models: MarkovPair | None = None, text: str = "text", length: str | None = None) -> DataFrame:
+    """docs with the secrets in its text column replaced; all rows and other columns stay.
+
+    A column named by `length` gets the new number of characters where the text changed.
+    """
+    models = models or train_models(docs, text)
+    new = {text: redacted(F.col(text), models)}
+    if length is not None:
+        changed = F.when(new[text] != F.col(text), F.length(new[text]).cast(docs.schema[length].dataType))
+        new[length] = F.coalesce(changed, F.col(length))
+    return materialise_small(docs.withColumns(new), "redacted")
 
 
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
