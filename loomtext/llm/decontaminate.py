@@ -1,4 +1,4 @@
-"""Operator 3: benchmark decontamination by a BM25 index of the test items, searched with block-max bounds.
+"""Operator 3: benchmark decontamination by a BM25 index of the test items, searched by block-max WAND.
 
 The test items are the indexed side; every passage of every training document is a query. A posting's weight is its BM25 part
 divided by the item's own score, so a score is the share of the item's BM25 mass that the passage covers. A retrieved
@@ -6,41 +6,56 @@ item counts as leaked when the passage holds 80 % of the item's distinct five-wo
 and of its answer's (the last sentence). A passage that does so lacks at most as many of the item's words as a fifth of its
 shingles; one less the mass of that many of its heaviest terms is the item's threshold, so no leak scores below it.
 
-Items lie in blocks, and each term has the largest weight of any of its postings in each block. As in WAND, terms that
-together cannot lift any item by more than SLACK are non-essential: they never start a candidate. A passage's sum of block
-maxima over its essential terms, plus SLACK, bounds the score of every item of the block; only blocks whose bound
-reaches their least threshold are scored exactly, and all items that reach theirs are retrieved and verified.
+A term's postings are sorted by item and lie in blocks of POSTINGS; each block has its largest weight and last item. A query
+moves one cursor a term: cursors are ordered by item, the pivot is the first item that their terms' maxima can lift to the least
+threshold, the maxima of the blocks that hold the pivot confirm it or the cursors skip past those blocks, and only confirmed
+pivots are scored. All items that reach their own threshold are retrieved and verified.
 
-A passage is two neighbouring strides of words, a stride being the longest item of the index part; so every stretch as
-long as an item lies whole in a passage. The index is read in parts of bounded size, each broadcast and run over
-all documents, so its memory does not grow with the number of items.
+Most passages are far from every item. So before the cursors move, one vectorised sum bounds a passage from above: items lie in
+RANGES ranges, each term has its largest weight in each range, and a passage goes on only if some range's sum reaches the
+range's least threshold. Terms that together cannot lift any item by more than SLACK are left out of that sum, which is compared with
+the threshold less SLACK.
+
+A passage is two neighbouring strides of words, a stride being the longest item; so every stretch as long as an item lies whole in
+a passage. Document frequencies, mean and longest length come from the whole benchmark, by distributed aggregates. The index is
+built and searched in parts of bounded size, one part at a time, so neither the driver nor a task holds more than one part, and
+results don't depend on how items fall into parts.
 
 Defined cases: null or empty texts and items match nothing; an item of fewer than five words is one shingle of all its
-words; items of equal text each match; repeated rows match each; an empty table gives an empty result.
+words; items of equal text each match; repeated rows match each; an empty table gives an empty result. Ids are passed on
+untouched, null ones too. Other columns may have any names: a search ignores them and filtering returns them as they are.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..session import small_batches, table
+from ..session import discard, materialise, materialise_small, table
 from .textcore import SHINGLE_WORDS, batches, flat_words, shingle_hashes
 
 K1, B = 1.2, 0.75
 SLACK = 0.1
 CONTAINED = 0.8
+#: Bounds of an index part.
 ITEMS_PER_PART = 4_000
 CHARACTERS_PER_PART = 4_000_000
-BLOCKS = 32
+#: Postings of a block.
+POSTINGS = 32
+RANGES = 32
+_TINY = 1e-9
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -50,11 +65,37 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (text, text)
 
 
+class Statistics:
+    """Number, mean and largest length of all items that have words, and in how many of them each of some words is."""
+
+    def __init__(self, items: int, mean: float, longest: int, frequency: Mapping[bytes, int]):
+        self.items, self.mean, self.longest, self.frequency = items, mean, longest, frequency
+
+    @classmethod
+    def of(cls, texts: Sequence[str]) -> Statistics:
+        words = [ws for t in texts for ws in [flat_words(t).split()] if ws]
+        return cls(len(words), sum(map(len, words)) / max(1, len(words)), max(map(len, words), default=0), Counter(w for ws in words for w in set(ws)))
+
+
+class Postings:
+    """Sorted items and weights of a term, in blocks with their last items and largest weights."""
+
+    __slots__ = ("items", "last", "most", "top", "weights")
+
+    def __init__(self, pairs: Sequence[tuple[int, float]]):
+        self.items, self.weights = [i for i, _ in pairs], [x for _, x in pairs]
+        starts = range(0, len(pairs), POSTINGS)
+        self.last = [self.items[min(s + POSTINGS, len(pairs)) - 1] for s in starts]
+        self.most = [max(self.weights[s : s + POSTINGS]) for s in starts]
+        self.top = max(self.most)
+
+
 class ItemIndex:
     """BM25 postings of the items with block maxima."""
 
-    def __init__(self, items: Sequence[tuple[object, str]]):
+    def __init__(self, items: Sequence[tuple[object, str]], known: Statistics | None = None):
         items = [(i, t) for i, t in items if flat_words(t)]
+        known = known or Statistics.of([t for _, t in items])
         self.ids = [i for i, _ in items]
         words = [flat_words(t).split() for _, t in items]
         self.shingles = [np.unique(shingle_hashes([t])[0]) for _, t in items]
@@ -62,53 +103,82 @@ class ItemIndex:
         self.questions = [np.unique(shingle_hashes([q])[0]) for q, _ in halves]
         self.answers = [np.unique(shingle_hashes([a])[0]) for _, a in halves]
         self.short = [(len(flat_words(t).split()), len(flat_words(q).split()), len(flat_words(a).split())) for (_, t), (q, a) in zip(items, halves, strict=True)]
-        self.stride = max([SHINGLE_WORDS, *map(len, words)])
-        n, mean = len(items), sum(map(len, words)) / max(1, len(words))
-        frequency = Counter(w for ws in words for w in set(ws))
-        self.terms = {w: k for k, w in enumerate(sorted(frequency))}
-        idf = {w: np.log(1 + (n - f + 0.5) / (f + 0.5)) for w, f in frequency.items()}
-        self.block = max(1, -(-n // BLOCKS))
+        self.stride = max(SHINGLE_WORDS, known.longest)
+        n = len(items)
+        present = sorted({w for ws in words for w in ws})
+        self.terms = {w: k for k, w in enumerate(present)}
+        idf = {w: float(np.log(1 + (known.items - known.frequency[w] + 0.5) / (known.frequency[w] + 0.5))) for w in present}
         self.thresholds = np.zeros(n)
-        self.postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
+        lists: list[list[tuple[int, float]]] = [[] for _ in present]
         for i, ws in enumerate(words):
-            part = {w: idf[w] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(ws) / mean)) for w, c in Counter(ws).items()}
+            part = {w: idf[w] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(ws) / known.mean)) for w, c in Counter(ws).items()}
             own = sum(part.values())
-            fifth = lambda x: int((1 - CONTAINED) * len(x) + 1e-9)
+            fifth = lambda x: int((1 - CONTAINED) * len(x) + _TINY)
             lost = max(fifth(self.shingles[i]), fifth(self.questions[i]) + fifth(self.answers[i]))
             self.thresholds[i] = 1 - sum(sorted(part.values(), reverse=True)[:lost]) / own - 1e-6
             for w, x in part.items():
-                self.postings[self.terms[w]].append((i, x / own))
-        blocks = -(-n // self.block) if n else 0
-        self.maxima = np.zeros((len(self.terms), blocks), dtype=np.float32)
-        for k, posting in enumerate(self.postings):
-            for i, x in posting:
-                self.maxima[k, i // self.block] = max(self.maxima[k, i // self.block], x)
-        self.needed = np.array([self.thresholds[b * self.block : (b + 1) * self.block].min() for b in range(blocks)]) - SLACK - 1e-4
-        # the most frequent terms are non-essential, as long as no item gets more than SLACK from all of them
+                lists[self.terms[w]].append((i, x / own))
+        self.postings = [Postings(pairs) for pairs in lists]
+        self.least = float(self.thresholds.min()) if n else 1.0
+        self.range = max(1, -(-n // RANGES))
+        ranges = -(-n // self.range) if n else 0
+        self.maxima = np.zeros((len(present), ranges), dtype=np.float32)
+        for k, pairs in enumerate(lists):
+            for i, x in pairs:
+                self.maxima[k, i // self.range] = max(self.maxima[k, i // self.range], x)
+        self.needed = np.array([self.thresholds[b * self.range : (b + 1) * self.range].min() for b in range(ranges)]) - SLACK - 1e-4
+        # the terms of the longest lists are non-essential, as long as no item gets more than SLACK from all of them
         gained = np.zeros(n)
         self.essential = dict(self.terms)
-        for w in sorted(self.terms, key=lambda w: (-frequency[w], w)):
-            posting = self.postings[self.terms[w]]
-            if any(gained[i] + x > SLACK for i, x in posting):
+        for w in sorted(self.terms, key=lambda w: (-len(lists[self.terms[w]]), w)):
+            pairs = lists[self.terms[w]]
+            if any(gained[i] + x > SLACK for i, x in pairs):
                 break
-            for i, x in posting:
+            for i, x in pairs:
                 gained[i] += x
             del self.essential[w]
 
-    def scores(self, words: set[bytes], block: int) -> dict[int, float]:
-        """Exact scores of a block's items for a passage."""
-        low, high = block * self.block, (block + 1) * self.block
-        total: dict[int, float] = {}
-        for w in words:
-            k = self.terms.get(w)
-            if k is not None and self.maxima[k, block]:
-                for i, x in self.postings[k]:
-                    if low <= i < high:
-                        total[i] = total.get(i, 0.0) + x
-        return total
-
-    def candidates(self, codes: np.ndarray, strides: np.ndarray) -> list[tuple[int, int]]:
-        """(first stride, block) of the passages whose bound reaches the block's threshold.
+    def retrieve(self, words: set[bytes]) -> dict[int, float]:
+        """Every item that a passage of these words scores at its threshold or more, with the score, by block-max WAND."""
+        lists = [self.postings[k] for k in sorted(self.terms[w] for w in words if w in self.terms)]
+        cursors = [[p.items[0], 0, p] for p in lists]  # current item, its place, postings
+        found: dict[int, float] = {}
+        while cursors:
+            cursors.sort(key=lambda c: c[0])
+            bound, at = 0.0, -1
+            for at, cursor in enumerate(cursors):  # noqa: B007
+                bound += cursor[2].top
+                if bound >= self.least - _TINY:
+                    break
+            else:
+                break
+            pivot = cursors[at][0]
+            while at + 1 < len(cursors) and cursors[at + 1][0] == pivot:
+                at += 1
+            ahead = cursors[: at + 1]
+            blocks = [bisect_left(c[2].last, pivot) for c in ahead]  # the block in which the pivot would be
+            bound = sum(c[2].most[b] for c, b in zip(ahead, blocks, strict=True) if b < len(c[2].last))
+            if bound >= self.thresholds[pivot] - _TINY:
+                target = pivot if ahead[0][0] < pivot else pivot + 1
+                if target > pivot:
+                    score = sum(c[2].weights[c[1]] for c in ahead)
+                    if score >= self.thresholds[pivot]:
+                        found[pivot] = score
+            elif bound >= self.least - _TINY:  # another item of these blocks may still reach its own threshold
+                target = pivot + 1
+            else:
+                ends = [c[2].last[b] + 1 for c, b in zip(ahead, blocks, strict=True) if b < len(c[2].last)]
+                target = max(pivot + 1, min([*ends, *[c[0] for c in cursors[at + 1 : at + 2]]]))
+            for cursor in ahead:
+                if cursor[0] < target:
+                    p = cursor[2]
+                    place = bisect_left(p.items, target, cursor[1])
+                    cursor[:2] = (p.items[place] if place < len(p.items) else -1), place
+            cursors = [c for c in cursors if c[0] >= 0]
+        return found
+
+    def candidates(self, codes: np.ndarray, strides: np.ndarray) -> list[int]:
+        """First strides of the passages whose bound reaches some range's threshold.
 
         codes: each word's essential term, or -1; strides: the number of its stride. A passage is two strides with
         successive numbers; strides of different documents never are.
@@ -124,11 +194,11 @@ class ItemIndex:
         before = np.append(False, own[1:] == own[:-1] + 1)
         bound = sums.copy()  # of the passage that ends at this stride
         bound[before] += sums[:-1][before[1:]]
-        found = {(int(own[r]) - 1, int(b)) for r, b in np.argwhere(bound >= self.needed)}
+        ends = own[(bound >= self.needed).any(axis=1)] - 1
         # a passage whose second stride has no essential terms
         last = np.append(own[1:] != own[:-1] + 1, True)
-        found |= {(int(own[r]), int(b)) for r, b in np.argwhere((sums >= self.needed) & last[:, None])}
-        return sorted(found)
+        starts = own[(sums >= self.needed).any(axis=1) & last]
+        return np.unique(np.concatenate([ends, starts])).tolist()
 
     def _held(self, wanted: np.ndarray, words: int, have: set[int], passage: Sequence[bytes]) -> float:
         if words >= SHINGLE_WORDS:
@@ -144,7 +214,7 @@ class ItemIndex:
         words = [flat_words(t).split() for t in texts]
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         total = int(lengths.sum())
-        if not total:
+        if not total or not self.ids:
             return []
         codes = np.fromiter(map(self.essential.get, chain.from_iterable(words), repeat(-1)), dtype=np.int64, count=total)
         spans = -(-lengths // self.stride) + 2
@@ -152,16 +222,11 @@ class ItemIndex:
         inside = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         strides = np.repeat(first, lengths) + inside // self.stride
         best: dict[tuple[int, int], tuple[float, float]] = {}
-        opened, passage, terms, have = -1, [], set(), None
-        for stride, block in self.candidates(codes, strides):
+        for stride in self.candidates(codes, strides):
             row = int(np.searchsorted(first, stride + 1, side="right")) - 1
-            if stride != opened:
-                at = (stride - int(first[row])) * self.stride
-                opened, passage, have = stride, words[row][max(0, at) : at + 2 * self.stride], None
-                terms = set(passage)
-            for item, score in self.scores(terms, block).items():
-                if score < self.thresholds[item]:
-                    continue
+            at = (stride - int(first[row])) * self.stride
+            passage, have = words[row][max(0, at) : at + 2 * self.stride], None
+            for item, score in self.retrieve(set(passage)).items():
                 if have is None:
                     have = set(shingle_hashes([b" ".join(passage).decode("utf-8", "surrogatepass")])[0].tolist())
                 n_all, n_q, n_a = self.short[item]
@@ -174,43 +239,64 @@ class ItemIndex:
 
 def item_parts(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", per_part: int = ITEMS_PER_PART) -> Iterator[ItemIndex]:
     """The index, part by part: at most `per_part` items, and CHARACTERS_PER_PART and one item's text, are on the driver at a time."""
+    items = materialise(benchmark.where(F.col(text).isNotNull()).select(F.monotonically_increasing_id().alias("row"), F.col(item_id).alias("item"), F.col(text).alias("text")), "items")
+
+    def split(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            words = [flat_words(t).split() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(map(len, words), pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.binary()))], ["row", "n", "words"])
+
+    worded = materialise_small(items.select("row", "text").mapInArrow(split, "row long, n long, words array<binary>").where("n > 0"), "item-words")
+    size = worded.agg(F.count("*").alias("items"), F.avg("n").alias("mean"), F.max("n").alias("longest")).first()
+    each = worded.select("row", F.explode("words").alias("word"))
+    frequency = each.groupBy("word").agg(F.count("*").alias("n"))
+    counted = each.join(frequency, "word").groupBy("row").agg(F.collect_list(F.struct("word", "n")).alias("frequency"))
+    whole = materialise(items.join(counted, "row").orderBy("row"), "item-frequencies")
+    discard(items, worded)
     part: list[tuple[object, str]] = []
+    known: dict[bytes, int] = {}
     used = 0
-    for row in benchmark.where(F.col(text).isNotNull()).select(item_id, text).orderBy(item_id, text).toLocalIterator():
-        part.append((row[0], row[1]))
-        used += len(row[1])
+    build = lambda: ItemIndex(part, Statistics(size["items"], size["mean"], size["longest"], known))
+    for row in whole.select("item", "text", "frequency").toLocalIterator():
+        part.append((row["item"], row["text"]))
+        known |= {bytes(x["word"]): x["n"] for x in row["frequency"]}
+        used += len(row["text"])
         if len(part) == per_part or used >= CHARACTERS_PER_PART:
-            yield ItemIndex(part)
-            part, used = [], 0
+            yield build()
+            part, known, used = [], {}, 0
     if part:
-        yield ItemIndex(part)
+        yield build()
+    discard(whole)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, bm25_share, containment): one row for each row of docs and item whose text it leaks."""
-    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, item_id {benchmark.schema[item_id].dataType.simpleString()}, bm25_share double, containment double"
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    items = benchmark.select(F.col(item_id).alias("item_id"))
+    schema = StructType([rows.schema["doc_id"], StructField("item_id", items.schema["item_id"].dataType), StructField("bm25_share", DoubleType()), StructField("containment", DoubleType())])
 
     def over(index: ItemIndex) -> DataFrame:
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                doc_ids = frame["doc_id"].tolist()
-                found = [(doc_ids[row], index.ids[item], *x) for row, item, *x in index.search(frame["text"].tolist())]
-                yield pd.DataFrame(found, columns=["doc_id", "item_id", "bm25_share", "containment"])
+        def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in found:
+                hits = index.search(batch.column("text").to_pylist())
+                ids = batch.column("doc_id").take(pa.array([h[0] for h in hits], pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[h[1]] for h in hits], of), *[pa.array([h[k] for h in hits], pa.float64()) for k in (2, 3)]], schema.names)
 
-        return rows.mapInPandas(run, schema)
+        return materialise_small(rows.mapInArrow(run, schema), "leaks")  # one part at a time; its rows are few
 
-    small_batches(docs.sparkSession)
+    of = to_arrow_type(schema["item_id"].dataType)
     parts = [over(index) for index in item_parts(benchmark, item_id, item_text)]
     return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """docs without the rows that leak an item."""
-    small_batches(docs.sparkSession)
+    """docs without the rows that leak an item; each part of the index filters what the one before it left."""
+    left = docs
     for index in item_parts(benchmark, item_id, item_text):
-        docs = docs.where(~_leaking(index)(F.col(text)))
-    return docs
+        last, left = left, materialise_small(left.where(~_leaking(index)(F.col(text))), "leakless")
+        if last is not docs:
+            discard(last)
+    return left
 
 
 def _leaking(index: ItemIndex):
