@@ -3,8 +3,8 @@
 Templates and texts are sets of five-word shingles (words are runs of letters, digits and "_", lower case). For each
 size class s (a power of two, at least the template's number of shingles) a text is covered by windows of 2s shingle
 positions, one every s positions, so every occurrence of a template of that class lies whole in a window. A window
-that holds 80 % of a template has a Jaccard similarity to it of at least LEAST_JACCARD; with BANDS bands of one MinHash
-each it shares a band with probability 1-(1-LEAST_JACCARD)^BANDS or more, over 0.9999. Retrieved pairs are verified by the exact share
+that holds 80 % of a template of n shingles has a Jaccard similarity to it of at least 0.8 n / (2s + 0.2 n); the number of bands, of one
+MinHash each, is such that the worst of the templates shares a band with probability RETRIEVED or more. Retrieved pairs are verified by the exact share
 of the template's shingles that the window holds.
 
 Only shingles with an anchor word take part. The anchors are chosen so that every shingle of every template has one,
@@ -13,11 +13,12 @@ are the only thing broadcast. Windows, not texts, are the groups, so a long text
 
 Defined cases: a null or empty text has no match; a template of fewer than five words is not accepted; a template that
 occurs several times in a text is one row with its windows counted; repeated rows are scanned each; an empty table
-gives an empty result.
+gives an empty result. Other columns may have any names; they are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Mapping
@@ -29,8 +30,8 @@ from ..session import materialise, table
 
 SHINGLE = 5
 CONTAINED = 0.8
-BANDS = 40
-LEAST_JACCARD = 0.25
+#: Least probability that a window which holds a template is retrieved.
+RETRIEVED = 0.9999
 
 #: Public license notices and texts, by SPDX identifier.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -109,19 +110,32 @@ def _anchored(words: Column, anchors: Column) -> Column:
     return F.transform(held, lambda i: F.struct(i.alias("position"), _shingle_at(words, i + 1).alias("shingle")))
 
 
-def _minima() -> list[Column]:
-    return [F.min(F.xxhash64(F.lit(b), "shingle")).alias(f"m{b}") for b in range(BANDS)]
+def least_jaccard(size: int, shingles: int) -> float:
+    """The least similarity of a template to a window of its size class that holds CONTAINED of it."""
+    return CONTAINED * shingles / (2 * size + (1 - CONTAINED) * shingles)
 
 
-def _bands(rows: DataFrame, *keys: str) -> DataFrame:
-    each = F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"m{b}").alias("value")) for b in range(BANDS)])
+def bands_for(templates: Mapping[str, tuple[str, ...]]) -> int:
+    worst = 1.0
+    for _, _, size, joined in _template_rows(templates):
+        words = joined.split()
+        worst = min(worst, least_jaccard(size, len(set(zip(*[words[i:] for i in range(SHINGLE)], strict=False)))))
+    return math.ceil(math.log(1 - RETRIEVED) / math.log(1 - worst)) if worst < 1 else 1
+
+
+def _minima(bands: int) -> list[Column]:
+    return [F.min(F.xxhash64(F.lit(b), "shingle")).alias(f"m{b}") for b in range(bands)]
+
+
+def _bands(rows: DataFrame, bands: int, *keys: str) -> DataFrame:
+    each = F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"m{b}").alias("value")) for b in range(bands)])
     return rows.select(*keys, F.inline(each))
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, license, template, containment, windows): one row for each row of docs and template that it holds."""
     spark = docs.sparkSession
-    known = _template_rows(templates)
+    known, bands = _template_rows(templates), bands_for(templates)
     anchors = F.array(*[F.lit(w) for w in anchor_words(templates)])
     words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\W+", " ")), " ")
     classes = sorted({row[2] for row in known})
@@ -131,7 +145,7 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TE
     own = listed.select("template", "license", "size", F.explode(_anchored(F.split("words", " "), anchors)).alias("s")).select("template", "license", "size", "s.shingle").distinct()
     own = materialise(own, "template-shingles")
     totals = own.groupBy("template").agg(F.count("*").alias("total"))
-    template_bands = _bands(own.groupBy("template", "size").agg(*_minima()), "template", "size")
+    template_bands = _bands(own.groupBy("template", "size").agg(*_minima(bands)), bands, "template", "size")
 
     slim = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc_id).alias("doc_id"), words.alias("words")).where(F.arrays_overlap("words", anchors))
     placed = slim.select("_row", "doc_id", F.explode(_anchored(F.col("words"), anchors)).alias("s")).select("_row", "doc_id", "s.position", "s.shingle")
@@ -139,8 +153,8 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TE
     start = lambda size: F.floor(F.col("position") / size)
     both = F.array(*[F.struct(F.lit(size).alias("size"), w.cast("long").alias("window")) for size in classes for w in (start(size), start(size) - 1)])
     windowed = placed.select("_row", "doc_id", "shingle", F.inline(both)).where("window >= 0")
-    minima = windowed.groupBy("_row", "doc_id", "size", "window").agg(*_minima())
-    retrieved = _bands(minima, "_row", "doc_id", "size", "window").join(F.broadcast(template_bands), ["size", "band", "value"]).select("_row", "doc_id", "size", "window", "template").distinct()
+    minima = windowed.groupBy("_row", "doc_id", "size", "window").agg(*_minima(bands))
+    retrieved = _bands(minima, bands, "_row", "doc_id", "size", "window").join(F.broadcast(template_bands), ["size", "band", "value"]).select("_row", "doc_id", "size", "window", "template").distinct()
     wanted = retrieved.join(F.broadcast(own), ["size", "template"])
     hits = wanted.join(windowed.select("_row", "size", "window", "shingle").distinct(), ["_row", "size", "window", "shingle"])
     held = hits.groupBy("_row", "doc_id", "window", "template", "license").agg(F.count("*").alias("n")).join(F.broadcast(totals), "template")
