@@ -8,23 +8,28 @@ best fit leaves at most one bin of a group below half, so what goes up the tree
 last task is small at any input size. Ids are never shuffled, only pieces' lengths and checksums.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed each; ties in length are packed by doc_id,
-then piece; an empty table gives an empty result. Strings that look like special tokens are ordinary text.
+then piece; an empty table gives an empty result. Strings that the vocabulary file lists as added tokens are one id each, as
+its tokenizer gives them. Ids are passed on untouched, null ones too. Other columns may have any names; they are ignored.
 """
 
 from __future__ import annotations
 
 import base64
 import importlib
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from ..session import materialise, small_batches, table
+from ..session import discard, materialise, materialise_small, table
 
 CAPACITY = 2048
 END_ID = 0
@@ -41,7 +46,8 @@ def vocabulary_path(name: str) -> str:
 
 def encoder(vocabulary: str = VOCABULARY):
     """texts -> lists of ids. For the byte-level vocabulary the rank file of the same tokens is used, which gives the
-    same ids several times faster; any other file is loaded by tokenizers."""
+    same ids several times faster; the added tokens of the vocabulary file are cut out first, as its tokenizer does. Any other
+    file is loaded by tokenizers."""
     if vocabulary not in _ENCODERS:
         if vocabulary == VOCABULARY:
             import tiktoken
@@ -49,12 +55,26 @@ def encoder(vocabulary: str = VOCABULARY):
             with open(vocabulary_path("byte_bpe_50k.tiktoken"), "rb") as file:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
             pattern = importlib.import_module("public_tokenizers").PATTERN
-            _ENCODERS[vocabulary] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            plain = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            with open(vocabulary_path(vocabulary), encoding="utf-8") as file:
+                added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+            cut_out = re.compile("|".join(f"({re.escape(t)})" for t in sorted(added, key=len, reverse=True)) or r"(?!)")
+
+            def encode(text: str) -> list[int]:
+                found = cut_out.search(text)
+                if not found:
+                    return plain(text)
+                ids, at = [], 0
+                for found in cut_out.finditer(text):
+                    ids += [*plain(text[at : found.start()]), added[found[0]]]
+                    at = found.end()
+                return ids + plain(text[at:])
+
+            _ENCODERS[vocabulary] = encode
         else:
             from tokenizers import Tokenizer
 
             loaded = Tokenizer.from_file(vocabulary_path(vocabulary))
-            loaded.encode_special_tokens = True
             _ENCODERS[vocabulary] = lambda text: loaded.encode(text, add_special_tokens=False).ids
     return _ENCODERS[vocabulary]
 
@@ -97,35 +117,38 @@ def best_fit(sizes: np.ndarray, order: np.ndarray, capacity: int = CAPACITY) ->
 def _pieces(docs: DataFrame, doc_id: str, text: str, vocabulary: str, capacity: int) -> DataFrame:
     """Pieces with their bin in their own partition."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = docs.schema[doc_id].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         part = TaskContext.get().partitionId()
-        ids, piece, start, length, crc = [], [], [], [], []
-        for frame in frames:
-            for doc, body in zip(frame["doc_id"].tolist(), frame["text"].tolist(), strict=True):
+        ids, pieces = [], []  # ids of the partition's rows in Arrow; (row, piece, start, length, crc)
+        rows = 0
+        for batch in found:
+            ids.append(batch.column("doc_id"))
+            for row, body in enumerate(batch.column("text").to_pylist(), rows):
                 tokens = np.array([*encode(body or ""), END_ID], dtype="<u4")
-                for k, (at, n) in enumerate(cut(len(tokens), capacity)):
-                    ids.append(doc)
-                    piece.append(k)
-                    start.append(at)
-                    length.append(n)
-                    crc.append(zlib.crc32(tokens[at : at + n].tobytes()))
-        if not ids:
+                pieces += [(row, k, at, n, zlib.crc32(tokens[at : at + n].tobytes())) for k, (at, n) in enumerate(cut(len(tokens), capacity))]
+            rows += batch.num_rows
+        if not pieces:
             return
-        out = pd.DataFrame({"doc_id": ids, "piece": piece, "start": start, "length": length, "ids_crc32": crc})
-        order = out.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable").index.to_numpy()
-        bins, offsets, fill = best_fit(out["length"].to_numpy(), order, capacity)
-        out["bin"] = (part << 33) + bins
-        out["offset"] = offsets
-        out["bin_fill"] = np.array(fill)[bins]
-        out["part"] = part
-        for begin in range(0, len(out), 50_000):
-            yield out.iloc[begin : begin + 50_000]
-
-    small_batches(docs.sparkSession)
-    return rows.mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, bin long, offset long, bin_fill int, part int")
+        held = pa.chunked_array(ids)
+        row, piece, start, length, crc = (np.array(column, dtype=np.int64) for column in zip(*pieces, strict=True))
+        names = held.to_pylist()
+        rank = np.empty(rows, dtype=np.int64)  # nulls first, then by doc_id
+        rank[sorted(range(rows), key=lambda i: (names[i] is not None, names[i] if names[i] is not None else 0))] = np.arange(rows)
+        # rows that tie in doc_id may be in any order, so the checksum decides before the row
+        level = np.array([names[i] for i in np.argsort(rank)], dtype=object)
+        group = np.cumsum(np.append(False, [a != b for a, b in zip(level[1:], level[:-1], strict=True)]))[rank]
+        order = np.lexsort((row, crc, piece, group[row], -length))
+        bins, offsets, fill = best_fit(length, order, capacity)
+        columns = [row, piece.astype(np.int32), start, length, crc, (part << 33) + bins, offsets, np.array(fill, dtype=np.int32)[bins], np.full(len(row), part, dtype=np.int32)]
+        for begin in range(0, len(row), 50_000):
+            one = [c[begin : begin + 50_000] for c in columns]
+            yield pa.RecordBatch.from_arrays([held.take(pa.array(one[0])).combine_chunks(), *map(pa.array, one[1:])], schema.names)
+
+    long = {"piece": IntegerType(), "start": LongType(), "length": LongType(), "ids_crc32": LongType(), "bin": LongType(), "offset": LongType(), "bin_fill": IntegerType(), "part": IntegerType()}
+    schema = StructType([rows.schema["doc_id"], *[StructField(n, k) for n, k in long.items()]])
+    return rows.mapInArrow(run, schema)
 
 
 _NODE = "members array<struct<bin:bigint,base:int>>, fill int, grp int"
@@ -148,7 +171,7 @@ def _round(items: DataFrame, group_of: int, capacity: int) -> DataFrame:
 
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset."""
-    pieces = materialise(_pieces(docs, doc_id, text, vocabulary, capacity), "pieces")
+    pieces = materialise_small(_pieces(docs, doc_id, text, vocabulary, capacity), "pieces")
     bins = pieces.groupBy("bin").agg(F.first("bin_fill").alias("fill"), F.first("part").alias("grp"))
     one = F.array(F.struct(F.col("bin"), F.lit(0).alias("base")))
     items = bins.where(F.col("fill") < int(capacity * NEARLY_FULL[0])).select(one.alias("members"), "fill", "grp")
@@ -165,7 +188,8 @@ def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         merged = done if merged is None else merged.unionByName(done)
         if top == 0:
             break
-        items = packed.where(F.col("fill") < mark)
+        last, items = items, packed.where(F.col("fill") < mark)
+        discard(last)
     if merged is None:
         return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), F.col("offset").cast("long").alias("offset"))
     lead = F.element_at("members", 1)["bin"]
