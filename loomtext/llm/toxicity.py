@@ -1,33 +1,37 @@
 """Operator 7: toxicity grades by cumulative-link ordinal regression.
 
-Grades are 0 not toxic, 1 toxic, 2 severely toxic. The labels tell 0 from the rest; a toxic sample text is severe when it holds
-at least as many toxic features as the median toxic text. The model is P(grade >= k) = sigmoid(w.x - t_k) with ordered thresholds t_1 <= t_2 and one weight vector shared by both. Features are the
+Grades are 0 not toxic, 1 toxic, 2 severely toxic. The labels tell 0 from the rest. No label says severe, so grade 2 is a pseudo-label, made
+by cross-fitting: the sample is cut into FOLDS folds, and a toxic text is severe when it holds at least as many features that go with
+toxicity in the other folds as the median toxic text of its fold; no text's own label has a part in its grade 2. The model is P(grade >= k) = sigmoid(w.x - t_k) with ordered thresholds t_1 <= t_2 and one weight vector shared by both. Features are the
 presence of words (maximal runs of word characters, lower case) and of word beginnings of 4, 5 and 6 characters, kept where
 their association with toxicity in the sample is beyond chance. It is fitted on a bounded sample: the FIT_DOCUMENTS labelled
 documents of least hash, equal texts once. Features are counted and chosen by a distributed aggregate; the driver gets
-the chosen ones, MAX_FEATURES at most, and the sample's rows in terms of them. The threshold for rejecting is calibrated on a
+the chosen ones, whose number that sample bounds, and the sample's rows in terms of them. The threshold for rejecting is calibrated on a
 held-out fold of that sample. Every document is then scored on its whole text.
 
 Defined cases: a null or empty text has no features and the grade of the thresholds alone; labels of unknown documents
 are ignored; of repeated labels the most toxic counts; with no toxic or no clean label nothing is rejected; repeated rows are scored
-alike; an empty table gives an empty result.
+alike; an empty table gives an empty result. Ids are passed on untouched, null ones too. Other columns may have any names: scoring
+ignores them and filtering returns them as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from ..session import materialise, small_batches, table
+from ..session import discard, materialise, materialise_small, table
 from .textcore import flat_words
 
 FIT_DOCUMENTS = 20_000
-MAX_FEATURES = 4_000
 MIN_DOCUMENTS = 3
 PREFIXES = (4, 5, 6)
 #: Standard deviations from what chance gives that a feature's toxic documents must be.
@@ -36,6 +40,8 @@ RIDGE = 0.02
 #: A clean document wrongly rejected costs as much as this many toxic ones missed.
 CLEAN_COST = 3.0
 GRADES = 3
+#: Folds of the sample; the first is held out for the threshold.
+FOLDS = 5
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -91,14 +97,13 @@ def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, grades: np.ndarra
     return w, np.concatenate(([at[0]], at[0] + np.cumsum(np.exp(at[1:]))))
 
 
-def _chosen(counted: DataFrame, side: str, toxic: int, clean: int) -> dict[str, bool]:
-    """Features whose presence goes with toxicity beyond chance, the strongest MAX_FEATURES; true for those of toxic texts."""
+def _chosen(counted: DataFrame, side: str, toxic: int, clean: int, only_up: bool = False) -> list[str]:
+    """Features whose presence goes with toxicity (or against it, unless only_up) beyond chance."""
     with_1, with_0 = F.col(f"{side}_toxic"), F.col(f"{side}_clean")
     seen, p = with_1 + with_0, toxic / (toxic + clean)
-    z = F.abs(F.log((with_1 + 0.5) / (toxic + 1) / ((with_0 + 0.5) / (clean + 1)))) / F.sqrt(1 / (with_1 + 0.5) + 1 / (with_0 + 0.5))
-    beyond = F.abs(with_1 - seen * p) > BEYOND_CHANCE * F.sqrt(seen * p * (1 - p))
-    best = counted.where((seen >= MIN_DOCUMENTS) & beyond).orderBy(F.desc(F.round(z, 9)), "feature").limit(MAX_FEATURES)
-    return {r["feature"]: r["up"] for r in best.select("feature", (with_1 > seen * p).alias("up")).collect()}
+    above = with_1 - seen * p
+    beyond = (above if only_up else F.abs(above)) > BEYOND_CHANCE * F.sqrt(seen * p * (1 - p))
+    return [r["feature"] for r in counted.where((seen >= MIN_DOCUMENTS) & beyond).select("feature").collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", documents: int = FIT_DOCUMENTS) -> OrdinalModel:
@@ -112,86 +117,102 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         for frame in frames:
             yield pd.DataFrame({"key": frame["key"], "grade": frame["grade"], "features": [sorted(features_of(t)) for t in frame["text"]]})
 
-    small_batches(docs.sparkSession)
-    rows = materialise(sample.mapInPandas(featured, "key string, grade int, features array<string>"), "toxicity-sample")
-    rows = rows.withColumn("held", F.conv(F.substring("key", 1, 4), 16, 10).cast("int") % 5 == 0)
-    sizes = {(r["held"], r["bad"]): r["n"] for r in rows.groupBy("held", (F.col("grade") > 0).alias("bad")).agg(F.count("*").alias("n")).collect()}
+    rows = materialise_small(sample.mapInPandas(featured, "key string, grade int, features array<string>"), "toxicity-sample")
+    sampled = rows
+    rows = rows.withColumn("fold", F.conv(F.substring("key", 1, 4), 16, 10).cast("int") % FOLDS)
+    sizes = {(r["fold"], r["bad"]): r["n"] for r in rows.groupBy("fold", (F.col("grade") > 0).alias("bad")).agg(F.count("*").alias("n")).collect()}
     toxic, clean = (sum(n for (_, bad), n in sizes.items() if bad == side) for side in (True, False))
     if not toxic or not clean:
         return OrdinalModel({}, np.array([2.0, 4.0]))
-    each = rows.select((F.col("grade") > 0).alias("bad"), "held", F.explode("features").alias("feature"))
-    counted = each.groupBy("feature").agg(
-        F.count_if("bad").alias("all_toxic"), F.count_if(~F.col("bad")).alias("all_clean"), F.count_if(F.col("bad") & ~F.col("held")).alias("fit_toxic"), F.count_if(~F.col("bad") & ~F.col("held")).alias("fit_clean")
-    )
+    each = rows.select((F.col("grade") > 0).alias("bad"), "fold", F.explode("features").alias("feature"))
+    without = [F.count_if(side & (F.col("fold") != k)).alias(f"{k}_{name}") for k in range(FOLDS) for side, name in ((F.col("bad"), "toxic"), (~F.col("bad"), "clean"))]
+    counted = each.groupBy("feature").agg(F.count_if("bad").alias("all_toxic"), F.count_if(~F.col("bad")).alias("all_clean"), *without)
     counted = materialise(counted.where(F.col("all_toxic") + F.col("all_clean") >= MIN_DOCUMENTS), "toxicity-counts")
     whole = _chosen(counted, "all", toxic, clean)
-    part = _chosen(counted, "fit", sizes.get((False, True), 0), sizes.get((False, False), 0)) if sizes.get((False, True)) and sizes.get((False, False)) else {}
-    names = sorted({*whole, *part})
+    outside = {k: tuple(sum(n for (fold, bad), n in sizes.items() if bad == side and fold != k) for side in (True, False)) for k in range(FOLDS)}
+    others = {k: _chosen(counted, str(k), *outside[k]) if all(outside[k]) else [] for k in range(FOLDS)}
+    goes_up = {k: _chosen(counted, str(k), *outside[k], only_up=True) if all(outside[k]) else [] for k in range(FOLDS)}
+    part = others[0]
+    names = sorted({*whole, *chain(*others.values())})
     place = {w: i for i, w in enumerate(names)}
 
     def compact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"key": frame["key"], "grade": frame["grade"], "held": frame["held"], "at": [[place[w] for w in ws if w in place] for ws in frame["features"]]})
+            yield pd.DataFrame({"key": frame["key"], "grade": frame["grade"], "fold": frame["fold"], "at": [[place[w] for w in ws if w in place] for ws in frame["features"]]})
 
-    got = sorted(rows.mapInPandas(compact, "key string, grade int, held boolean, at array<int>").collect())
-    grades, held = np.array([r["grade"] for r in got], dtype=np.int64), np.array([r["held"] for r in got], dtype=bool)
+    got = sorted(rows.mapInPandas(compact, "key string, grade int, fold int, at array<int>").collect())
+    grades, fold = np.array([r["grade"] for r in got], dtype=np.int64), np.array([r["fold"] for r in got], dtype=np.int64)
+    held = fold == 0
     row_of = np.repeat(np.arange(len(got)), [len(r["at"]) for r in got])
     column = np.array([i for r in got for i in r["at"]], dtype=np.int64)
 
-    def fitted(use: np.ndarray, chosen: dict[str, bool]) -> tuple[np.ndarray, np.ndarray]:
+    grades = grades + _severe(grades > 0, fold, row_of, column, {k: np.array([w in up for w in names], dtype=bool) for k, up in ((k, set(v)) for k, v in goes_up.items())})
+
+    def fitted(use: np.ndarray, chosen: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Weights of all names (0 where not chosen) and thresholds."""
         ids = np.array([place[w] for w in chosen], dtype=np.int64)
-        up = np.zeros(len(names))
-        up[[place[w] for w, toxic_side in chosen.items() if toxic_side]] = 1.0
-        held_up = np.bincount(row_of, weights=up[column], minlength=len(got))
-        bad = grades > 0
-        severe = bad & (held_up >= max(1.0, np.median(held_up[use & bad])))
-        levels = bad.astype(np.int64) + severe
         inner = np.full(len(names), -1)
         inner[ids] = np.arange(len(ids))
         keep = use[row_of] & (inner[column] >= 0)
-        w, t = fit_cumulative_link((np.cumsum(use) - 1)[row_of[keep]], inner[column[keep]], levels[use], len(ids))
+        w, t = fit_cumulative_link((np.cumsum(use) - 1)[row_of[keep]], inner[column[keep]], grades[use], len(ids))
         full = np.zeros(len(names))
         full[ids] = w
         return full, t
 
-    reject = 0.5
+    reject = CLEAN_COST / (1 + CLEAN_COST)
     if part and held.any():
         w, t = fitted(~held, part)
         p = _sigmoid(np.bincount(row_of, weights=w[column], minlength=len(got)) - t[0])
         reject = _calibrated(p[held], grades[held] > 0)
     w, t = fitted(np.ones(len(got), dtype=bool), whole)
+    discard(sampled, counted)
     return OrdinalModel({name: float(w[place[name]]) for name in whole}, t, reject)
 
 
+def _severe(bad: np.ndarray, fold: np.ndarray, row_of: np.ndarray, column: np.ndarray, up: dict[int, np.ndarray]) -> np.ndarray:
+    """1 for toxic rows with at least as many of the other folds' features as the median toxic row of their fold, and with one."""
+    severe = np.zeros(len(bad), dtype=np.int64)
+    for k, names in up.items():
+        count = np.bincount(row_of, weights=names[column].astype(float), minlength=len(bad))
+        mine = bad & (fold == k)
+        if mine.any():
+            severe[mine] = count[mine] >= max(1.0, float(np.median(count[mine])))
+    return severe
+
+
 def _calibrated(p: np.ndarray, toxic: np.ndarray) -> float:
-    """The probability from which rejecting costs least on held-out rows, in the middle of the gap; 0.5 if it has no toxic row."""
+    """The probability from which rejecting costs least on held-out rows; the costs' own if it has no toxic row.
+
+    Differences of less than one clean document are no evidence, so of the cuts that come this close to the best, the
+    one nearest to the probability that the costs themselves ask for is taken.
+    """
+    asked = CLEAN_COST / (1 + CLEAN_COST)
     if not toxic.any() or toxic.all():
-        return 0.5
+        return asked
     order = np.argsort(-p, kind="stable")
     value, hit = p[order], toxic[order]
     gain = np.cumsum(np.where(hit, 1.0, -CLEAN_COST))
-    last = np.append(value[1:] != value[:-1], True)
-    gain = np.where(last, gain, -np.inf)
-    best = int(np.argmax(gain))
-    if gain[best] <= 0:
+    below = np.append(value[1:], 0.0)
+    near = (below < value) & (gain > 0) & (gain >= gain.max() - CLEAN_COST)
+    if not near.any():
         return 2.0
-    below = value[best + 1] if best + 1 < len(value) else 0.0
-    return float((value[best] + below) / 2)
+    cuts = np.clip(asked, np.nextafter(below[near], 1.0), value[near])
+    return float(cuts[np.argmin(np.abs(cuts - asked))])
 
 
 def score_toxicity(docs: DataFrame, model: OrdinalModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, p_toxic, p_severe, expected_severity, grade (the likeliest) and toxic (rejected)."""
-    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, p_toxic double, p_severe double, expected_severity double, grade int, toxic boolean"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            p = np.array([model.probabilities(t) for t in frame["text"]]).reshape(-1, GRADES - 1)
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            p = np.array([model.probabilities(t) for t in batch.column("text").to_pylist()]).reshape(-1, GRADES - 1)
             each = np.concatenate([np.ones((len(p), 1)), p], axis=1) - np.concatenate([p, np.zeros((len(p), 1))], axis=1)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "p_toxic": p[:, 0], "p_severe": p[:, 1], "expected_severity": p.sum(axis=1), "grade": each.argmax(axis=1), "toxic": p[:, 0] >= model.reject_at})
+            made = [p[:, 0], p[:, 1], p.sum(axis=1), each.argmax(axis=1).astype(np.int32), p[:, 0] >= model.reject_at]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, made)], ["doc_id", *kinds])
 
-    small_batches(docs.sparkSession)
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
+    kinds = {"p_toxic": DoubleType(), "p_severe": DoubleType(), "expected_severity": DoubleType(), "grade": IntegerType(), "toxic": BooleanType()}
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return materialise_small(slim.mapInArrow(run, StructType([slim.schema["doc_id"], *[StructField(n, k) for n, k in kinds.items()]])), "toxicity")
 
 
 def drop_toxic(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
@@ -201,8 +222,7 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, text: str = "text") -> Data
     def rejected(texts: pd.Series) -> pd.Series:
         return pd.Series([bool(model.probabilities(t)[0] >= model.reject_at) for t in texts], dtype=bool)
 
-    small_batches(docs.sparkSession)
-    return docs.where(~rejected(F.col(text)))
+    return materialise_small(docs.where(~rejected(F.col(text))), "not-toxic")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
