@@ -10,24 +10,32 @@ Texts can be stored as media without loss: `wrap_pcm` puts their bytes into 8-bi
 
 Defined cases: a null value is an empty one; an empty or unknown value has type "unknown" and no carved spans; spans that
 overlap an accepted one are not reported again (the earlier and then the longer wins); a truncated structure is not valid. A
-value is handled alone, so memory is bounded by the longest value and an Arrow batch.
+value is handled alone, so memory is bounded by the longest value and an Arrow batch. Ids and other columns are passed on
+untouched. `media_column` adds its columns beside those of the input; where the input has a column of that name, a number is put
+behind the new one's.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
-from ..session import small_batches, table
+from ..session import fresh, materialise_small, table
 
 BLOCK = 64
+CLAIMS = ("wav", "bin", "png")
 SAMPLE_RATE = 8000
 _HEADER = 44
 
@@ -125,8 +133,18 @@ def _bmp(data: bytes, at: int) -> int:
 def _pdf(data: bytes, at: int) -> int:
     if at + 8 > len(data) or not data[at + 5 : at + 6].isdigit():
         return -1
-    stop = data.find(b"%%EOF", at)
-    return stop + 5 if stop > 0 and data.find(b"startxref", at, stop) > 0 else -1
+    ends, tables = _pdf_marks(data)
+    end = bisect_left(ends, at)
+    if end == len(ends):
+        return -1
+    mark = bisect_left(tables, at)
+    return ends[end] + 5 if mark < len(tables) and tables[mark] + 9 <= ends[end] else -1
+
+
+@functools.lru_cache(maxsize=1)
+def _pdf_marks(data: bytes) -> tuple[list[int], list[int]]:
+    """Where the ends and the table marks of a value are, found once for all its headers."""
+    return [m.start() for m in re.finditer(rb"%%EOF", data)], [m.start() for m in re.finditer(rb"startxref", data)]
 
 
 def _gzip(data: bytes, at: int) -> int:
@@ -225,65 +243,71 @@ def unwrap_pcm(stored: bytes) -> bytes:
 
 def media_column(df: DataFrame, value: str, declared: str | None = None) -> DataFrame:
     """df with true_type, type_corrected and carved array<struct<kind,start,end,bytes>> for a binary column."""
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, true_type string, type_corrected boolean, carved array<struct<kind:string,start:bigint,end:bigint,bytes:binary>>"
+    added = {"true_type": StringType(), "type_corrected": BooleanType(), "carved": ArrayType(_CARVED)}
+    schema = StructType([*df.schema.fields, *[StructField(fresh(n, df.columns), k) for n, k in added.items()]])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
             types, corrected, carved = [], [], []
-            claims = frame[declared].tolist() if declared else [None] * len(frame)
-            for data, claim in zip(frame[value].tolist(), claims, strict=True):
-                data = bytes(data) if data is not None else b""
+            claims = batch.column(declared).to_pylist() if declared else [None] * batch.num_rows
+            for body, claim in zip(batch.column(value), claims, strict=True):
+                data = body.as_py() or b""
                 spans = outermost(sniff(data))
                 kind = spans[0].kind if spans and spans[0].start == 0 else "unknown"
                 types.append(kind)
                 corrected.append(claim is not None and kind != "unknown" and claim != kind)
                 carved.append([{"kind": s.kind, "start": s.start, "end": s.end, "bytes": data[s.start : s.end]} for s in spans if s.start])
-            yield frame.assign(true_type=types, type_corrected=corrected, carved=carved)
+            made = [pa.array(types, pa.string()), pa.array(corrected, pa.bool_()), pa.array(carved, _CARVED_ARROW)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema.names)
+
+    return df.mapInArrow(run, schema)
+
 
-    return df.mapInPandas(run, schema)
+_CARVED = StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("bytes", BinaryType())])
+_CARVED_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("bytes", pa.binary())]))
+
+
+def claimed_type(n_bytes: Column) -> Column:
+    """The type that a stored text is declared as, right for every third length only, so that there is something to correct."""
+    return F.element_at(F.array(*map(F.lit, CLAIMS)), (F.pmod(n_bytes, F.lit(len(CLAIMS))) + 1).cast("int"))
 
 
 def text_media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id and its text stored as a WAVE value (binary), declared as "bin"."""
+    """One row for each row of docs: doc_id, n_bytes, declared (see claimed_type) and its text stored as a WAVE value (binary)."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    schema = StructType([rows.schema["doc_id"], StructField("n_bytes", LongType()), StructField("media", BinaryType())])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            raw = [(t or "").encode("utf-8", "surrogatepass") for t in frame["text"]]
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            raw = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
             stored = [wrap_pcm(b.ljust(max(BLOCK, -(-len(b) // BLOCK) * BLOCK), b"\0")) for b in raw]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "n_bytes": [len(b) for b in raw], "declared": "bin", "media": stored})
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(len, raw), pa.int64()), pa.array(stored, pa.binary())], schema.names)
 
-    small_batches(docs.sparkSession)
-    return _renamed(docs, doc_id, text).mapInPandas(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_bytes long, declared string, media binary")
+    return rows.mapInArrow(run, schema).withColumn("declared", claimed_type(F.col("n_bytes")))
 
 
 def media_features(stored: DataFrame) -> DataFrame:
-    """Digests of stored values (doc_id, n_bytes, declared, media) as read back, and a feature of what sniffing confirmed."""
-    kind = stored.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    """Digests of stored values (doc_id, n_bytes, declared, media) as read back, and a feature of what `media_column` found."""
+    sniffed = media_column(stored.select("doc_id", "n_bytes", "declared", "media"), "media", "declared")
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    schema = StructType([stored.schema["doc_id"], stored.schema["n_bytes"], *[StructField(n, LongType() if n.endswith(("bytes", "crc32")) else StringType()) for n in names]])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
             rows = []
-            for n, claim, media in zip(frame["n_bytes"], frame["declared"], frame["media"], strict=True):
-                media = bytes(media)
-                spans = sniff(media)
-                outer = outermost(spans)
-                true = outer[0].kind if outer and outer[0].start == 0 else "unknown"
-                inside = sorted({s.kind for s in spans[1:]})
+            for media, *said, carved in zip(batch.column("media"), *[batch.column(c).to_pylist() for c in ("declared", "true_type", "type_corrected", "carved")], strict=True):
+                media = media.as_py()
                 payload = unwrap_pcm(media)
-                feature = f"{claim}>{true};spans={len(spans)};embedded={'+'.join(inside) or '-'};samples={len(payload)}"
-                rows.append((n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), feature))
-            out = pd.DataFrame(rows, columns=["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-            out.insert(0, "doc_id", frame["doc_id"].to_numpy())
-            yield out
-
-    return stored.mapInPandas(run, schema)
-
+                claim, true, corrected = said
+                inside = "+".join(f"{c['kind']}:{c['start']}:{c['end']}" for c in carved) or "-"
+                feature = f"{claim}>{true};corrected={int(corrected)};carved={inside};samples={len(payload)}"
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), feature))
+            made = [pa.array([r[k] for r in rows], pa.int64() if k in (0, 2, 3) else pa.string()) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *made], schema.names)
 
-def _renamed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
+    return materialise_small(sniffed.mapInArrow(run, schema), "media-features")
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text as a stored media value, read back and sniffed."""
-    return media_features(text_media(table(spark, sf_dir, "documents")))
+    """Every document's text written as a stored media value, then read back, sniffed, corrected and carved."""
+    return media_features(materialise_small(text_media(table(spark, sf_dir, "documents")), "media"))
