@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from .licenses import CONTAINED, TEMPLATES, _template_rows
-from .media import BLOCK, SAMPLE_RATE
-from .urlfilter import _LOWER, _SYMBOLS, _UPPER, ACCEPT_LOSS, HELD_OUT, ORDER, RULES, SHARE
+from .media import BLOCK, CLAIMS, SAMPLE_RATE
+from .sharding import GROUP_DIGITS
+from .urlfilter import _LOWER, _SYMBOLS, _UPPER, ACCEPT_LOSS, HELD_OUT, LEAST, ORDER, RULES
 
 _WORD = r"[\p{L}\p{N}\p{M}_]+"
 
@@ -46,7 +47,7 @@ m AS (SELECT *, encode('RIFF') || {_le("size + 36", 4)} || encode('WAVEfmt ') ||
   list_transform(range({BLOCK}), lambda i: ('0x' || substr(h, length(h) - {2 * BLOCK} + 2 * i::INT + 1, 2))::BIGINT) AS tail FROM q)
 SELECT doc_id, n AS n_bytes, size AS payload_bytes, sha256(b) AS payload_sha256,
   xor(list_reduce(list_prepend(4294967295::BIGINT, tail), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) AS tail_crc32,
-  octet_length(media) AS media_bytes, sha256(media) AS media_sha256, 'bin>wav;spans=1;embedded=-;samples=' || size AS feature FROM m, crc"""
+  octet_length(media) AS media_bytes, sha256(media) AS media_sha256, list_extract({list(CLAIMS)}, (n % {len(CLAIMS)})::INT + 1) || '>wav;corrected=' || (n % {len(CLAIMS)} > 0)::INT || ';carved=-;samples=' || size AS feature FROM m, crc"""
 
 _NEXT = "substr(text, i::INT + 2, 1)"
 _ESCAPES = f"""len(list_filter(range(length(text)), lambda i: CASE substr(text, i::INT + 1, 1) WHEN '\\' THEN true WHEN '<' THEN {_NEXT} IN ('<', 's', '/') WHEN '[' THEN {_NEXT} IN ('I', '/') WHEN '>' THEN {_NEXT} = '>' ELSE false END))"""
@@ -59,6 +60,14 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   coalesce(sum(upto) FILTER (role = 'assistant'), 0)::BIGINT AS formatted_chars, (count(*) FILTER (role = 'assistant'))::BIGINT AS n_examples FROM a GROUP BY conv_id"""
 
+SHARDS = f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t),
+d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS name, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, name, (length(h) // 2 + 1)::BIGINT AS size, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i::INT + 1, 2))::BIGINT)), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) AS text_crc32 FROM d, crc),
+j AS (SELECT name, n, ('0x' || substr(md5(name), 1, 16))::UBIGINT::HUGEINT AS k, -1::BIGINT AS shard, 0::BIGINT AS jump FROM (SELECT DISTINCT name FROM c), (VALUES (8), (9)) AS s(n)
+  UNION ALL SELECT name, n, k2, jump, floor((jump + 1) * (2147483648.0::DOUBLE / ((k2 // 8589934592) + 1)::DOUBLE))::BIGINT FROM (SELECT *, (k * 2862933555777941757 + 1) % 18446744073709551616 AS k2 FROM j WHERE jump < n)),
+s AS (SELECT name, max(shard) FILTER (n = 8) AS shard, max(shard) FILTER (n = 9) AS grown_shard FROM j GROUP BY 1)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard, row_number() OVER (PARTITION BY shard ORDER BY substr(md5(name || ':' || text_crc32), 1, {GROUP_DIGITS}), doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard::INT AS grown_shard FROM c JOIN s USING (name)"""
 
 
 def _urls() -> str:
@@ -80,7 +89,7 @@ b AS (SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_U
 p AS (SELECT *, {pick(2)} AS rule, {pick(1)} AS verdict, ('0x' || substr(md5(url), 1, 8))::BIGINT % {HELD_OUT} = 0 AS held, chr(2) || regexp_replace(translate(url, '{_UPPER}', '{_LOWER}'), '[^\x21-\x7d]', '~', 'g') || chr(3) AS s FROM b),
 g AS MATERIALIZED (SELECT page_id, verdict, held, substr(s, i, n) AS gram, n FROM (SELECT *, unnest(range(1, length(s) - n + 2)) AS i FROM (SELECT *, unnest(range(1, {ORDER + 2})) AS n FROM p))),
 counted AS (SELECT gram, n, (count(*) FILTER (verdict = 'allow'))::DOUBLE AS yes, (count(*) FILTER (verdict = 'block'))::DOUBLE AS no FROM g WHERE verdict IS NOT NULL AND NOT held GROUP BY 1, 2),
-kept AS MATERIALIZED (SELECT * FROM counted WHERE yes + no >= greatest(2, {SHARE} * (SELECT sum(yes + no) FROM counted WHERE n = 1))),
+kept AS MATERIALIZED (SELECT * FROM counted WHERE yes + no >= {LEAST}),
 ctx AS MATERIALIZED (SELECT *, {back("yes")}, {back("no")} FROM (SELECT left(gram, n::INT - 1) AS context, sum(yes) AS yes_n, (count(*) FILTER (yes > 0))::DOUBLE AS yes_t, sum(no) AS no_n, (count(*) FILTER (no > 0))::DOUBLE AS no_t FROM kept GROUP BY 1)),
 {", ".join(levels)},
 model AS (SELECT x.gram, gain + coalesce(yes_b - no_b, 0) AS value FROM ({gains}) x LEFT JOIN ctx ON context = x.gram),
@@ -94,6 +103,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN score >= cut THEN
 
 ORACLES = {
     "op1_url_filters": _urls(),
+    "op4_sharding": SHARDS,
     "op5_license_scans": LICENSES,
     "op8_minhash_near_dedup": NEAR_DUPLICATES,
     "op9_media_columns": MEDIA,

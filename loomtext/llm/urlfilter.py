@@ -13,7 +13,7 @@ a broadcast, and the rarer ones, of which none is hot, by a shuffle.
 
 Defined cases: a null URL, or one without "://", has an empty host and path and no rule; a null URL scores as an
 empty string; with no accepted or no rejected labels the method allows; repeated rows are judged alike; an empty table
-gives an empty result. Other columns of the input are ignored.
+gives an empty result. Other columns of the input may have any names; they are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from ..session import materialise, table
 ORDER = 4
 #: Occurrences among the labelled URLs from which on an n-gram is kept.
 LEAST = 2
-#: N-grams of at least this share of all positions are joined by a broadcast, the others by a shuffle. (The SQL still drops the others.)
+#: N-grams of at least this share of all positions are joined by a broadcast, the others by a shuffle; the rows are the same.
 SHARE = 2e-5
 #: One labelled URL in this many is held out of the counts and calibrates the threshold.
 HELD_OUT = 5
