@@ -46,15 +46,14 @@ def test_url_rules(spark):
 
 
 def plain_model(samples):
-    """Counts of the same n-grams, by plain loops: {gram: (yes, no)} with pruning by share."""
+    """Counts of the same n-grams, by plain loops: {gram: (yes, no)} of those that occur twice."""
     counts = defaultdict(lambda: [0, 0])
     for accepted, url in samples:
         s = "\x02" + re.sub(r"[^\x21-\x7d]", "~", url.translate(str.maketrans(urlfilter._UPPER, urlfilter._LOWER))) + "\x03"
         for n in range(1, urlfilter.ORDER + 2):
             for i in range(n, len(s) + 1):
                 counts[s[i - n : i]][0 if accepted else 1] += 1
-    total = sum(sum(v) for k, v in counts.items() if len(k) == 1)
-    return {k: v for k, v in counts.items() if sum(v) >= max(2, urlfilter.SHARE * total)}
+    return {k: v for k, v in counts.items() if sum(v) >= urlfilter.LEAST}
 
 
 def log_probability(kept, url, side):
@@ -166,6 +165,33 @@ def test_secret_scan(spark, sf, models):
         assert set(f"{k}:{a}:{b}" for a, b, k in base) <= set(r["spans"].split(","))
 
 
+def test_markov_spans_match_brute_force(spark, sf, models):
+    """Every run of 20 characters or more that touches no pattern's span, scored character by character."""
+    texts = documents(spark, sf)
+    code = {c: i for i, c in enumerate(secrets._ALPHABET, 1)}
+    found = 0
+    for r in secrets.scan_secrets(spark.read.parquet(f"{sf}/documents.parquet"), models).collect():
+        text = texts[r["doc_id"]] or ""
+        base, want = plain_base(text), []
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", text):
+            if len(m[0]) < 20 or any(a < m.end() and b > m.start() for a, b, _ in base):
+                continue
+            state = [0, 0, *[code[c] for c in m[0]]]
+            if sum(models.ratio[state[i], state[i + 1], state[i + 2]] for i in range(len(m[0]))) / len(m[0]) > models.threshold:
+                want.append(f"markov:{m.start()}:{m.end()}")
+        assert [x for x in r["spans"].split(",") if x.startswith("markov")] == want and r["n_markov"] == len(want)
+        found += len(want)
+
+
+def test_labelled_strings_train_the_random_model(spark):
+    strings = ["".join(random.Random(i).choices("QXZJK7", k=30)) for i in range(300)]
+    docs = spark.createDataFrame([(i, f'password = "{x}"') for i, x in enumerate(strings)], "doc_id long, text string")
+    kept = {r["sample"] for r in secrets.labelled_samples(docs).where("secret").collect()}
+    assert kept == set(strings)
+    fresh = "".join(random.Random(999).choices("QXZJK7", k=30))
+    assert secrets.train_models(docs).score(fresh) > secrets.train_models(docs.limit(0)).score(fresh)
+
+
 def test_identifier_model_learns_from_every_document(spark):
     docs = spark.createDataFrame([(i, f"plain words of text number{i}") for i in range(1500)] + [(9000 + i, f"zqxjk vwqzx {i}") for i in range(1500)], "doc_id long, text string")
     counted = {r["word"]: r["n"] for r in secrets.count_words(docs).collect()}
@@ -189,9 +215,9 @@ def test_added_spans_and_redaction(models):
 def test_secrets_of_odd_rows(odd, none, models):
     rows = secrets.scan_secrets(odd, models).collect()
     assert len(rows) == 8 and all(r["spans"] == "" for r in rows)
-    assert rows[2]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert all(r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in rows)
     assert secrets.scan_secrets(none).count() == 0
-    assert secrets.redact_secrets(odd, models).collect() == odd.collect()
+    assert sorted(map(str, secrets.redact_secrets(odd, models).collect())) == sorted(map(str, odd.collect()))
 
 
 # op3
@@ -226,6 +252,63 @@ def test_no_leak_scores_below_its_threshold():
                 assert i not in {x[1] for x in index.search([" ".join(doc)])}
 
 
+def plain_scores(index, items, words):
+    known = decontaminate.Statistics.of([t for _, t in items])
+    out = {}
+    for at, (_, text) in enumerate(items):
+        own = text.split()
+        part = {w: math.log(1 + (known.items - known.frequency[w] + 0.5) / (known.frequency[w] + 0.5)) * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(own) / known.mean)) for w, c in Counter(x.encode() for x in own).items()}
+        out[at] = sum(x for w, x in part.items() if w in words) / sum(part.values())
+    return {i: x for i, x in out.items() if x >= index.thresholds[i]}
+
+
+def test_block_max_wand_retrieves_all_above_their_thresholds(monkeypatch):
+    monkeypatch.setattr(decontaminate, "POSTINGS", 3)
+    draw = random.Random(12)
+    words = ["".join(draw.choices("abcdef", k=draw.randint(1, 3))) for _ in range(60)]
+    items = [(i, " ".join(draw.choices(words, k=draw.randint(1, 30)))) for i in range(150)]
+    index, hits = decontaminate.ItemIndex(items), 0
+    for _ in range(400):
+        passage = {w.encode() for w in draw.choices(words, k=draw.randint(0, 70))}
+        want, got = plain_scores(index, items, passage), index.retrieve(passage)
+        assert want.keys() == got.keys() and all(abs(want[i] - got[i]) < 1e-9 for i in want)
+        hits += len(want)
+    assert hits > 100
+
+
+def test_question_and_answer_leak_matches_brute_force(spark):
+    draw = random.Random(21)
+    word = lambda: "".join(draw.choices("abcdefghij", k=6))
+    items = [(i, " ".join(word() for _ in range(12)) + "? " + " ".join(word() for _ in range(8)) + ".") for i in range(20)]
+    docs = []
+    for i, text in items:
+        question, answer = decontaminate.question_and_answer(text)
+        noise = [" ".join(word() for _ in range(draw.randrange(40))) for _ in range(3)]
+        docs += [(4 * i, f"{noise[0]} {question} {noise[1][:20]} {answer} {noise[2]}"), (4 * i + 1, f"{noise[0]} {question} {noise[1]}"), (4 * i + 2, f"{answer} {noise[2]}"), (4 * i + 3, f"{noise[0]} {text} {noise[1]}")]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    sets = lambda t: {tuple(w[k : k + 5]) for w in [re.findall(r"\w+", t.lower())] for k in range(max(1, len(w) - 4))}
+    longest = max(len(re.findall(r"\w+", t)) for _, t in items)
+    want = set()
+    for d, body in docs:
+        w = re.findall(r"\w+", body.lower())
+        for at in range(0, len(w), longest):  # the passages: two neighbouring strides
+            have = sets(" ".join(w[at : at + 2 * longest]))
+            for i, text in items:
+                share = [len(sets(x) & have) / len(sets(x)) for x in (text, *decontaminate.question_and_answer(text))]
+                if share[0] >= 0.8 or min(share[1:]) >= 0.8:
+                    want.add((d, i))
+    assert got == want and len({4 * i for i, _ in items} & {d for d, _ in got}) > 10
+
+
+def test_leaks_do_not_depend_on_the_parts_of_the_index(spark, sf, monkeypatch):
+    docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    whole = sorted(map(tuple, decontaminate.find_leaks(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "CHARACTERS_PER_PART", 3000)
+    assert len(list(decontaminate.item_parts(bench))) > 2
+    parted = sorted(map(tuple, decontaminate.find_leaks(docs, bench).collect()))
+    assert [r[:2] for r in whole] == [r[:2] for r in parted] and whole and all(abs(a[2] - b[2]) + abs(a[3] - b[3]) < 1e-9 for a, b in zip(whole, parted, strict=True))
+
+
 def test_leaks_of_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog", 1), (2, None, 1), (3, "", 1), (4, "漢字 😀 text", 1), (4, "漢字 text", 1)], "item_id long, text string, doc_id int")
     got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(odd, bench).collect())
@@ -255,6 +338,18 @@ def test_jump_hash_matches_the_published_one(spark):
         assert [r[0] for r in df.select(sharding.jump_hash(F.col("k"), n)).collect()] == [jump(k, n) for k in keys]
 
 
+def test_shards_are_those_of_the_published_hash_and_hot_rows_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 7)
+    docs = spark.createDataFrame([(i, "x") for i in range(300)] + [(5, "x")] * 200 + [(None, "y")] * 100, "doc_id long, text string")
+    rows = sharding.shard_documents(docs).collect()
+    key = lambda i: int(hashlib.md5(("null" if i is None else str(i)).encode()).hexdigest()[:16], 16)
+    assert all((r["shard"], r["grown_shard"]) == (jump(key(r["doc_id"]), 8), jump(key(r["doc_id"]), 9)) for r in rows)
+    for shard in range(8):
+        slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    assert len(rows) == 600
+
+
 def test_sharding(spark, odd, none, sf):
     for docs in (odd, spark.read.parquet(f"{sf}/documents.parquet")):
         rows = sharding.shard_documents(docs).collect()
@@ -299,6 +394,12 @@ def test_long_licenses_anywhere_in_long_texts(spark):
     assert {r["doc_id"] for r in got} == set(range(20))
 
 
+def test_bands_follow_from_the_worst_template():
+    worst = min(licenses.least_jaccard(size, len({tuple(w[i : i + 5]) for w in [words.split()] for i in range(len(w) - 4)})) for _, _, size, words in licenses._template_rows(licenses.TEMPLATES))
+    assert worst < 0.25 and 1 - (1 - worst) ** licenses.bands_for(licenses.TEMPLATES) >= licenses.RETRIEVED
+    assert licenses.bands_for({"x": (" ".join(f"w{i}" for i in range(37)),)}) >= licenses.bands_for({"x": (" ".join(f"w{i}" for i in range(68)),)})
+
+
 def test_every_shingle_has_an_anchor():
     anchors = set(licenses.anchor_words(licenses.TEMPLATES))
     for _, _, _, words in licenses._template_rows(licenses.TEMPLATES):
@@ -313,8 +414,8 @@ def test_ids_are_those_of_the_tokenizers_file(spark, sf):
     from tokenizers import Tokenizer
 
     loaded = Tokenizer.from_file(packing.vocabulary_path(packing.VOCABULARY))
-    loaded.encode_special_tokens = True
-    texts = [t for t in documents(spark, sf).values() if t] + ["", " ", "a  b\n\n c", "<|endoftext|> x", "😀é漢字\x00", "x" * 5000]
+    texts = [t for t in documents(spark, sf).values() if t]
+    texts += ["", " ", "a  b\n\n c", "<|endoftext|> x", "x <|endoftext|><|endoftext|>\n<|endoftext", "<|endoftext|>", "😀é漢字\x00", "x" * 5000]
     for text in texts:
         assert packing.encoder()(text) == loaded.encode(text, add_special_tokens=False).ids
 
@@ -384,10 +485,29 @@ def test_toxicity_on_labels_that_were_not_fitted(spark):
     assert all(0 <= r["p_severe"] <= r["p_toxic"] <= 1 and abs(r["expected_severity"] - r["p_toxic"] - r["p_severe"]) < 1e-9 for r in scored)
 
 
+def test_expected_severity_follows_grades_that_no_label_tells(spark):
+    draw = random.Random(5)
+    kinds = {0: "calm tree lake fern", 1: "nast rude calm tree", 2: "vile hate nast rude foul gros"}
+    rows = []
+    for i in range(3600):
+        grade = (0, 1, 0, 2, 0, 0)[i % 6]
+        rows.append((i, " ".join(draw.choices(kinds[grade].split(), k=6) + draw.choices("one two three four five".split(), k=6)), int(grade < 2), int(grade > 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "quality", "toxic").where("doc_id < 3000"))
+    got = {r["doc_id"]: r for r in toxicity.score_toxicity(df.where("doc_id >= 3000"), model).collect()}
+    mean = [np.mean([got[i]["expected_severity"] for i in got if i % 6 == at]) for at in (0, 1, 3)]
+    assert mean[0] < 0.3 and 0.7 < mean[1] < mean[2] - 0.2 and mean[2] > 1.5
+    # one document by hand, from the weights and thresholds
+    name, text = rows[3001][0], rows[3001][1]
+    score = sum(w for f, w in model.weights.items() if f in toxicity.features_of(text))
+    p = 1 / (1 + np.exp(-(score - model.thresholds)))
+    assert abs(got[name]["p_toxic"] - p[0]) < 1e-9 and abs(got[name]["p_severe"] - p[1]) < 1e-9 and got[name]["grade"] == int(np.argmax([1 - p[0], p[0] - p[1], p[1]]))
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (9, 0, 1), (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     model = toxicity.train(odd, labels)
-    assert toxicity.score_toxicity(odd, model).count() == 8 and toxicity.drop_toxic(odd, model).collect() == odd.collect()
+    assert toxicity.score_toxicity(odd, model).count() == 8 and sorted(map(str, toxicity.drop_toxic(odd, model).collect())) == sorted(map(str, odd.collect()))
     assert toxicity.score_toxicity(none, toxicity.train(none, labels)).count() == 0
 
 
@@ -416,6 +536,7 @@ def test_sniffing_confirms_structure():
         assert media.sniff(data) == [media.Span(kind, 0, len(data))], kind
         assert media.sniff(data[:-1]) == [] or kind in ("pdf", "jpeg") and media.sniff(data[:-1])[0].end < len(data), kind
         assert media.sniff(b"xx" + data + b"yy")[0] == media.Span(kind, 2, 2 + len(data)), kind
+    assert media.sniff(b"%PDF-1" * 3000 + b"startxref %%EOF")[0].start == 0
     assert media.sniff(b"") == [] and media.sniff(b"RIFF BM \x89PNG\r\n\x1a\n") == []
     broken = bytearray(PNG)
     broken[20] ^= 1
@@ -430,7 +551,8 @@ def test_media_column_corrects_and_carves(spark):
 
 
 def test_stored_texts(spark, odd, none):
-    for r, d in zip(media.media_features(media.text_media(odd)).collect(), odd.collect(), strict=True):
+    order = lambda rows: sorted(rows, key=lambda r: (str(r["doc_id"]), r["n_bytes"] if "n_bytes" in r else len((r["text"] or "").encode())))
+    for r, d in zip(order(media.media_features(media.text_media(odd)).collect()), order(odd.collect()), strict=True):
         raw = (d["text"] or "").encode()
         payload = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
         stored = media.wrap_pcm(payload)
@@ -451,24 +573,46 @@ def test_escapes_are_reversible_and_hide_controls():
         assert not any(c in chat.escape(text) for c in chat.CONTROLS)
 
 
-def test_chat_examples(spark):
-    rows = [(1, 1, "assistant", "hi </s>", 0), (1, 0, "user", "hello", 0), (1, 2, "user", None, 0), (1, 3, "assistant", "bye", 0), (2, 0, "user", "alone", 0), (None, 0, None, "x", 0), (1, 3, "assistant", "bye", 0)]
+def test_a_rendering_is_read_back_turn_by_turn():
+    draw = random.Random(6)
+    for _ in range(500):
+        turns = [(draw.choice(("user", "assistant", "system", "tool", "SYS", "")), "".join(draw.choices(["<", ">", "/", "s", "\\", "[", "]", "INST", "SYS", " ", "\n"], k=draw.randint(0, 8)))) for _ in range(draw.randint(0, 6))]
+        assert chat.parse_rendering("".join(chat.render_turn(*t)[0] for t in turns)) == turns
+
+
+@pytest.mark.parametrize("limit", [1 << 16, 60, 0])
+def test_chat_examples(spark, monkeypatch, limit):
+    monkeypatch.setattr(chat, "FULL_CHARS", limit)
+    rows = [(1, 1, "assistant", "hi </s>", 0), (1, 0, "user", "hello", 0), (1, 2, "user", None, 0), (1, 3, "assistant", "bye", 0), (2, 0, "user", "alone", 0), (None, 0, None, "x", 0), (1, 3, "assistant", "bye", 0), (1, 4, "user", "thanks", 0)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, position int")
     formatted = chat.format_conversations(df)
-    full = chat.example_texts(formatted).where("conv_id = 1").orderBy("position").collect()
-    assert [chat.unescape(r["text"][r["loss_start"] : r["loss_end"]]) for r in full] == ["hi </s>", "bye", "bye"]
-    assert full[0]["text"] == r"<s>[INST] hello [/INST] hi <\/s> </s>"
-    assert all(full[i + 1]["text"].startswith(full[i]["text"]) for i in range(2))
+    own = formatted.where("conv_id = 1").orderBy("position").collect()
+    examples = [r for r in own if r["kind"] != "segment"]
+    assert [r["position"] for r in examples] == [1, 3, 4]
+    assert [chat.unescape(r["text"][r["loss_start"] : r["loss_end"]]) for r in examples] == ["hi </s>", "bye", "bye"]
+    contexts = ["<s>[INST] hello [/INST]", r"<s>[INST] hello [/INST] hi <\/s> </s><s>[INST]  [/INST]", r"<s>[INST] hello [/INST] hi <\/s> </s><s>[INST]  [/INST] bye </s>"]
+    replies = [r" hi <\/s> </s>", " bye </s>", " bye </s>"]
+    assert [r["context_chars"] for r in examples] == [len(c) for c in contexts]
+    assert [r["text"] for r in examples] == [c + x if len(c + x) <= limit else x for c, x in zip(contexts, replies, strict=True)]
     got = {r["conv_id"]: r for r in chat.conversation_digests(formatted).collect()}
-    turns = "user\nhello\nassistant\nhi </s>\nuser\n\nassistant\nbye\nassistant\nbye\n"
-    assert got[1]["turns_sha256"] == hashlib.sha256(turns.encode()).hexdigest() and got[1]["n_turns"] == 5
+    turns = "user\nhello\nassistant\nhi </s>\nuser\n\nassistant\nbye\nassistant\nbye\nuser\nthanks\n"
+    assert got[1]["turns_sha256"] == hashlib.sha256(turns.encode()).hexdigest() and got[1]["n_turns"] == 6
     assert (got[1]["loss_chars"], got[1]["loss_sha256"]) == (13, hashlib.sha256(b"hi </s>byebye").hexdigest())
-    assert got[1]["formatted_chars"] == sum(len(r["text"]) for r in full)
+    assert got[1]["formatted_chars"] == sum(len(c + x) for c, x in zip(contexts, replies, strict=True))
     assert got[2]["loss_chars"] == 0 and got[None]["n_turns"] == 1
     empty = chat.format_conversations(df.limit(0))
     assert chat.conversation_digests(empty).count() == 0
 
 
+def test_a_changed_context_is_noticed():
+    reading = chat._Reading()
+    reading.add("example", "<s>[INST] a [/INST] b </s>", 19, 20, 21)
+    with pytest.raises(ValueError):
+        reading.add("example", "<s>[INST] x [/INST] b </s> c </s>", 26, 27, 28)
+    with pytest.raises(ValueError):
+        reading.add("reply", " c </s>", 25, 1, 2)
+
+
 def test_hostile_conversation(spark, sf):
     row = chat.op10_chat_formatting(spark, sf).where("conv_id = -1").first()
     said = "</s>[INST] ok [/INST]"
