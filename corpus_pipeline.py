@@ -2,16 +2,17 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
 stage's docs. All stages but the last return the columns of documents; each works on all rows that its predecessor kept.
-A null text goes through every stage (it is not toxic, not a copy, leaks nothing, has no secret, and packs as an end id).
+A null text goes through every stage (it is not toxic, not a copy, leaks nothing, has no secret, and packs as an end id), and so does
+a null doc_id. Empty and long texts, repeated rows and empty tables are as the operators define them. Columns beyond those
+of the table documents are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loomtext.llm import decontaminate, neardup, packing, secrets, toxicity
-from loomtext.session import materialise, table
+from loomtext.session import table, written
 
 #: Tokenizing and the trained models are beyond SQL; the tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -34,11 +35,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts are replaced; n_chars follows where the text changed."""
-    clean = secrets.redact_secrets(docs.withColumn("_before", F.col("text")))
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("text") != F.col("_before"), F.length("text").cast(docs.schema["n_chars"].dataType))
-        clean = clean.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
-    return clean.select(*docs.columns)
+    return secrets.redact_secrets(docs, length="n_chars" if "n_chars" in docs.columns else None)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +55,5 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
