@@ -112,9 +112,10 @@ def near_duplicate_components(docs: DataFrame, text: str = "text", similarity: f
     linked = materialise_small(_verified(members, sets, similarity), "linked")
     labels = materialise(connected_components(linked, "leader", "node"), "labels")
     open_ = _open_buckets(keys, members, linked, labels, signed)
-    joined = materialise_small(_joined(_cells(open_), sets, similarity), "joined")
+    cells = materialise(_cells(open_), "cells")
+    joined = materialise_small(_joined(cells, sets, similarity), "joined")
     merged = materialise(connected_components(joined, "a", "b").select(F.col("node").alias("label"), F.col("component").alias("whole")), "merged")
-    discard(members, sets, linked, open_, joined, signed)
+    discard(members, sets, linked, open_, cells, joined, signed)
     own = labels.select("node", F.col("component").alias("label"))
     alone = merged.select(F.col("label").alias("node"), "label").join(own, "node", "left_anti")
     named = own.unionByName(alone).join(merged, "label", "left").select("node", F.coalesce("whole", "label").alias("component"))
@@ -150,6 +151,7 @@ def _band_keys(signed: DataFrame) -> DataFrame:
 
 
 def _maybe_broadcast(ids: DataFrame) -> DataFrame:
+    """ids (written, of narrow rows), broadcast when they are few; what it is joined to isn't shuffled then."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_NODES else ids
 
 
@@ -176,8 +178,9 @@ def _verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     pairs = members.groupBy("leader", "node").agg(F.max("size").alias("size"))
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / PART)).cast("int")
     dealt = materialise(pairs.select("leader", "node", part.alias("part")), "pairs")
-    hubs = dealt.select("leader", "part").distinct().join(sets.select(F.col("node").alias("leader"), F.col("elements").alias("hub")), "leader")
-    both = dealt.join(sets, "node").join(hubs, ["leader", "part"]).select("leader", "node", "hub", "elements")
+    hubs = materialise(dealt.select("leader", "part").distinct(), "hubs")
+    hubs = sets.select(F.col("node").alias("leader"), F.col("elements").alias("hub")).join(_maybe_broadcast(hubs), "leader")
+    both = sets.join(_maybe_broadcast(dealt), "node").join(hubs, ["leader", "part"]).select("leader", "node", "hub", "elements")
 
     def verify(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hub = None, np.zeros(0, np.uint64)
@@ -202,13 +205,14 @@ def _open_buckets(keys: DataFrame, members: DataFrame, linked: DataFrame, labels
     # in a bucket of two nodes the candidate was the only pair
     unlike = members.where("size > 2").join(linked, ["leader", "node"], "left_anti").join(side("leader"), "leader", "left").join(side("node"), "node", "left")
     failed = unlike.where(F.coalesce("of_leader", "leader") != F.coalesce("of_node", "node")).select("key").distinct()
-    held = keys.join(failed, "key", "left_semi").select("key", "node")
-    held = materialise(held, "held")
+    failed = materialise(failed, "failed")
+    held = materialise(keys.join(_maybe_broadcast(failed), "key", "left_semi").select("key", "node"), "held")
     alike = held.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     once = alike.groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key")
-    open_ = held.join(once, "key", "left_semi").join(labels, "node", "left").join(signed.select("node", "n"), "node")
+    once = materialise(once, "once")
+    open_ = held.join(_maybe_broadcast(once), "key", "left_semi").join(labels, "node", "left").join(signed.select("node", "n"), "node")
     out = materialise(open_.select("key", "node", F.coalesce("component", "node").alias("label"), "n"), "open")
-    discard(held)
+    discard(failed, held, once)
     return out
 
 
@@ -227,7 +231,8 @@ def _cells(open_: DataFrame) -> DataFrame:
         F.when(single, 1).otherwise(parts(F.col("size") - F.col("most.size"), F.col("n") - F.col("most.n"))).alias("rest_parts"),
         F.when(single, 0).otherwise(parts(F.col("most.size"), F.col("most.n"))).alias("major_parts"),
     )
-    dealt = open_.join(cut, "key").withColumn("is_major", F.coalesce(F.col("label") == F.col("major"), F.lit(False)))
+    cut = materialise(cut, "cut")
+    dealt = open_.join(_maybe_broadcast(cut), "key").withColumn("is_major", F.coalesce(F.col("label") == F.col("major"), F.lit(False)))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("is_major"), F.col("major_parts")).otherwise(F.col("rest_parts"))).cast("int")
     dealt = dealt.withColumn("own", own)
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -242,7 +247,7 @@ def _cells(open_: DataFrame) -> DataFrame:
 def _joined(cells: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(a, b): labels that links of the cells join, a spanning forest of each cell's."""
     at = ["key", "kind", "row", "col"]
-    rows = cells.join(sets, "node").select(*at, "side", "label", "elements").repartition(*at).sortWithinPartitions(*at, "side")
+    rows = sets.join(_maybe_broadcast(cells), "node").select(*at, "side", "label", "elements").repartition(*at).sortWithinPartitions(*at, "side")
 
     def joins(sides: dict[int, list], named: dict[int, list]) -> list[tuple[bytes, bytes]]:
         whole = bool(sides[0])
