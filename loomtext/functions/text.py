@@ -123,21 +123,22 @@ def minimum_confidence(text: Column, language: str = "en") -> Column:
 
 
 def prose_metrics(text: Column) -> Column:
-    """struct of the fractions of digit tokens, numeric lines, tabular lines and alphabetic tokens."""
-    tokens = words_of(text)
-    lines = F.filter(lines_of(text), lambda x: word_count(x) > 0)
-    share = lambda part, whole: F.size(part) / F.greatest(F.lit(1), F.size(whole))
-    with_digit = lambda xs: F.filter(xs, lambda t: t.rlike(_DIGIT))
-
-    def numeric(line: Column) -> Column:
-        own = words_of(line)
-        return F.size(with_digit(own)) / F.size(own) >= 0.4
-
+    """struct of the fractions of digit tokens, numeric lines, tabular lines and alphabetic tokens.
+
+    Tokens and lines are counted over the whole text, one pass each (a match begins where a token or line does, so none is scanned twice); only lines with a digit or a tab are looked at one by one.
+    """
+    word, end = f"[^{SPACE}]", LINE_END.partition("|")[2].strip("[]")
+    digit = _DIGIT.strip("[]")
+    with_digit = lambda x: F.regexp_count(x, F.lit(f"(?<!{word})[^{SPACE}{digit}]*+[{digit}]{word}*+"))
+    at_least_one = lambda n: F.greatest(F.lit(1), n)
+    tokens, lines = word_count(text), F.regexp_count(text, F.lit(f"{word}[^{end}]*+"))
+    numbered = F.filter(F.regexp_extract_all(text, F.lit(f"(?<![^{end}])[^{end}{digit}]*+[{digit}][^{end}]*+"), F.lit(0)), lambda x: with_digit(x) / word_count(x) >= 0.4)
+    tabbed = F.filter(F.regexp_extract_all(text, F.lit(f"(?<![^{end}])[^{end}\\t]*+\\t[^{end}]*+"), F.lit(0)), lambda x: x.rlike(rf"^[{SPACE}]*\t[{SPACE}]*\t") & (word_count(x) > 0))
     return F.struct(
-        share(with_digit(tokens), tokens).alias("digit_token_fraction"),
-        share(F.filter(lines, numeric), lines).alias("numeric_line_fraction"),
-        share(F.filter(lines, lambda x: x.rlike(rf"^[{SPACE}]*\t[{SPACE}]*\t")), lines).alias("tabular_line_fraction"),
-        share(F.filter(tokens, lambda t: t.rlike(r"\p{L}")), tokens).alias("alphabetic_token_fraction"),
+        (with_digit(text) / at_least_one(tokens)).alias("digit_token_fraction"),
+        (F.size(numbered) / at_least_one(lines)).alias("numeric_line_fraction"),
+        (F.size(tabbed) / at_least_one(lines)).alias("tabular_line_fraction"),
+        (F.regexp_count(text, F.lit(rf"(?<!{word})[^{SPACE}\p{{L}}]*+\p{{L}}{word}*+")) / at_least_one(tokens)).alias("alphabetic_token_fraction"),
     )
 
 

@@ -98,7 +98,7 @@ def prose_metrics(spark, sf):
   SELECT winner, members, {_split_sql(_bucket_sql("'news-curation-v1:' || g"))} AS split FROM g""")
 def exact_dedup_winner(spark, sf):
     """Normalized text -> the preferred copy, how many there are, and the group's hash split."""
-    rows = _docs(spark, sf).select("doc_id", F.xxhash64(t.normalized(F.col("text"))).alias("a"), F.sha2(t.normalized(F.col("text")), 256).alias("p"), t.word_count(F.col("text")).alias("w"), (F.col("source") == "src0").cast("int").alias("rank"))
+    rows = _docs(spark, sf).select("doc_id", F.sha2(t.normalized(F.col("text")), 256).alias("p"), t.word_count(F.col("text")).alias("w"), (F.col("source") == "src0").cast("int").alias("rank"))
     best = rows.groupBy("p").agg(F.min("doc_id").alias("g"), F.min_by("doc_id", F.struct("rank", -F.col("w"), "doc_id")).alias("winner"), F.count("*").alias("members"))
     return best.select("winner", "members", splits.split_of(splits.hash_bucket(F.concat(F.lit("news-curation-v1:"), F.col("g").cast("string")))).alias("split"))
 
@@ -110,10 +110,11 @@ def equivalent_ids(spark, sf):
     return found.select("winner", F.array_join(F.col("equivalent_ids").cast("array<string>"), ",").alias("equivalent_ids"))
 
 
-@query(f"SELECT min(doc_id) AS first_id, count(DISTINCT toxic) AS n_targets FROM (SELECT doc_id, {_PLAIN} AS p, toxic FROM documents JOIN labels USING (doc_id)) GROUP BY p HAVING count(DISTINCT toxic) > 1")
+@query(f"SELECT min(doc_id) AS first_id, count(DISTINCT doc_id % 2) AS n_targets FROM (SELECT doc_id, {_PLAIN} AS p FROM documents) GROUP BY p HAVING count(DISTINCT doc_id % 2) > 1")
 def label_conflicts(spark, sf):
-    rows = _docs(spark, sf, "doc_id", "text").join(table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id").withColumn("p", t.identity_hash(F.col("text")))
-    bad = dedup.label_conflicts(rows, "p", "toxic")
+    """Texts whose copies have different targets (here the parity of the id, so that there are some)."""
+    rows = _docs(spark, sf, "doc_id", "text").select("doc_id", (F.col("doc_id") % 2).alias("target"), t.identity_hash(F.col("text")).alias("p"))
+    bad = dedup.label_conflicts(rows, "p", "target")
     return rows.groupBy("p").agg(F.min("doc_id").alias("first_id")).join(bad, "p").select("first_id", "n_targets")
 
 
@@ -192,13 +193,20 @@ def common_hosts(spark, sf):
     return aggregate.common_hosts(table(spark, sf, "pages"))
 
 
-@query("SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS written, 2 AS n_dates FROM orders")
+_MONTHS = "(?:" + t.MONTHS + ")"
+_FOUND = rf"regexp_extract_all(x, '(?i)\b(?:\d{{4}}-\d{{2}}-\d{{2}}|{_MONTHS}\s+\d{{1,2}}(?:st|nd|rd|th)?,?\s+\d{{4}}|\d{{1,2}}(?:st|nd|rd|th)?\s+{_MONTHS},?\s+\d{{4}})\b')"
+_PLAIN_DATE = r"regexp_replace(regexp_replace(y, '(?i)(\d)(?:st|nd|rd|th)\b', '\1'), '[, \n\t]+', ' ', 'g')"
+
+
+@query(rf"""WITH f AS (SELECT doc_id, text || ' Seen ' || strftime(DATE '2001-01-01' + (doc_id % 9000)::INT, '%B %d, %Y') || ' (not 30 February 2020, not 2021-13-01), 3rd Sep 1999, on ' || strftime(DATE '2001-01-01' + (doc_id % 5000)::INT, '%Y-%m-%d') || '.' AS x FROM documents WHERE text IS NOT NULL),
+  d AS (SELECT doc_id, list_filter(list_transform({_FOUND}, lambda y: try_strptime({_PLAIN_DATE}, ['%Y-%m-%d', '%B %d %Y', '%b %d %Y', '%d %B %Y', '%d %b %Y'])::DATE), lambda z: z IS NOT NULL) AS dates FROM f)
+  SELECT doc_id, len(dates)::INT AS n_dates, array_to_string(list_transform(dates, lambda z: z::VARCHAR), ',') AS dates FROM d""")
 def explicit_dates(spark, sf):
-    """Dates in text made of order dates: two formats, one of which names a day that doesn't exist."""
-    day = F.col("o_orderdate").cast("date")
-    text = F.concat(F.lit("Published "), F.date_format(day, "MMMM d, yyyy"), F.lit(" (not 30 February 2020), again on "), F.date_format(day, "d MMM yyyy"), F.lit("."))
+    """All dates written out in every text, behind which four more stand and two that don't exist."""
+    day = lambda n, f: F.date_format(F.date_add(F.lit("2001-01-01").cast("date"), F.pmod(F.col("doc_id"), F.lit(n)).cast("int")), f)
+    text = F.concat("text", F.lit(" Seen "), day(9000, "MMMM dd, yyyy"), F.lit(" (not 30 February 2020, not 2021-13-01), 3rd Sep 1999, on "), day(5000, "yyyy-MM-dd"), F.lit("."))
     dates = t.explicit_dates(text)
-    return table(spark, sf, "orders").select("o_orderkey", F.array_max(dates).cast("string").alias("written"), F.size(dates).alias("n_dates"))
+    return _docs(spark, sf, "doc_id", "text").where("text IS NOT NULL").select("doc_id", F.size(dates).alias("n_dates"), F.array_join(F.transform(dates, lambda d: d.cast("string")), ",").alias("dates"))
 
 
 _SHINGLES = r"""w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+(?:[''’][\p{L}\p{N}\p{M}_]+)*') AS w FROM documents),
@@ -394,10 +402,23 @@ def token_counts(spark, sf):
     return spans.token_counts(_docs(spark, sf, "doc_id", "text"), end_tokens=1).select("doc_id", "token_count")
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '[ \\t]+([,.;:!?%)\\]])', '\\1', 'g'), '([(\\[])[ \\t]+', '\\1', 'g'), '\\s+@-@\\s+', '-', 'g')) AS restored FROM documents WHERE length(text) < 2000")
+def _restored(text: str) -> str:
+    """The six spacing rules in SQL, in their order."""
+    wide = f"[{t.SPACE}]+"
+    rules = [(f"{wide}@-@{wide}", "-"), (f"{wide}@,@{wide}", ","), (f"{wide}@\\.@{wide}", "."), (r"[ \t]+([,.;:!?%)\]])", r"\1"), (r"([(\[])[ \t]+", r"\1"), (r"([\p{L}\p{N}\p{M}_])[ \t]+('[sdm]|'re|'ve|'ll|n't)\b", r"\1\2")]
+    for pattern, new in rules:
+        text = f"regexp_replace({text}, '{pattern.replace(chr(39), chr(39) * 2)}', '{new}', 'g')"
+    return text
+
+
+_SPACED = "text || ' well @-@ known 1 @,@ 000 and 3 @.@ 5 ( a [ b ] ) it ''s , they ''re here . do n''t ! ' || doc_id"
+
+
+@query(f"SELECT doc_id, {_restored(_SPACED)} AS restored FROM documents")
 def restored_punctuation(spark, sf):
-    """Every document; the SQL has only those under 2000 characters."""
-    return _docs(spark, sf, "doc_id", "text").select("doc_id", F.trim(t.restore_punctuation(F.col("text"))).alias("restored"))
+    """Every document, with a sentence behind it that needs all six rules."""
+    spaced = F.concat("text", F.lit(" well @-@ known 1 @,@ 000 and 3 @.@ 5 ( a [ b ] ) it 's , they 're here . do n't ! "), F.col("doc_id").cast("string"))
+    return _docs(spark, sf, "doc_id", "text").select("doc_id", t.restore_punctuation(spaced).alias("restored"))
 
 
 @query()

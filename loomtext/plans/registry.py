@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import gate_queries  # noqa: F401  registers its queries
 from .queries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
