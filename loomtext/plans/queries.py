@@ -414,11 +414,11 @@ def _restored(text: str) -> str:
 _SPACED = "text || ' well @-@ known 1 @,@ 000 and 3 @.@ 5 ( a [ b ] ) it ''s , they ''re here . do n''t ! ' || doc_id"
 
 
-@query(f"SELECT doc_id, {_restored(_SPACED)} AS restored FROM documents")
+@query(f"SELECT doc_id, trim({_restored('text')}) AS restored, right({_restored(_SPACED)}, 90) AS tail FROM documents")
 def restored_punctuation(spark, sf):
-    """Every document, with a sentence behind it that needs all six rules."""
+    """Every document; and the end of it with a sentence behind that needs all six rules."""
     spaced = F.concat("text", F.lit(" well @-@ known 1 @,@ 000 and 3 @.@ 5 ( a [ b ] ) it 's , they 're here . do n't ! "), F.col("doc_id").cast("string"))
-    return _docs(spark, sf, "doc_id", "text").select("doc_id", t.restore_punctuation(spaced).alias("restored"))
+    return _docs(spark, sf, "doc_id", "text").select("doc_id", F.trim(t.restore_punctuation(F.col("text"))).alias("restored"), F.right(t.restore_punctuation(spaced), F.lit(90)).alias("tail"))
 
 
 @query()
