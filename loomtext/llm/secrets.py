@@ -86,11 +86,15 @@ def _codes(token: str) -> np.ndarray:
 
 def _trigrams(tokens: Sequence[str], weights: Sequence[int]) -> np.ndarray:
     """Counts of all character triples of weighted tokens."""
-    counts = np.zeros(_STATES**3)
-    for token, weight in zip(tokens, weights, strict=True):
-        c = np.concatenate(([0, 0], _codes(token)))
-        np.add.at(counts, (c[:-2] * _STATES + c[1:-1]) * _STATES + c[2:], float(weight))
-    return counts
+    triples, lengths = _triples(tokens)
+    return np.bincount(triples, weights=np.repeat(np.asarray(weights, dtype=float), lengths), minlength=_STATES**3)
+
+
+def _triples(tokens: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of every character's triple (two characters before it, or marks of the beginning) of all tokens, and the tokens' lengths."""
+    lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+    c = _codes("\0\0" + "\0\0".join(tokens))
+    return ((c[:-2] * _STATES + c[1:-1]) * _STATES + c[2:])[c[2:] > 0], lengths
 
 
 class MarkovPair:
@@ -129,6 +133,14 @@ class MarkovPair:
         return float(self.ratio[c[:-2], c[1:-1], c[2:]].mean())
 
 
+def _scores(models: MarkovPair, names: Sequence[str]) -> np.ndarray:
+    """models.score of every name, to three decimals."""
+    if not names:
+        return np.zeros(0)
+    triples, lengths = _triples(names)
+    return np.round(np.add.reduceat(models.ratio.reshape(-1)[triples], np.cumsum(lengths) - lengths) / lengths, 3)
+
+
 def random_samples(n: int = SAMPLES, seed: int = 7) -> list[str]:
     draw = random.Random(seed)
     upper, lower, digits = _ALPHABET[:26], _ALPHABET[26:52], _ALPHABET[52:62]
@@ -165,9 +177,9 @@ def identifier_samples(words: Sequence[str], n: int = SAMPLES, seed: int = 11) -
 
 
 def word_identifiers(word: str) -> list[str]:
-    """One name in each style of a word, about half of its parts, and common words; the same for a word on any machine."""
+    """Names in two styles of a word, about half of their parts, and common words; the same for a word on any machine."""
     draw, out = random.Random(zlib.crc32(word.encode())), []
-    for style in _STYLES:
+    for style in draw.sample(_STYLES, 2):
         parts = [word]
         while sum(map(len, parts)) < MIN_RUN + draw.randint(0, 12):
             parts.append(word if draw.random() < 0.5 else draw.choice(COMMON_WORDS))
@@ -254,20 +266,18 @@ def train_models(docs: DataFrame, text: str = "text", samples: int = SAMPLES) ->
     for side, triple, n in known.mapInArrow(triples, "secret boolean, triple long, n long").groupBy("secret", "triple").agg(F.sum("n").alias("n")).toPandas().itertuples(index=False):
         counts[side][triple] += n
     models = MarkovPair(MarkovPair._log_of(counts[True]) - MarkovPair._log_of(counts[False]), 0.0)
-    score = lambda x: round(models.score(x), 3)
 
     def scores(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             seen: Counter = Counter()
-            for word, n in zip(batch.column("sample").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                for x in word_identifiers(word):
-                    if _held_out(x):
-                        seen[score(x)] += n
+            names = [(x, n) for word, n in zip(batch.column("sample").to_pylist(), batch.column("n").to_pylist(), strict=True) for x in word_identifiers(word) if _held_out(x)]
+            for value, (_, n) in zip(_scores(models, [x for x, _ in names]).tolist(), names, strict=True):
+                seen[value] += n
             yield _packed(["score", "n"], list(seen.items()), [pa.float64(), pa.int64()])
 
     # scores of three decimals, so the histogram is bounded
     bins = Counter({r[0]: r[1] for r in words.mapInArrow(scores, "score double, n long").groupBy("score").agg(F.sum("n")).collect()})
-    bins.update(score(x) for x in made if _held_out(x))
+    bins.update(_scores(models, [x for x in made if _held_out(x)]).tolist())
     discard(known)
     left = FALSE_ALARMS * sum(bins.values())
     for value in sorted(bins, reverse=True):
