@@ -54,7 +54,7 @@ ITEMS_PER_PART = 4_000
 CHARACTERS_PER_PART = 4_000_000
 #: Postings of a block.
 POSTINGS = 32
-RANGES = 32
+RANGES = 128
 _TINY = 1e-9
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
