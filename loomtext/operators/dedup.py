@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -16,9 +16,9 @@ from .splits import hash_bucket, split_of
 
 
 def keep_first(rows: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
-    """The row of least position of each key."""
-    order = Window.partitionBy(*keys).orderBy(position)
-    return rows.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    """The row of least position of each key, by an aggregate with map-side combine: a key of any share of the rows is no hot window."""
+    best = rows.groupBy(*keys).agg(F.min_by(F.struct(*[f"`{c}`" for c in rows.columns]), position).alias("_best"))
+    return best.select("_best.*")
 
 
 def winners(rows: DataFrame, group: Column, order: Sequence[Column], id: str = "id") -> DataFrame:
@@ -68,15 +68,18 @@ def quarantine_posts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     eligible = F.col("binary_target").isNotNull() & ~empty
     facts = rows.groupBy(key).agg(
         F.count_distinct("binary_target").alias("_targets"), F.count_if(eligible).alias("_eligible"),
-        F.min_by("id", F.when(eligible, F.struct("dataset", "id"))).alias("_chosen"), F.array_sort(F.collect_list("id")).alias("_all"),
+        F.min_by("id", F.when(eligible, F.struct("dataset", "id"))).alias("_chosen"),
     )
     judged = rows.join(facts, key)
     conflict = F.col("_targets") > 1
     none = ~conflict & (F.col("_eligible") == 0)
-    binary = judged.where(~conflict & (F.col("_eligible") > 0) & (F.col("id") == F.col("_chosen"))).withColumn("equivalent_record_ids", F.col("_all"))
+    binary = judged.where(~conflict & (F.col("_eligible") > 0) & (F.col("id") == F.col("_chosen")))
+    # the list of all ids of a text goes to its one chosen row, never to each of them
+    aliases = rows.groupBy(key).agg(F.array_sort(F.collect_list("id")).alias("equivalent_record_ids"))
+    binary = binary.join(aliases, key)
     reason = F.when(conflict, "conflicting_labels_for_identical_normalized_text").when(none & empty, "empty_text").otherwise(F.col("exclusion_reason"))
     quarantine = judged.where(conflict | none | F.col("binary_target").isNull()).withColumn("exclusion_reason", reason)
-    drop = ("_targets", "_eligible", "_chosen", "_all")
+    drop = ("_targets", "_eligible", "_chosen")
     return binary.drop(*drop), quarantine.drop(*drop)
 
 

@@ -36,10 +36,12 @@ def write_text_file(spark: SparkSession, path: str, body: str) -> None:
     stream = fs.create(part, True)
     stream.write(bytearray(body.encode("utf-8")))
     stream.close()
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs.delete(target, False)
-    if not fs.rename(part, target):
-        raise OSError(f"cannot publish {path}")
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    # one rename that replaces the old file: a reader sees the old body or the new one, never none
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.toUri() if part.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(part), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path)), options)
 
 
 def canonical_json(value: object) -> str:
