@@ -236,7 +236,13 @@ def near_dup_components(spark, sf):
     return similarity.similarity_groups(sets, similarity.similar_pairs(sets, 0.8))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_SHINGLES}, c AS (SELECT k.doc_id, k.h, {_N} AS words FROM k JOIN documents USING (doc_id)), q AS (SELECT doc_id, words, min(doc_id) OVER (PARTITION BY h) AS least FROM c),
+  l AS (SELECT first AS a, second AS b FROM j WHERE jaccard >= 0.92 UNION SELECT second, first FROM j WHERE jaccard >= 0.92 UNION SELECT least, least FROM q),
+  e AS (SELECT x.doc_id AS a, y.doc_id AS b FROM l JOIN q x ON x.least = l.a JOIN q y ON y.least = l.b WHERE x.doc_id <> y.doc_id AND least(x.words, y.words) / greatest(x.words, y.words) >= 0.85),
+  o AS MATERIALIZED (SELECT a AS id, near, row_number() OVER (ORDER BY words DESC, a) AS k FROM (SELECT a, list(b) AS near FROM e GROUP BY a) JOIN q ON q.doc_id = a),
+  g AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept, NULL::BIGINT AS id, NULL::BIGINT AS keeper UNION ALL
+  SELECT o.k, CASE WHEN len(list_intersect(g.kept, o.near)) > 0 THEN g.kept ELSE list_append(g.kept, o.id) END, o.id, list_min(list_intersect(g.kept, o.near)) FROM g JOIN o ON o.k = g.k + 1)
+  SELECT id AS removed_id, keeper AS retained_id FROM g WHERE keeper IS NOT NULL""")
 def near_dup_keep(spark, sf):
     """Which near-copies go, and for which retained document."""
     sets = _sets(spark, sf)
@@ -274,7 +280,17 @@ def source_quota(spark, sf):
     return budget.quota(rows, {"src0": 8000, "src1": 8000, "src2": 8000}, "source", "doc_id", "tokens", 50).where("selected").select("source", "doc_id")
 
 
-@query()
+_TAKEN = "coalesce(list_sum(list_transform(list_filter(s.taken, lambda x: {}), lambda x: x.w)), 0) + o.w"
+
+
+@query(f"""WITH RECURSIVE d AS (SELECT doc_id::VARCHAR AS id, lang AS g, source AS p, {_N}::BIGINT AS w, {_PLAIN} AS plain, CASE lang WHEN 'en' THEN 0.5 ELSE 0.25 END::DOUBLE AS weight FROM documents WHERE lang IN ('en', 'de', 'fr')),
+  t AS (SELECT floor(min(n))::BIGINT AS total FROM (SELECT sum(w) / any_value(weight) AS n FROM d GROUP BY g)),
+  o AS MATERIALIZED (SELECT d.*, total, row_number() OVER (ORDER BY sha256('diverse-human-v1:' || id), id) AS k FROM d, t),
+  s AS (SELECT 0::BIGINT AS k, []::STRUCT(g VARCHAR, p VARCHAR, w BIGINT, plain VARCHAR)[] AS taken, NULL::VARCHAR AS id, NULL::VARCHAR AS g, NULL::VARCHAR AS p, NULL::BIGINT AS w, false AS ok UNION ALL
+  SELECT k, CASE WHEN ok THEN list_append(taken, struct_pack(g := g, p := p, w := w, plain := plain)) ELSE taken END, id, g, p, w, ok FROM (SELECT o.k, s.taken, o.id, o.g, o.p, o.w, o.plain,
+  {_TAKEN.format("x.g = o.g")} <= floor(o.total * o.weight) AND CASE o.g WHEN 'en' THEN {_TAKEN.format("x.p = o.p")} <= o.total * 0.08::DOUBLE WHEN 'de' THEN {_TAKEN.format("x.p = o.p")} <= o.total * 0.12::DOUBLE ELSE o.w <= o.total * 0.02::DOUBLE END
+  AND NOT list_contains(list_transform(s.taken, lambda x: x.plain), o.plain) AS ok FROM s JOIN o ON o.k = s.k + 1))
+  SELECT id, g AS genre, p AS publisher, w AS whitespace_words FROM s WHERE ok""")
 def balanced_select(spark, sf):
     rows = _docs(spark, sf).select(
         F.col("doc_id").cast("string").alias("id"), "text", F.col("lang").alias("genre"), F.col("source").alias("publisher"), F.col("source").alias("author"), F.col("doc_id").cast("string").alias("parent_document_id"), t.word_count(F.col("text")).alias("whitespace_words"),
@@ -283,7 +299,16 @@ def balanced_select(spark, sf):
     return budget.balanced_select(rows, policy).select("id", "genre", "publisher", "whitespace_words")
 
 
-@query()
+# starts of words and natural ends by the lengths of the pieces before them; then one slice after another
+@query(rf"""WITH RECURSIVE w AS (SELECT doc_id, list(place ORDER BY place) AS starts FROM (SELECT doc_id, piece, i, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) - length(piece) AS place
+    FROM (SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '[{t.SPACE}]+|[^{t.SPACE}]+') AS p FROM documents))) WHERE NOT regexp_matches(piece, '^[{t.SPACE}]') GROUP BY 1),
+  n AS (SELECT doc_id, list(place ORDER BY place) AS ends FROM (SELECT doc_id, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS place
+    FROM (SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '(?s)\n[{t.SPACE}]*\n|[.!?]["’”'']?[{t.SPACE}]+|[^\n.!?]+|.') AS p FROM documents))) WHERE length(piece) > 1 AND left(piece, 1) IN (chr(10), '.', '!', '?') GROUP BY 1),
+  d AS MATERIALIZED (SELECT doc_id, text, length(text) AS size, starts, coalesce(ends, []::BIGINT[]) AS ends FROM documents JOIN w USING (doc_id) LEFT JOIN n USING (doc_id)),
+  s AS (SELECT doc_id, 0::BIGINT AS a, 0::BIGINT AS b, 0::BIGINT AS before, 0::BIGINT AS upto FROM d UNION ALL
+  SELECT doc_id, b, cut, upto, len(list_filter(starts, lambda x: x < cut))::BIGINT FROM (SELECT *, CASE WHEN len(starts) - upto <= 300 THEN size WHEN stop > b AND stop - b >= 0.65::DOUBLE * (full_at - b) AND len(list_filter(starts, lambda x: x < stop)) - upto >= 100 THEN stop ELSE full_at END::BIGINT AS cut
+    FROM (SELECT *, list_max(list_filter(ends, lambda x: x <= full_at)) AS stop FROM (SELECT s.doc_id, s.b, s.upto, d.starts, d.ends, d.size, d.starts[s.upto + 301]::BIGINT AS full_at FROM s JOIN d ON d.doc_id = s.doc_id WHERE s.b < d.size))))
+  SELECT s.doc_id AS parent_document_id, a::INT AS start, b::INT AS end, (upto - before)::INT AS whitespace_words, sha256(substr(text, a + 1, b - a)) AS text_sha256 FROM s JOIN d ON d.doc_id = s.doc_id WHERE upto - before >= 100""")
 def passages(spark, sf):
     return spans.make_spans(_docs(spark, sf, "doc_id", "text"), 100, 300, "doc_id").select("parent_document_id", "start", "end", "whitespace_words", "text_sha256")
 
