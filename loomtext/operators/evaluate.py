@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..session import materialise
 
 
 def join_scores(rows: DataFrame, scores: DataFrame) -> DataFrame:
@@ -65,17 +66,24 @@ def evaluate(scored: DataFrame, threshold: float, split: str) -> DataFrame:
 def choose_threshold(rows: DataFrame, maximum_fpr: float = 0.01, label: str = "binary_target", score: str = "score") -> float:
     """The least threshold (score >= threshold is machine) whose observed human false-positive rate is allowed.
 
-    The pick is an order statistic; equal scores are counted first, so what is ranked is distinct values.
+    The pick is an order statistic; equal scores are counted first, ranges of the distinct values are summed, and only the range that
+    holds the pick is ranked.
     """
     if not 0 <= maximum_fpr < 1:
         raise ValueError("the false-positive rate must be in [0, 1)")
     values = rows.where(F.col(label) == 0).groupBy(F.col(score).cast("double").alias("s")).count()
-    n = values.agg(F.sum("count")).first()[0]
-    if not n:
+    ranged = materialise(values.repartitionByRange(F.desc("s")).withColumn("block", F.spark_partition_id()), "scores")
+    totals = sorted(ranged.groupBy("block").agg(F.sum("count")).collect())
+    if not totals:
         raise ValueError("validation needs human rows")
-    allowed = math.floor(n * maximum_fpr)
-    reach = F.sum("count").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("s")))
-    picked = values.withColumn("reach", reach).where(F.col("reach") > allowed).agg(F.max("s")).first()[0]
+    allowed = math.floor(sum(n for _, n in totals) * maximum_fpr)
+    before = 0
+    for block, n in totals:
+        if before + n > allowed:
+            break
+        before += n
+    reach = F.sum("count").over(Window.partitionBy("block").orderBy(F.desc("s"))) + before
+    picked = ranged.where(F.col("block") == block).withColumn("reach", reach).where(F.col("reach") > allowed).agg(F.max("s")).first()[0]
     threshold = math.nextafter(picked, math.inf)
     if threshold > 1:
         raise ValueError("no threshold in [0, 1] is low enough")
@@ -96,7 +104,8 @@ def cluster_bootstrap(scored: DataFrame, threshold: float, repetitions: int = 20
         raise ValueError("no groups")
     matrix = np.array([r[1:] for r in rows], dtype=np.int64)
     draw = np.random.default_rng(seed)
-    sums = matrix[draw.integers(0, len(matrix), size=(repetitions, len(matrix)))].sum(axis=1)
+    at_once = max(1, 1_000_000 // len(matrix))
+    sums = np.concatenate([matrix[draw.integers(0, len(matrix), size=(min(at_once, repetitions - r), len(matrix)))].sum(axis=1) for r in range(0, repetitions, at_once)])
     out = {"work_groups": len(matrix), "bootstrap_repetitions": repetitions, "seed": seed}
     for name, k in (("human_fpr", 0), ("machine_recall", 2)):
         of = sums[sums[:, k + 1] > 0]

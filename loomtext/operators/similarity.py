@@ -11,38 +11,40 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalized
-from ..session import materialise
+from ..session import materialise, written
 from .graph import connected_components
 
 WIDTH = 7
 BANDS, ROWS = 16, 8
 #: Sets of a block, of which every two of a bucket meet.
 PART = 256
+#: Postings (an id and two numbers) up to which `overlaps` broadcasts its other side; beyond, both sides are shuffled.
+BROADCAST_POSTINGS = 500_000
 _WORD = re.compile(r"\w+(?:['’]\w+)*")
 
 
 def shingle_sets(rows: DataFrame, id: str = "id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(id, shingles array<long> sorted and distinct, words) of every row; texts of fewer words have an empty set."""
+    """(id, shingles array<long> sorted and distinct, words) of every row; texts of fewer words have an empty set. Ids pass untouched, null ones too."""
     kind = rows.schema[id].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
             sets, counts = [], []
-            for body, plain in zip(frame["text"], frame["plain"], strict=True):
+            for body, plain in zip(batch.column("text").to_pylist(), batch.column("plain").to_pylist(), strict=True):
                 words = _WORD.findall(plain or "")
-                found = {xxhash.xxh64_intdigest(" ".join(words[i : i + width])) - (1 << 63) for i in range(len(words) - width + 1)}
-                sets.append(np.array(sorted(found), dtype=np.int64))
+                each = {xxhash.xxh64_intdigest(" ".join(words[i : i + width])) - (1 << 63) for i in range(len(words) - width + 1)}
+                sets.append(np.array(sorted(each), dtype=np.int64))
                 counts.append(len((body or "").split()))
-            yield pd.DataFrame({"id": frame["id"], "shingles": sets, "words": counts})
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64())), pa.array(counts, pa.int64())], ["id", "shingles", "words"])
 
     slim = rows.select(F.col(id).alias("id"), F.col(text).alias("text"), normalized(F.col(text)).alias("plain"))
-    return slim.mapInPandas(run, f"id {kind}, shingles array<bigint>, words long")
+    return slim.mapInArrow(run, f"id {kind}, shingles array<bigint>, words long")
 
 
 def jaccard(a, b):
@@ -92,27 +94,28 @@ def minhash_bands(sets: DataFrame, bands: int = BANDS, rows: int = ROWS, seed: i
     """(id, band): one row for each band of the MinHash signature."""
     kind = sets.schema["id"].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         draw = np.random.default_rng(seed)
         a = draw.integers(1, 1 << 62, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         b = draw.integers(0, 1 << 62, bands * rows, dtype=np.uint64)
-        for frame in frames:
-            ids, keys = [], []
-            for id, values in zip(frame["id"].tolist(), frame["shingles"], strict=True):
-                if not len(values):
+        for batch in found:
+            taken, keys = [], []
+            values, ends = batch.column("shingles").values.to_numpy(), batch.column("shingles").offsets.to_numpy()
+            for row, (lo, hi) in enumerate(zip(ends, ends[1:], strict=False)):
+                if lo == hi:
                     continue
-                x = np.asarray(values, dtype=np.int64).view(np.uint64)
+                x = values[lo:hi].view(np.uint64)
                 least = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
                 for start in range(0, len(x), 4096):  # memory stays bounded for long texts
                     h = x[start : start + 4096, None] * a[None, :] + b[None, :]
                     h ^= h >> np.uint64(33)
                     least = np.minimum(least, h.min(axis=0))
                 for k in range(bands):
-                    ids.append(id)
+                    taken.append(row)
                     keys.append(xxhash.xxh64_intdigest(k.to_bytes(2, "big") + least[k * rows : (k + 1) * rows].tobytes()) - (1 << 63))
-            yield pd.DataFrame({"id": ids, "band": np.array(keys, dtype=np.int64)})
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(taken, pa.int64())), pa.array(keys, pa.int64())], ["id", "band"])
 
-    return sets.select("id", "shingles").mapInPandas(run, f"id {kind}, band long")
+    return sets.select("id", "shingles").mapInArrow(run, f"id {kind}, band long")
 
 
 def banded_pairs(sets: DataFrame, minimum: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -172,6 +175,7 @@ def keep_distinct(ranked: DataFrame, sets: DataFrame, pairs: DataFrame, similari
     Rows of equal sets and word counts have the same neighbours and each other, so only the first of them by rank can be kept;
     greedy_keep runs on these, and the others follow. The edges of a group of copies are never listed.
     """
+    pairs = written(pairs, "pairs")
     least = pairs.where("jaccard = 1").select(F.col("second").alias("id"), F.col("first").alias("least"))
     members = sets.select("id", "words").join(ranked.select("id", "rank"), "id").join(least, "id", "left").withColumn("least", F.coalesce("least", "id"))
     members = materialise(members, "members")
@@ -198,6 +202,8 @@ def keep_distinct(ranked: DataFrame, sets: DataFrame, pairs: DataFrame, similari
 def overlaps(sets: DataFrame, others: DataFrame, minimum: float) -> DataFrame:
     """(id, other_id, containment): share of the other text's shingles that a text holds, at least `minimum`."""
     left = sets.select("id", F.explode("shingles").alias("shingle"))
-    right = others.select(F.col("id").alias("other_id"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    right = materialise(others.select(F.col("id").alias("other_id"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "postings")
+    if right.count() <= BROADCAST_POSTINGS:
+        right = F.broadcast(right)
     common = left.join(right, "shingle").groupBy("id", "other_id").agg((F.count("*") / F.first("n")).alias("containment"))
     return common.where(F.col("containment") >= minimum)

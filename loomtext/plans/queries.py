@@ -9,7 +9,7 @@ from ..functions import text as t
 from ..functions import urls as u
 from ..operators import aggregate, budget, dedup, evaluate, gates, similarity, spans, splits, verify
 from ..operators.graph import component_edges, connected_components
-from ..session import table
+from ..session import materialise, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -232,7 +232,7 @@ def near_dup_pairs(spark, sf):
   c AS (SELECT doc_id AS id, doc_id AS root FROM k UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.id WHERE c.root < e.b)
   SELECT id, min(root) AS similarity_group FROM c GROUP BY 1""")
 def near_dup_components(spark, sf):
-    sets = _sets(spark, sf).where(F.size("shingles") > 0)
+    sets = materialise(_sets(spark, sf).where(F.size("shingles") > 0), "shingles")
     return similarity.similarity_groups(sets, similarity.similar_pairs(sets, 0.8))
 
 
@@ -245,7 +245,7 @@ def near_dup_components(spark, sf):
   SELECT id AS removed_id, keeper AS retained_id FROM g WHERE keeper IS NOT NULL""")
 def near_dup_keep(spark, sf):
     """Which near-copies go, and for which retained document."""
-    sets = _sets(spark, sf)
+    sets = materialise(_sets(spark, sf), "shingles")
     ranked = sets.select("id", F.struct((-F.col("words")).alias("w"), "id").alias("rank"))
     return similarity.keep_distinct(ranked, sets, similarity.similar_pairs(sets, 0.8))[1]
 

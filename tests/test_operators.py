@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 
@@ -274,3 +275,30 @@ def test_detector_report_uses_all_features(monkeypatch, spark, sf):
 
     monkeypatch.setattr(detector, "train_and_report", lambda rows, maximum_fpr, **options: (None, options))
     assert detector_report(spark, sf).get("features", detector.FEATURES) == 75_000
+
+
+def test_threshold_is_an_order_statistic_of_all_scores(spark):
+    scores = [(i * 37 % 101) / 101 for i in range(400)] + [0.5] * 200
+    rows = spark.createDataFrame([(0, s) for s in scores] + [(1, 0.999)] * 5, "binary_target int, score double")
+    for allowed in (0.0, 0.01, 0.3, 0.45, 0.6, 0.99):
+        want = sorted(scores, reverse=True)[math.floor(len(scores) * allowed)]
+        assert evaluate.choose_threshold(rows, allowed) == math.nextafter(want, math.inf)
+
+
+def test_shingles_and_bands_keep_ids_beside_a_null(spark):
+    body = "one two three four five six seven eight nine ten"
+    ids = [2**53 + 1, None, 2**53 + 3]
+    sets = similarity.shingle_sets(spark.createDataFrame([(i, body) for i in ids], "id long, text string").coalesce(1))
+    assert [r["id"] for r in sets.collect()] == ids and len({tuple(r["shingles"]) for r in sets.collect()}) == 1
+    bands = similarity.minhash_bands(sets).collect()
+    assert {r["id"] for r in bands} == set(ids) and len(bands) == 3 * similarity.BANDS and len({r["band"] for r in bands}) == similarity.BANDS
+    assert similarity.minhash_bands(similarity.shingle_sets(spark.createDataFrame([(1, "short"), (2, None)], "id long, text string"))).count() == 0
+
+
+def test_overlaps_are_the_same_broadcast_and_shuffled(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    docs = similarity.shingle_sets(spark.createDataFrame([(i, " ".join(words[i : i + 30])) for i in range(20)], "id long, text string"))
+    items = similarity.shingle_sets(spark.createDataFrame([(i, " ".join(words[3 * i : 3 * i + 12])) for i in range(9)], "id long, text string"))
+    small = sorted(map(tuple, similarity.overlaps(docs, items, 0.5).collect()))
+    monkeypatch.setattr(similarity, "BROADCAST_POSTINGS", 0)
+    assert small and small == sorted(map(tuple, similarity.overlaps(docs, items, 0.5).collect()))
