@@ -32,6 +32,8 @@ from ..session import discard, materialise, materialise_small, table
 from .textcore import flat_words
 
 FIT_DOCUMENTS = 20_000
+#: Texts whose features are in a worker's memory at once.
+TEXTS_AT_ONCE = 50
 MIN_DOCUMENTS = 3
 PREFIXES = (4, 5, 6)
 #: Standard deviations from what chance gives that a feature's toxic documents must be.
@@ -115,7 +117,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     def featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"key": frame["key"], "grade": frame["grade"], "features": [sorted(features_of(t)) for t in frame["text"]]})
+            for start in range(0, len(frame), TEXTS_AT_ONCE):
+                few = frame.iloc[start : start + TEXTS_AT_ONCE]
+                yield pd.DataFrame({"key": few["key"], "grade": few["grade"], "features": [sorted(features_of(t)) for t in few["text"]]})
 
     rows = materialise_small(sample.mapInPandas(featured, "key string, grade int, features array<string>"), "toxicity-sample")
     sampled = rows
