@@ -70,6 +70,20 @@ s AS (SELECT name, max(shard) FILTER (n = 8) AS shard, max(shard) FILTER (n = 9)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard, row_number() OVER (PARTITION BY shard ORDER BY substr(md5(name || ':' || text_crc32), 1, {GROUP_DIGITS}), doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard::INT AS grown_shard FROM c JOIN s USING (name)"""
 
 
+# turns of equal number by the digest that the operator orders them by; prefixes are told apart by a digest of their turns' digests
+TRIE = f"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t),
+r AS (SELECT conv_id::BIGINT AS c, turn, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k, length(coalesce(text, '')) AS n FROM conversations WHERE conv_id IS NOT NULL),
+w AS (SELECT c, list(k ORDER BY turn NULLS FIRST, k) AS k, list(n ORDER BY turn NULLS FIRST, k) AS n, any_value(c)::VARCHAR AS name FROM r GROUP BY c),
+h AS (SELECT c, k, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(name)), lambda i: unicode(substr(name, i::INT + 1, 1))::BIGINT)), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) % 6 AS h FROM w, crc),
+b AS (SELECT h.c, list_concat(coalesce(o.k[1:h.h], []), h.k[h.h + 1:]) AS k, list_concat(coalesce(o.n[1:h.h], []), h.n[h.h + 1:]) AS n FROM h LEFT JOIN w o ON o.c = h.c - ((h.c % 100) + 100) % 100),
+p AS MATERIALIZED (SELECT c, d, len(k) = d AS ends, CASE WHEN d > 0 THEN n[d] ELSE 0 END AS n, md5(array_to_string(k[1:d], ',')) AS node, CASE WHEN d > 0 THEN md5(array_to_string(k[1:d - 1], ',')) END AS up FROM (SELECT *, unnest(range(len(k) + 1)) AS d FROM b)),
+v AS MATERIALIZED (SELECT node, any_value(up) AS up, any_value(d) AS depth, min(c) AS c, count(*) AS n_convs, any_value(n) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY node),
+f AS MATERIALIZED (SELECT v.*, coalesce(x.n_children, 0) AS n_children FROM v LEFT JOIN (SELECT up, count(*) AS n_children FROM v GROUP BY up) x ON x.up = v.node),
+s AS (SELECT p.node, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.n)::BIGINT AS saved_tokens FROM f JOIN p ON p.c = f.c AND p.d <= f.depth GROUP BY 1)
+SELECT f.c AS conv_id, f.depth, o.c AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256 FROM f JOIN s USING (node) LEFT JOIN v o ON o.node = f.up"""
+
+
 def _urls() -> str:
     """The URL filter: rules, n-gram counts, Witten-Bell models level by level, scores, threshold, verdicts."""
     ranked = sorted(RULES, key=lambda r: (len(r[1]), r[1]), reverse=True)
@@ -108,4 +122,5 @@ ORACLES = {
     "op8_minhash_near_dedup": NEAR_DUPLICATES,
     "op9_media_columns": MEDIA,
     "op10_chat_formatting": CHAT,
+    "op11_conversation_prefix_trie": TRIE,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, licenses, media, neardup, packing, secrets, sharding, toxicity, urlfilter
+from . import chat, decontaminate, fingerprints, licenses, media, neardup, packing, periodic, prefixtrie, secrets, sharding, toxicity, urlfilter
 from .oracles import ORACLES
 
 QUERIES = {
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_minhash_near_dedup": neardup.op8_minhash_near_dedup,
     "op9_media_columns": media.op9_media_columns,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_conversation_prefix_trie": prefixtrie.op11_conversation_prefix_trie,
+    "op12_periodic_run_detection": periodic.op12_periodic_run_detection,
+    "op13_document_fingerprints": fingerprints.op13_document_fingerprints,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
