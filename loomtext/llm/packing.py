@@ -8,7 +8,7 @@ best fit leaves at most one bin of a group below half, so what goes up the tree
 last task is small at any input size. Ids are never shuffled, only pieces' lengths and checksums.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed each; ties in length are packed by doc_id,
-then piece; an empty table gives an empty result. Strings that the vocabulary file lists as added tokens are one id each, as
+then piece; texts of any length and any run of white space or letters are encoded whole; an empty table gives an empty result. Strings that the vocabulary file lists as added tokens are one id each, as
 its tokenizer gives them. Ids are passed on untouched, null ones too. Other columns may have any names; they are ignored.
 """
 
@@ -37,6 +37,7 @@ VOCABULARY = "byte_bpe_50k.json"
 FAN_IN = 8
 #: Bins filled to these shares of the capacity leave the tree in round 0, and in round 1 and later.
 NEARLY_FULL = (0.98, 0.5)
+_WIDE_GAP = re.compile(r"\s{65536}")
 _ENCODERS: dict[str, object] = {}
 
 
@@ -46,9 +47,13 @@ def vocabulary_path(name: str) -> str:
 
 def encoder(vocabulary: str = VOCABULARY):
     """texts -> lists of ids. For the byte-level vocabulary the rank file of the same tokens is used, which gives the
-    same ids several times faster; the added tokens of the vocabulary file are cut out first, as its tokenizer does. Any other
-    file is loaded by tokenizers."""
+    same ids several times faster; the added tokens of the vocabulary file are cut out first, as its tokenizer does. That library
+    can't take very long runs of white space, so a text with one is left to tokenizers, which loads any other file too."""
     if vocabulary not in _ENCODERS:
+        from tokenizers import Tokenizer
+
+        loaded = Tokenizer.from_file(vocabulary_path(vocabulary))
+        whole = lambda text: loaded.encode(text, add_special_tokens=False).ids
         if vocabulary == VOCABULARY:
             import tiktoken
 
@@ -61,6 +66,8 @@ def encoder(vocabulary: str = VOCABULARY):
             cut_out = re.compile("|".join(f"({re.escape(t)})" for t in sorted(added, key=len, reverse=True)) or r"(?!)")
 
             def encode(text: str) -> list[int]:
+                if _WIDE_GAP.search(text):
+                    return whole(text)
                 found = cut_out.search(text)
                 if not found:
                     return plain(text)
@@ -72,10 +79,7 @@ def encoder(vocabulary: str = VOCABULARY):
 
             _ENCODERS[vocabulary] = encode
         else:
-            from tokenizers import Tokenizer
-
-            loaded = Tokenizer.from_file(vocabulary_path(vocabulary))
-            _ENCODERS[vocabulary] = lambda text: loaded.encode(text, add_special_tokens=False).ids
+            _ENCODERS[vocabulary] = whole
     return _ENCODERS[vocabulary]
 
 
