@@ -35,7 +35,8 @@ from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, Stri
 from ..session import fresh, materialise_small, table
 
 BLOCK = 64
-CLAIMS = ("wav", "bin", "png")
+#: The type that a text's payload is declared as.
+DECLARED = "text"
 SAMPLE_RATE = 8000
 _HEADER = 44
 
@@ -162,23 +163,27 @@ def _gzip(data: bytes, at: int) -> int:
     return min(pos, len(data)) - len(engine.unused_data) - len(held) if engine.eof else -1
 
 
-def _zip(data: bytes, at: int) -> int:
-    pos = at
-    while data[pos : pos + 4] == b"PK\x03\x04" and pos + 30 <= len(data):
+def _zip(data: bytes, at: int, failed: set[int] | None = None) -> int:
+    """The end of an archive. Entries that lead to no end are put in `failed`, so that each is walked over once."""
+    pos, walked = at, [at]
+    failed = set() if failed is None else failed
+    while data[pos : pos + 4] == b"PK\x03\x04" and pos + 30 <= len(data) and pos not in failed:
         flags, = struct.unpack_from("<H", data, pos + 6)
         size, _, name, extra = struct.unpack_from("<IIHH", data, pos + 18)
         if flags & 8:
-            return -1
+            break
         pos += 30 + name + extra + size
+        walked.append(pos)
     begin = pos
     while data[pos : pos + 4] == b"PK\x01\x02" and pos + 46 <= len(data):
         pos += 46 + sum(struct.unpack_from("<HHH", data, pos + 28))
     if pos == begin or data[pos : pos + 4] != b"PK\x05\x06" or pos + 22 > len(data):
+        failed.update(walked)
         return -1
     return pos + 22 + struct.unpack_from("<H", data, pos + 20)[0]
 
 
-_FORMATS: dict[bytes, tuple[str, Callable[[bytes, int], int]]] = {
+_FORMATS: dict[bytes, tuple[str, Callable[..., int]]] = {
     b"\x89PNG\r\n\x1a\n": ("png", _png),
     b"\xff\xd8\xff": ("jpeg", _jpeg),
     b"GIF87a": ("gif", _gif),
@@ -203,24 +208,24 @@ def _automaton():
     return _AUTOMATON[0]
 
 
-def sniff(data: bytes) -> list[Span]:
-    """All confirmed media spans of a value, by start; those inside an earlier one count as its content."""
-    found = []
-    for last, magic in _automaton().iter(data.decode("latin-1")):
-        at = last - len(magic) + 1
-        kind, valid = _FORMATS[magic]
-        stop = valid(data, at)
-        if stop > 0:
-            found.append(Span(_RIFF_KINDS.get(data[at + 8 : at + 12], kind) if kind == "riff" else kind, at, min(stop, len(data))))
-    return sorted(found, key=lambda s: (s.start, -s.end))
+def hits(data: bytes) -> list[tuple[int, bytes]]:
+    """Where each magic stands, by start."""
+    return sorted((last - len(magic) + 1, magic) for last, magic in _automaton().iter(data.decode("latin-1")))
 
 
-def outermost(spans: list[Span]) -> list[Span]:
-    kept: list[Span] = []
-    for span in spans:
-        if not kept or span.start >= kept[-1].end:
-            kept.append(span)
-    return kept
+def sniff(data: bytes, found: list[tuple[int, bytes]] | None = None) -> list[Span]:
+    """The confirmed media spans of a value (its hits may be given), by start; what stands inside one is its content and isn't looked at."""
+    spans: list[Span] = []
+    done, failed = 0, set()
+    for at, magic in hits(data) if found is None else found:
+        if at < done:
+            continue
+        kind, valid = _FORMATS[magic]
+        stop = valid(data, at, failed) if kind == "zip" else valid(data, at)
+        if stop > 0:
+            done = min(stop, len(data))
+            spans.append(Span(_RIFF_KINDS.get(data[at + 8 : at + 12], kind) if kind == "riff" else kind, at, done))
+    return spans
 
 
 def wrap_pcm(payload: bytes) -> bytes:
@@ -252,7 +257,7 @@ def media_column(df: DataFrame, value: str, declared: str | None = None) -> Data
             claims = batch.column(declared).to_pylist() if declared else [None] * batch.num_rows
             for body, claim in zip(batch.column(value), claims, strict=True):
                 data = body.as_py() or b""
-                spans = outermost(sniff(data))
+                spans = sniff(data)
                 kind = spans[0].kind if spans and spans[0].start == 0 else "unknown"
                 types.append(kind)
                 corrected.append(claim is not None and kind != "unknown" and claim != kind)
@@ -267,13 +272,8 @@ _CARVED = StructType([StructField("kind", StringType()), StructField("start", Lo
 _CARVED_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("bytes", pa.binary())]))
 
 
-def claimed_type(n_bytes: Column) -> Column:
-    """The type that a stored text is declared as, right for every third length only, so that there is something to correct."""
-    return F.element_at(F.array(*map(F.lit, CLAIMS)), (F.pmod(n_bytes, F.lit(len(CLAIMS))) + 1).cast("int"))
-
-
 def text_media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_bytes, declared (see claimed_type) and its text stored as a WAVE value (binary)."""
+    """One row for each row of docs: doc_id, n_bytes and its text stored as a WAVE value (binary)."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = StructType([rows.schema["doc_id"], StructField("n_bytes", LongType()), StructField("media", BinaryType())])
 
@@ -283,29 +283,34 @@ def text_media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
             stored = [wrap_pcm(b.ljust(max(BLOCK, -(-len(b) // BLOCK) * BLOCK), b"\0")) for b in raw]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(len, raw), pa.int64()), pa.array(stored, pa.binary())], schema.names)
 
-    return rows.mapInArrow(run, schema).withColumn("declared", claimed_type(F.col("n_bytes")))
+    return rows.mapInArrow(run, schema)
+
+
+def described(payload: bytes) -> str:
+    """What a payload that is declared as text turns out to be, the media carved out of it (kind:start:end), its hits and its samples."""
+    found = hits(payload)
+    spans = sniff(payload, found)
+    true = spans[0].kind if spans and spans[0].start == 0 else DECLARED
+    inside = "+".join(f"{s.kind}:{s.start}:{s.end}" for s in spans) or "-"
+    return f"{DECLARED}>{true};corrected={int(true != DECLARED)};carved={inside};hits={len(found)};samples={len(payload)}"
 
 
 def media_features(stored: DataFrame) -> DataFrame:
-    """Digests of stored values (doc_id, n_bytes, declared, media) as read back, and a feature of what `media_column` found."""
-    sniffed = media_column(stored.select("doc_id", "n_bytes", "declared", "media"), "media", "declared")
+    """Digests of stored values (doc_id, n_bytes, media) as read back, and a feature of the payloads: see `described`."""
     names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     schema = StructType([stored.schema["doc_id"], stored.schema["n_bytes"], *[StructField(n, LongType() if n.endswith(("bytes", "crc32")) else StringType()) for n in names]])
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             rows = []
-            for media, *said, carved in zip(batch.column("media"), *[batch.column(c).to_pylist() for c in ("declared", "true_type", "type_corrected", "carved")], strict=True):
+            for media in batch.column("media"):
                 media = media.as_py()
                 payload = unwrap_pcm(media)
-                claim, true, corrected = said
-                inside = "+".join(f"{c['kind']}:{c['start']}:{c['end']}" for c in carved) or "-"
-                feature = f"{claim}>{true};corrected={int(corrected)};carved={inside};samples={len(payload)}"
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), feature))
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), described(payload)))
             made = [pa.array([r[k] for r in rows], pa.int64() if k in (0, 2, 3) else pa.string()) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *made], schema.names)
 
-    return materialise_small(sniffed.mapInArrow(run, schema), "media-features")
+    return materialise_small(stored.select("doc_id", "n_bytes", "media").mapInArrow(run, schema), "media-features")
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

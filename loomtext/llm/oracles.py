@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .licenses import CONTAINED, TEMPLATES, _template_rows
-from .media import BLOCK, CLAIMS, SAMPLE_RATE
+from .media import BLOCK, DECLARED, SAMPLE_RATE
 from .sharding import GROUP_DIGITS
 from .urlfilter import _LOWER, _SYMBOLS, _UPPER, ACCEPT_LOSS, HELD_OUT, LEAST, ORDER, RULES
 
@@ -38,16 +38,20 @@ def _le(n: str, width: int) -> str:
     return "unhex(" + " || ".join(f"printf('%02x', (({n})::BIGINT >> {8 * b}) & 255)" for b in range(width)) + ")"
 
 
+# magic bytes that can stand in a text; the SQL counts them, but confirms no format, so it holds for texts without whole media
+_MAGICS = ("'GIF87a'", "'GIF89a'", "'RIFF'", "'BM'", "'%PDF-'", "'PK' || chr(3) || chr(4)")
+
 MEDIA = f"""
 WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t),
-d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
-p AS (SELECT doc_id, octet_length(b) AS n, b || repeat('\\x00'::BLOB, (greatest(1, ceil(octet_length(b) / {BLOCK})) * {BLOCK} - octet_length(b))::BIGINT) AS b FROM d),
+d AS (SELECT doc_id, coalesce(text, '') AS plain, encode(coalesce(text, '')) AS b FROM documents),
+p AS (SELECT doc_id, plain, octet_length(b) AS n, b || repeat('\\x00'::BLOB, (greatest(1, ceil(octet_length(b) / {BLOCK})) * {BLOCK} - octet_length(b))::BIGINT) AS b FROM d),
 q AS (SELECT *, octet_length(b) AS size, hex(b) AS h FROM p),
 m AS (SELECT *, encode('RIFF') || {_le("size + 36", 4)} || encode('WAVEfmt ') || {_le("16", 4)} || {_le("1", 2)} || {_le("1", 2)} || {_le(str(SAMPLE_RATE), 4)} || {_le(str(SAMPLE_RATE), 4)} || {_le("1", 2)} || {_le("8", 2)} || encode('data') || {_le("size", 4)} || b AS media,
   list_transform(range({BLOCK}), lambda i: ('0x' || substr(h, length(h) - {2 * BLOCK} + 2 * i::INT + 1, 2))::BIGINT) AS tail FROM q)
 SELECT doc_id, n AS n_bytes, size AS payload_bytes, sha256(b) AS payload_sha256,
   xor(list_reduce(list_prepend(4294967295::BIGINT, tail), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) AS tail_crc32,
-  octet_length(media) AS media_bytes, sha256(media) AS media_sha256, list_extract({list(CLAIMS)}, (n % {len(CLAIMS)})::INT + 1) || '>wav;corrected=' || (n % {len(CLAIMS)} > 0)::INT || ';carved=-;samples=' || size AS feature FROM m, crc"""
+  octet_length(media) AS media_bytes, sha256(media) AS media_sha256,
+  '{DECLARED}>{DECLARED};corrected=0;carved=-;hits=' || {" + ".join(f"(length(plain) - length(replace(plain, {x}, ''))) // length({x})" for x in _MAGICS)} || ';samples=' || size AS feature FROM m, crc"""
 
 _NEXT = "substr(text, i::INT + 2, 1)"
 _ESCAPES = f"""len(list_filter(range(length(text)), lambda i: CASE substr(text, i::INT + 1, 1) WHEN '\\' THEN true WHEN '<' THEN {_NEXT} IN ('<', 's', '/') WHEN '[' THEN {_NEXT} IN ('I', '/') WHEN '>' THEN {_NEXT} = '>' ELSE false END))"""
