@@ -20,8 +20,10 @@ import hashlib
 import random
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -295,9 +297,11 @@ def all_spans(text: str | None, models: MarkovPair) -> tuple[list[Span], list[Sp
     key = lambda s: (s[0], KINDS.index(s[2]), s[1])
     base = sorted(base_spans(text), key=key)
     added = []
+    starts, reach = [s for s, _, _ in base], list(accumulate((e for _, e, _ in base), max))
     for run in _RUN.finditer(text):
         begin, end = run.span()
-        if all(e <= begin or s >= end for s, e, _ in base) and models.score(run[0]) > models.threshold:
+        before = bisect_left(starts, end)  # base spans that start before the run's end
+        if not (before and reach[before - 1] > begin) and models.score(run[0]) > models.threshold:
             added.append((begin, end, "markov"))
     return base, sorted(base + added, key=key) if added else base
 
