@@ -16,10 +16,11 @@ RANGES ranges, each term has its largest weight in each range, and a passage goe
 range's least threshold. Terms that together cannot lift any item by more than SLACK are left out of that sum, which is compared with
 the threshold less SLACK.
 
-A passage is two neighbouring strides of words, a stride being the longest item; so every stretch as long as an item lies whole in
-a passage. Document frequencies, mean and longest length come from the whole benchmark, by distributed aggregates. The index is
-built and searched in parts of bounded size, one part at a time, so neither the driver nor a task holds more than one part, and
-results don't depend on how items fall into parts.
+A passage is two neighbouring strides of words, and the stride of an item is the least of 16, 64, 256, ... words that holds it; so every
+stretch as long as an item lies whole in a passage, and no item's passages depend on other items. Items of one stride are one index; all
+of a part are searched in one pass over the texts. Document frequencies and mean length come from the whole benchmark, by distributed aggregates.
+The index is built and searched in parts of bounded size, one part at a time, so neither the driver nor a task holds more than one part,
+and results don't depend on how items fall into parts.
 
 Defined cases: null or empty texts and items match nothing; an item of fewer than five words is one shingle of all its
 words; items of equal text each match; repeated rows match each; an empty table gives an empty result. Ids are passed on
@@ -49,6 +50,7 @@ from .textcore import SHINGLE_WORDS, batches, flat_words, shingle_hashes
 K1, B = 1.2, 0.75
 SLACK = 0.1
 CONTAINED = 0.8
+LEAST_STRIDE = 16
 #: Bounds of an index part.
 ITEMS_PER_PART = 4_000
 CHARACTERS_PER_PART = 4_000_000
@@ -66,15 +68,15 @@ def question_and_answer(text: str) -> tuple[str, str]:
 
 
 class Statistics:
-    """Number, mean and largest length of all items that have words, and in how many of them each of some words is."""
+    """Number and mean length of all items that have words, and in how many of them each of some words is."""
 
-    def __init__(self, items: int, mean: float, longest: int, frequency: Mapping[bytes, int]):
-        self.items, self.mean, self.longest, self.frequency = items, mean, longest, frequency
+    def __init__(self, items: int, mean: float, frequency: Mapping[bytes, int]):
+        self.items, self.mean, self.frequency = items, mean, frequency
 
     @classmethod
     def of(cls, texts: Sequence[str]) -> Statistics:
         words = [ws for t in texts for ws in [flat_words(t).split()] if ws]
-        return cls(len(words), sum(map(len, words)) / max(1, len(words)), max(map(len, words), default=0), Counter(w for ws in words for w in set(ws)))
+        return cls(len(words), sum(map(len, words)) / max(1, len(words)), Counter(w for ws in words for w in set(ws)))
 
 
 class Postings:
@@ -90,8 +92,16 @@ class Postings:
         self.top = max(self.most)
 
 
+def stride_of(words: int) -> int:
+    """The words of a stride, for an item of so many words."""
+    stride = LEAST_STRIDE
+    while stride < words:
+        stride *= 4
+    return stride
+
+
 class ItemIndex:
-    """BM25 postings of the items with block maxima."""
+    """BM25 postings of items of one stride (that of the longest of them) with block maxima."""
 
     def __init__(self, items: Sequence[tuple[object, str]], known: Statistics | None = None):
         items = [(i, t) for i, t in items if flat_words(t)]
@@ -103,7 +113,7 @@ class ItemIndex:
         self.questions = [np.unique(shingle_hashes([q])[0]) for q, _ in halves]
         self.answers = [np.unique(shingle_hashes([a])[0]) for _, a in halves]
         self.short = [(len(flat_words(t).split()), len(flat_words(q).split()), len(flat_words(a).split())) for (_, t), (q, a) in zip(items, halves, strict=True)]
-        self.stride = max(SHINGLE_WORDS, known.longest)
+        self.stride = stride_of(max(map(len, words), default=0))
         n = len(items)
         present = sorted({w for ws in words for w in ws})
         self.terms = {w: k for k, w in enumerate(present)}
@@ -208,10 +218,9 @@ class ItemIndex:
 
     def search(self, texts: Sequence[str | None]) -> list[tuple[int, int, float, float]]:
         """(text, item, best BM25 share, best containment) of all leaked items of the texts."""
-        return [(piece.start + row, *rest) for piece in batches(texts) for row, *rest in self._search(texts[piece])]
+        return [(piece.start + row, *rest) for piece in batches(texts) for row, *rest in self.search_words([flat_words(t).split() for t in texts[piece]])]
 
-    def _search(self, texts: Sequence[str | None]) -> list[tuple[int, int, float, float]]:
-        words = [flat_words(t).split() for t in texts]
+    def search_words(self, words: Sequence[Sequence[bytes]]) -> list[tuple[int, int, float, float]]:
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         total = int(lengths.sum())
         if not total or not self.ids:
@@ -237,7 +246,29 @@ class ItemIndex:
         return [(row, item, *x) for (row, item), x in sorted(best.items())]
 
 
-def item_parts(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", per_part: int = ITEMS_PER_PART) -> Iterator[ItemIndex]:
+class IndexPart:
+    """The indexes of some items, by stride."""
+
+    def __init__(self, items: Sequence[tuple[object, str]], known: Statistics | None = None):
+        known = known or Statistics.of([t for _, t in items])
+        by_stride: dict[int, list[tuple[object, str]]] = {}
+        for item in items:
+            by_stride.setdefault(stride_of(len(flat_words(item[1]).split())), []).append(item)
+        self.indexes = [ItemIndex(own, known) for _, own in sorted(by_stride.items())]
+        self.ids = [i for index in self.indexes for i in index.ids]
+
+    def search(self, texts: Sequence[str | None]) -> list[tuple[int, int, float, float]]:
+        """(text, item, best BM25 share, best containment) of all leaked items of the texts."""
+        found = []
+        for piece in batches(texts):
+            words, before = [flat_words(t).split() for t in texts[piece]], 0
+            for index in self.indexes:
+                found += [(piece.start + row, before + item, *rest) for row, item, *rest in index.search_words(words)]
+                before += len(index.ids)
+        return found
+
+
+def item_parts(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", per_part: int = ITEMS_PER_PART) -> Iterator[IndexPart]:
     """The index, part by part: at most `per_part` items, and CHARACTERS_PER_PART and one item's text, are on the driver at a time."""
     items = materialise(benchmark.where(F.col(text).isNotNull()).select(F.monotonically_increasing_id().alias("row"), F.col(item_id).alias("item"), F.col(text).alias("text")), "items")
 
@@ -247,7 +278,7 @@ def item_parts(benchmark: DataFrame, item_id: str = "item_id", text: str = "text
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(map(len, words), pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.binary()))], ["row", "n", "words"])
 
     worded = materialise_small(items.select("row", "text").mapInArrow(split, "row long, n long, words array<binary>").where("n > 0"), "item-words")
-    size = worded.agg(F.count("*").alias("items"), F.avg("n").alias("mean"), F.max("n").alias("longest")).first()
+    size = worded.agg(F.count("*").alias("items"), F.avg("n").alias("mean")).first()
     each = worded.select("row", F.explode("words").alias("word"))
     frequency = each.groupBy("word").agg(F.count("*").alias("n"))
     counted = each.join(frequency, "word").groupBy("row").agg(F.collect_list(F.struct("word", "n")).alias("frequency"))
@@ -256,7 +287,7 @@ def item_parts(benchmark: DataFrame, item_id: str = "item_id", text: str = "text
     part: list[tuple[object, str]] = []
     known: dict[bytes, int] = {}
     used = 0
-    build = lambda: ItemIndex(part, Statistics(size["items"], size["mean"], size["longest"], known))
+    build = lambda: IndexPart(part, Statistics(size["items"], size["mean"], known))
     for row in whole.select("item", "text", "frequency").toLocalIterator():
         part.append((row["item"], row["text"]))
         known |= {bytes(x["word"]): x["n"] for x in row["frequency"]}
@@ -275,7 +306,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     items = benchmark.select(F.col(item_id).alias("item_id"))
     schema = StructType([rows.schema["doc_id"], StructField("item_id", items.schema["item_id"].dataType), StructField("bm25_share", DoubleType()), StructField("containment", DoubleType())])
 
-    def over(index: ItemIndex) -> DataFrame:
+    def over(index: IndexPart) -> DataFrame:
         def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in found:
                 hits = index.search(batch.column("text").to_pylist())
@@ -299,7 +330,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     return left
 
 
-def _leaking(index: ItemIndex):
+def _leaking(index: IndexPart):
     @F.pandas_udf("boolean")
     def leaks(texts: pd.Series) -> pd.Series:
         found = np.zeros(len(texts), dtype=bool)
