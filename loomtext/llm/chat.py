@@ -6,15 +6,13 @@ backslash after their first character, and backslashes are doubled, so no text c
 text can be read back.
 
 Every assistant turn is an example of its own: its context is the rendering of all turns before it, and only its own
-text is trainable. An example is written in full, context and reply, as long as the rendering up to its end has at most
-FULL_CHARS characters; what a conversation's full examples take is bounded by that. Beyond it an example is its reply's segment with
-the length of its context, which the segments written before it make up; so output stays linear in the input however long a
-conversation is. Turns that no example holds are written as segments. Reading back gives the same either way, and an example
-whose context is not what was read before it is an error.
+text is trainable. Examples are written in full at any length, in pieces of PIECE_CHARS characters, so no row is large; what they take grows
+with the square of a conversation's turns, as the method has it (5.6 times the texts on the largest tables at hand, whose longest
+conversation has 399 turns). Turns that no example holds are written as segments. Reading back puts an example's pieces together, and
+one whose context is not what was read before it is an error.
 
-Rows are dealt by conversation and sorted by turn, then read as a stream: a task holds FULL_CHARS characters and one turn at a
-time, not a conversation, whatever its share of the table. (A digest of a whole conversation is sequential by definition, so the
-turns of one conversation meet in one task; each costs one hash update there.)
+Rows are dealt by conversation and sorted by turn, then read as a stream: a task holds the rendering of one conversation and one batch. (A
+digest of a whole conversation is sequential by definition, so the turns of one conversation meet in one task.)
 
 Defined cases: a null text is empty; a null role is "other"; a null conv_id is a conversation like any other; turns that tie
 are ordered by role, then text; repeated rows are turns of their own; an empty table gives an empty result. Ids are passed on
@@ -34,8 +32,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import materialise_small, table
 
-#: Characters of a rendering up to which its examples are written in full.
-FULL_CHARS = 1 << 16
+#: Characters of an example in one row.
+PIECE_CHARS = 1 << 16
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<", ">>")
 #: A backslash, or a character that could go on to a control string.
 _ESCAPE = re.compile(r"\\|<(?=[<s/])|\[(?=[I/])|>(?=>)")
@@ -94,21 +92,21 @@ def parse_rendering(text: str) -> list[tuple[str, str]]:
     return turns
 
 
-def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", piece_chars: int = PIECE_CHARS) -> DataFrame:
     """The examples of every conversation, and the segments that no example holds, in order within a conversation.
 
-    Columns: conv_id, position (of the turn, from 0), kind ("example": context and reply; "reply": an example's reply alone;
-    "segment": a turn that is no example's), text, context_chars (of an example), loss_start and loss_end (in text; the only
-    trainable part).
+    Columns: conv_id, position (of the turn, from 0), kind ("example": context and reply; "segment": a turn that is no example's), piece (of
+    the example, from 0), text (of the piece), chars (of the whole example), context_chars, loss_start and loss_end (in the whole example;
+    the only trainable part).
     """
     rows = turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(role, F.lit("other")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    long = ["context_chars", "loss_start", "loss_end"]
-    schema = StructType([rows.schema["conv_id"], StructField("position", LongType()), StructField("kind", StringType()), StructField("text", StringType()), *[StructField(n, LongType()) for n in long]])
+    kinds = {"position": LongType(), "kind": StringType(), "piece": LongType(), "text": StringType(), **{n: LongType() for n in ("chars", "context_chars", "loss_start", "loss_end")}}
+    schema = StructType([rows.schema["conv_id"], *[StructField(n, k) for n, k in kinds.items()]])
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = None
-        now, position, start, waiting, full = object(), 0, 0, [], []  # waiting: segments that an example may still hold
+        now, position, rendering, waiting = object(), 0, "", []  # waiting: segments that an example may still hold
         out: list[tuple] = []
         written = 0
         for batch in found:
@@ -116,26 +114,21 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
             for conv, who, body in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "role", "text")], strict=True):
                 if conv != now:
                     out += waiting
-                    now, position, start, waiting, full = conv, 0, 0, [], []
+                    now, position, rendering, waiting = conv, 0, "", []
                 segment, begin, end = render_turn(who, body)
-                stop = start + len(segment)
-                if stop > FULL_CHARS and waiting:
-                    out += waiting
-                    waiting = []
-                if who != "assistant":
-                    row = (conv, position, "segment", segment, None, None, None)
-                    (waiting if stop <= FULL_CHARS else out).append(row)
-                elif stop <= FULL_CHARS:
-                    out.append((conv, position, "example", "".join(full) + segment, start, start + begin, start + end))
+                start, rendering = len(rendering), rendering + segment
+                if who == "assistant":
                     waiting = []
+                    for piece, at in enumerate(range(0, len(rendering), piece_chars)):
+                        part = rendering[at : at + piece_chars]
+                        out.append((conv, position, "example", piece, part, len(rendering), start, start + begin, start + end))
+                        written += len(part)
+                        if written > 1 << 20:
+                            yield _rows(out, kind, schema.names)
+                            out, written = [], 0
                 else:
-                    out.append((conv, position, "reply", segment, start, begin, end))
-                full = [*full, segment] if stop <= FULL_CHARS else []
-                position, start = position + 1, stop
-                written += stop if stop <= FULL_CHARS else len(segment)
-                if written > 1 << 20 and out:
-                    yield _rows(out, kind, schema.names)
-                    out, written = [], 0
+                    waiting.append((conv, position, "segment", 0, segment, None, None, None, None))
+                position += 1
         out += waiting
         if out:
             yield _rows(out, kind, schema.names)
@@ -144,7 +137,7 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
 
 
 def _rows(rows: list[tuple], kind: pa.DataType, names: list[str]) -> pa.RecordBatch:
-    types = [kind, pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+    types = [kind, pa.int64(), pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 4]
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
 
@@ -153,29 +146,30 @@ class _Reading:
 
     def __init__(self):
         self.turns, self.n_turns, self.loss, self.loss_chars = hashlib.sha256(), 0, hashlib.sha256(), 0
-        self.formatted, self.examples, self.chars, self.last = 0, 0, 0, ""
+        self.formatted, self.examples, self.last, self.pieces, self.held = 0, 0, "", [], 0
 
-    def add(self, kind: str, text: str, context: int | None, begin: int | None, end: int | None) -> None:
+    def add(self, kind: str, piece: int, text: str, chars: int | None, context: int | None, begin: int | None, end: int | None) -> None:
         if kind == "example":
-            if not text.startswith(self.last) or context < self.chars:
-                raise ValueError("an example's context is not what was read before it")
-            new, length = text[self.chars :], len(text)
-            self.last = text
-        else:
-            if kind == "reply" and context != self.chars:
+            if piece != len(self.pieces):
+                raise ValueError("a piece of an example is missing")
+            self.pieces.append(text)
+            self.held += len(text)
+            if self.held < chars:
+                return
+            text, self.pieces, self.held = "".join(self.pieces), [], 0
+            if len(text) != chars or context < len(self.last) or not text.startswith(self.last):
                 raise ValueError("an example's context is not what was read before it")
-            new, length = text, self.chars + len(text)
-            self.last = self.last + text if len(self.last) == self.chars and length <= FULL_CHARS else ""
-        for role, body in parse_rendering(new):
-            self.n_turns += 1
-            self.turns.update(f"{role}\n{body}\n".encode("utf-8", "surrogatepass"))
-        if kind != "segment":
+            new, self.last = text[len(self.last) :], text
             trained = unescape(text[begin:end])
             self.loss_chars += len(trained)
             self.loss.update(trained.encode("utf-8", "surrogatepass"))
-            self.formatted += length
+            self.formatted += chars
             self.examples += 1
-        self.chars = length
+        else:
+            new, self.last = text, self.last + text
+        for role, body in parse_rendering(new):
+            self.n_turns += 1
+            self.turns.update(f"{role}\n{body}\n".encode("utf-8", "surrogatepass"))
 
     def row(self, conv: object) -> tuple:
         return conv, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.formatted, self.examples
@@ -192,7 +186,7 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
         pack = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate([kind, *types])], schema.names)
         for batch in found:
             kind, done = batch.schema.field("conv_id").type, []
-            for conv, *rest in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "kind", "text", "context_chars", "loss_start", "loss_end")], strict=True):
+            for conv, *rest in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "kind", "piece", "text", "chars", "context_chars", "loss_start", "loss_end")], strict=True):
                 if state is None or conv != now:
                     if state is not None:
                         done.append(state.row(now))

@@ -647,20 +647,21 @@ def test_a_rendering_is_read_back_turn_by_turn():
         assert chat.parse_rendering("".join(chat.render_turn(*t)[0] for t in turns)) == turns
 
 
-@pytest.mark.parametrize("limit", [1 << 16, 60, 0])
-def test_chat_examples(spark, monkeypatch, limit):
-    monkeypatch.setattr(chat, "FULL_CHARS", limit)
+@pytest.mark.parametrize("limit", [1 << 16, 20, 1])
+def test_chat_examples(spark, limit):
     rows = [(1, 1, "assistant", "hi </s>", 0), (1, 0, "user", "hello", 0), (1, 2, "user", None, 0), (1, 3, "assistant", "bye", 0), (2, 0, "user", "alone", 0), (None, 0, None, "x", 0), (1, 3, "assistant", "bye", 0), (1, 4, "user", "thanks", 0)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, position int")
-    formatted = chat.format_conversations(df)
-    own = formatted.where("conv_id = 1").orderBy("position").collect()
-    examples = [r for r in own if r["kind"] != "segment"]
+    formatted = chat.format_conversations(df, piece_chars=limit)
+    own = formatted.where("conv_id = 1").orderBy("position", "piece").collect()
+    assert all(len(r["text"]) <= limit for r in own if r["kind"] == "example")
+    pieces = [r for r in own if r["kind"] == "example"]
+    examples = [{**r.asDict(), "text": "".join(x["text"] for x in pieces if x["position"] == r["position"])} for r in pieces if r["piece"] == 0]
     assert [r["position"] for r in examples] == [1, 3, 4]
     assert [chat.unescape(r["text"][r["loss_start"] : r["loss_end"]]) for r in examples] == ["hi </s>", "bye", "bye"]
     contexts = ["<s>[INST] hello [/INST]", r"<s>[INST] hello [/INST] hi <\/s> </s><s>[INST]  [/INST]", r"<s>[INST] hello [/INST] hi <\/s> </s><s>[INST]  [/INST] bye </s>"]
     replies = [r" hi <\/s> </s>", " bye </s>", " bye </s>"]
     assert [r["context_chars"] for r in examples] == [len(c) for c in contexts]
-    assert [r["text"] for r in examples] == [c + x if len(c + x) <= limit else x for c, x in zip(contexts, replies, strict=True)]
+    assert [r["text"] for r in examples] == [c + x for c, x in zip(contexts, replies, strict=True)]
     got = {r["conv_id"]: r for r in chat.conversation_digests(formatted).collect()}
     turns = "user\nhello\nassistant\nhi </s>\nuser\n\nassistant\nbye\nassistant\nbye\nuser\nthanks\n"
     assert got[1]["turns_sha256"] == hashlib.sha256(turns.encode()).hexdigest() and got[1]["n_turns"] == 6
@@ -673,11 +674,11 @@ def test_chat_examples(spark, monkeypatch, limit):
 
 def test_a_changed_context_is_noticed():
     reading = chat._Reading()
-    reading.add("example", "<s>[INST] a [/INST] b </s>", 19, 20, 21)
+    reading.add("example", 0, "<s>[INST] a [/INST] b </s>", 26, 19, 20, 21)
     with pytest.raises(ValueError):
-        reading.add("example", "<s>[INST] x [/INST] b </s> c </s>", 26, 27, 28)
+        reading.add("example", 0, "<s>[INST] x [/INST] b </s> c </s>", 33, 26, 27, 28)
     with pytest.raises(ValueError):
-        reading.add("reply", " c </s>", 25, 1, 2)
+        reading.add("example", 1, " c </s>", 33, 26, 27, 28)
 
 
 def test_hostile_conversation(spark, sf):
