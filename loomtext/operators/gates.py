@@ -175,8 +175,9 @@ def news_gate(rows: DataFrame, policy: NewsPolicy, open_licensed: Column) -> Dat
     ]))
 
 
-def english_reason(text: Column, minimum: float = 0.8) -> Column:
-    return first_reason([("english_language_check_requires_review", t.minimum_confidence(text) < minimum)])
+def english_reason(confidence: Column, minimum: float = 0.8) -> Column:
+    """confidence: the least one of a text's samples, see operators.language."""
+    return first_reason([("english_language_check_requires_review", confidence < minimum)])
 
 
 @dataclass(frozen=True)

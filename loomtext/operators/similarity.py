@@ -1,18 +1,22 @@
 """Similar texts: word shingles, exact and banded retrieval, verified edges, greedy keep and grouping.
 
 A shingle is a 64-bit hash of `width` consecutive words (with inner apostrophes) of the normalized text. Exact mode finds
-every pair of at least the threshold through a prefix filter: shingles are ordered by how rare they are, and two sets of
-Jaccard similarity s or more share one of the first n - ceil(s n) + 1. Banded mode retrieves by MinHash bands and verifies.
+every pair of at least the threshold. Shingles are ordered by how rare they are, and two sets of Jaccard similarity s or more share one
+of the first n - ceil(s n) + 1 (prefix). Where they share one, its places bound how much can be common (position), and so does the sum of the
+smaller counts of both sets in PARTITIONS groups of shingles (suffix). Banded mode retrieves by MinHash bands.
+
+What shares a shingle or a band is a bucket. It is cut into blocks of some PART sets, and every two blocks are a cell: a task reads its cells one
+after the other and compares them in arrays, so what doesn't pass the bounds never is a row, and a bucket of any size has cells of bounded size.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,22 +28,29 @@ WIDTH = 7
 BANDS, ROWS = 16, 8
 #: Sets of a block, of which every two of a bucket meet.
 PART = 256
+#: Groups of shingles whose counts bound what two sets can have in common.
+PARTITIONS = 64
 #: Postings (an id and two numbers) up to which `overlaps` broadcasts its other side; beyond, both sides are shuffled.
 BROADCAST_POSTINGS = 500_000
+#: The modulus of the permutations, and the bits of a value that a signature keeps.
+PRIME, VALUE = (1 << 61) - 1, (1 << 32) - 1
 _WORD = re.compile(r"\w+(?:['’]\w+)*")
 
 
 def shingle_sets(rows: DataFrame, id: str = "id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(id, shingles array<long> sorted and distinct, words) of every row; texts of fewer words have an empty set. Ids pass untouched, null ones too."""
+    """(id, shingles array<long> sorted and distinct, words) of every row; texts of fewer words have an empty set. Ids pass untouched, null ones too.
+
+    A shingle is the first eight bytes of the MD5 of its words joined by blanks, which SQL can compute as well, less 2^63.
+    """
     kind = rows.schema[id].dataType.simpleString()
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             sets, counts = [], []
             for body, plain in zip(batch.column("text").to_pylist(), batch.column("plain").to_pylist(), strict=True):
-                words = _WORD.findall(plain or "")
-                each = {xxhash.xxh64_intdigest(" ".join(words[i : i + width])) - (1 << 63) for i in range(len(words) - width + 1)}
-                sets.append(np.array(sorted(each), dtype=np.int64))
+                words = [w.encode() for w in _WORD.findall(plain or "")]
+                each = b"".join({hashlib.md5(b" ".join(words[i : i + width]), usedforsecurity=False).digest()[:8] for i in range(len(words) - width + 1)})
+                sets.append(np.sort((np.frombuffer(each, dtype=">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)))
                 counts.append(len((body or "").split()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64())), pa.array(counts, pa.int64())], ["id", "shingles", "words"])
 
@@ -66,69 +77,205 @@ def _verified(candidates: DataFrame, sets: DataFrame, minimum: float) -> DataFra
 
 
 def _collapsed(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sets, copies, ones): sets that aren't empty, pairs of copies with the least id of their set, and one row a set."""
-    sets = materialise(sets.where(F.size("shingles") > 0), "sets")
+    """(sets, copies, ones): sets that have an id and aren't empty, pairs of copies with the least id of their equals, and one row a set."""
+    keyed = sets.where((F.size("shingles") > 0) & F.col("id").isNotNull()).withColumn("digest", F.md5(F.array_join(F.col("shingles").cast("array<string>"), ",")))
+    keyed = materialise(keyed, "sets")
     # equal sets collapse before anything is paired: a group of n copies makes n-1 pairs with its least id
-    same = sets.groupBy("shingles").agg(F.min("id").alias("least"))
-    copies = sets.join(same, "shingles").where("id <> least").select(F.col("least").alias("first"), F.col("id").alias("second"))
-    return sets, copies, materialise(sets.join(same.select(F.col("least").alias("id")), "id", "left_semi"), "sets")
+    least = keyed.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("copies")).where("copies > 1")
+    copies = materialise(keyed.select("id", "words", "digest").join(least, "digest").select("id", "words", "least"), "copies")
+    ones = keyed.join(copies.where("id <> least").select("id"), "id", "left_anti").drop("digest")
+    words = copies.where("id = least").select("least", F.col("words").alias("least_words"))
+    ratio = F.least("words", "least_words") / F.greatest("words", "least_words")
+    pairs = copies.where("id <> least").join(words, "least").select(F.col("least").alias("first"), F.col("id").alias("second"), F.lit(1.0).alias("jaccard"), ratio.alias("word_ratio"))
+    return keyed.drop("digest"), pairs, ones
 
 
-def similar_pairs(sets: DataFrame, minimum: float = 0.8) -> DataFrame:
-    """All pairs of at least `minimum` (first < second), exactly. Equal sets are paired through one of them only."""
-    sets, copies, ones = _collapsed(sets)
+def _cells(members: DataFrame, bucket: str, compare: Callable[[dict[str, list], np.ndarray, np.ndarray], list[tuple]], schema: str) -> DataFrame:
+    """What `compare` finds in every two blocks of every bucket of members (bucket, id and more); buckets of one are left out.
+
+    `compare` takes the columns of a cell as lists and the places of its two sides (the same ones for a block with itself), and returns rows.
+    """
+    parts = members.groupBy(bucket).agg(F.count("*").alias("_n")).where("_n > 1").select(bucket, F.ceil(F.col("_n") / F.lit(PART)).cast("int").alias("_parts"))
+    dealt = members.join(parts, bucket).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    cell = F.xxhash64(F.col(bucket), F.least("_own", "_other"), F.greatest("_own", "_other"))
+    dealt = dealt.select(bucket, F.least("_own", "_other").alias("_row"), F.greatest("_own", "_other").alias("_col"), F.when(F.col("_own") <= F.col("_other"), 0).otherwise(1).alias("_side"), cell.alias("_cell"), *[c for c in members.columns if c != bucket])
+    keys = [bucket, "_row", "_col"]
+    dealt = dealt.repartition("_cell").sortWithinPartitions(*keys)
+    names = [n for n in dealt.columns if n not in (*keys, "_cell")]
+    fields = [f.split()[0] for f in schema.split(", ")]
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the batches of the cell that is being read
+        now = None
+        kind: dict[str, pa.DataType] = {}
+
+        def finish() -> list[tuple]:
+            columns = {n: [v for b in held for v in b.column(n).to_pylist()] for n in names}
+            side = np.array(columns.pop("_side"))
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            return compare(columns, left, left if now[1] == now[2] else right)
+
+        def packed(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, kind["id"] if n in ("first", "second") else pa.float64()) for n, c in zip(fields, zip(*rows, strict=True), strict=True)], fields)
+
+        out: list[tuple] = []
+        for batch in found:
+            kind["id"] = batch.schema.field("id").type
+            cells = list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True))
+            begin = 0
+            for end in range(1, len(cells) + 1):
+                if end < len(cells) and cells[end] == cells[begin]:
+                    continue
+                if cells[begin] != now:
+                    if held:
+                        out += finish()
+                    held, now = [], cells[begin]
+                held.append(batch.slice(begin, end - begin))
+                begin = end
+            if len(out) > 10_000:
+                yield packed(out)
+                out = []
+        if held:
+            out += finish()
+        if out:
+            yield packed(out)
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _histograms(ones: DataFrame) -> DataFrame:
+    """(id, n, parts): size of a set and how many of its shingles are in each of PARTITIONS groups, two bytes each."""
+    kind = ones.schema["id"].dataType.simpleString()
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            values, ends = batch.column("shingles").values.to_numpy(), batch.column("shingles").offsets.to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            values = values[ends[0] : ends[-1]]
+            counts = np.bincount(row * PARTITIONS + (values & (PARTITIONS - 1)), minlength=batch.num_rows * PARTITIONS)
+            counts = np.minimum(counts, 65_535).astype("<u2").reshape(batch.num_rows, PARTITIONS)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(ends), pa.int64()), pa.array([c.tobytes() for c in counts], pa.binary())], ["id", "n", "parts"])
+
+    return ones.select("id", "shingles").mapInArrow(run, f"id {kind}, n long, parts binary")
+
+
+def prefix_candidates(ones: DataFrame, minimum: float = 0.8) -> DataFrame:
+    """(first, second) of different sets that pass the bounds of size, prefix, position and suffix: a superset of the pairs of at least `minimum`."""
+    kind = ones.schema["id"].dataType.simpleString()
     postings = ones.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     frequency = postings.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "shingle"))
     # shingles of one text only come first in the order and pair nothing, so they are counted, not joined
-    shared = postings.join(frequency, "shingle").withColumn("r", rank)
-    lone = shared.groupBy("id").agg(F.count("*").alias("n_shared"))
-    prefix = shared.join(lone, "id").where(F.col("n") - F.col("n_shared") + F.col("r") <= F.col("n") - F.ceil(F.col("n") * minimum) + 1).select("shingle", "id", "n")
-    other = prefix.select("shingle", F.col("id").alias("second"), F.col("n").alias("m"))
-    pairs = prefix.select("shingle", F.col("id").alias("first"), "n").join(other, "shingle").where("first < second")
-    pairs = pairs.where(F.least("n", "m") >= minimum * F.greatest("n", "m")).select("first", "second").distinct()
-    return _verified(pairs.unionByName(copies), sets, minimum)
+    shared = postings.join(frequency, "shingle")
+    own = Window.partitionBy("id")
+    shared = shared.withColumns({"r": F.row_number().over(own.orderBy("df", "shingle")), "n_shared": F.count("*").over(own)})
+    place = F.col("n") - F.col("n_shared") + F.col("r")
+    prefix = shared.where(place <= F.col("n") - F.ceil(F.col("n") * minimum) + 1).select("id", "shingle", place.cast("long").alias("place"))
+    members = prefix.join(_histograms(ones), "id").select("shingle", "id", "n", "place", "parts")
+
+    def compare(cell: dict[str, list], left: np.ndarray, right: np.ndarray) -> list[tuple]:
+        n, place = np.array(cell["n"]), np.array(cell["place"])
+        parts = np.frombuffer(b"".join(cell["parts"]), dtype="<u2").reshape(len(n), PARTITIONS).astype(np.int32)
+        ids, out = cell["id"], []
+        for i in left.tolist():
+            others = right[right > i] if left is right else right
+            m = n[others]
+            needed = np.ceil(minimum * (n[i] + m) / (1 + minimum) - 1e-9)
+            fit = (np.minimum(n[i], m) >= minimum * np.maximum(n[i], m) - 1e-9) & (np.minimum(place[i], place[others]) + np.minimum(n[i] - place[i], m - place[others]) >= needed)
+            others, needed = others[fit], needed[fit]
+            if len(others):
+                common = np.minimum(parts[i], parts[others]).sum(axis=1)
+                fit = (common >= needed) | (np.maximum(n[i], n[others]) > 65_535)
+                out += [(ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i]) for j in others[fit].tolist()]
+        return out
+
+    return _cells(members, "shingle", compare, f"first {kind}, second {kind}").distinct()
+
+
+def similar_pairs(sets: DataFrame, minimum: float = 0.8) -> DataFrame:
+    """All pairs of at least `minimum` (first < second), exactly. Equal sets are paired through one of them only."""
+    _, copies, ones = _collapsed(sets)
+    ones = materialise(ones, "ones")
+    return _verified(prefix_candidates(ones, minimum), ones, minimum).unionByName(copies)
+
+
+def permutations(count: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers (1 on) and offsets of `count` permutations, 60 bits each, by a rule that SQL can follow: leading hexadecimal digits of MD5s."""
+    draw = lambda name: [int(hashlib.md5(f"minhash:{seed}:{name}:{k}".encode(), usedforsecurity=False).hexdigest()[:15], 16) for k in range(count)]
+    return np.array(draw("a"), dtype=np.uint64) + np.uint64(1), np.array(draw("b"), dtype=np.uint64)
+
+
+def _permuted(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """((a x + b) mod PRIME) & VALUE of 32-bit x and all a and b below 2^61, in 64 bits: 2^61 is 1 modulo PRIME, so high limbs are added to low ones."""
+    low31, low30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+    fold = lambda v: (v & np.uint64(PRIME)) + (v >> np.uint64(61))
+    high = fold(x * (a >> np.uint64(31)))  # below 2^61 + 2, times 2^31
+    total = fold((high >> np.uint64(30)) + ((high & low30) << np.uint64(31)) + x * (a & low31) + b)
+    total = np.where(total >= np.uint64(PRIME), total - np.uint64(PRIME), total)
+    return total & np.uint64(VALUE)
 
 
 def minhash_bands(sets: DataFrame, bands: int = BANDS, rows: int = ROWS, seed: int = 42) -> DataFrame:
-    """(id, band): one row for each band of the MinHash signature."""
+    """(id, band): one row for each band of the MinHash signature of a set that isn't empty.
+
+    A value is the least (a x + b) mod (2^61 - 1), cut to 32 bits, over the high 32 bits x of the shingles; a band is a digest of its number and values.
+    """
     kind = sets.schema["id"].dataType.simpleString()
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        draw = np.random.default_rng(seed)
-        a = draw.integers(1, 1 << 62, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        b = draw.integers(0, 1 << 62, bands * rows, dtype=np.uint64)
+        a, b = permutations(bands * rows, seed)
         for batch in found:
             taken, keys = [], []
             values, ends = batch.column("shingles").values.to_numpy(), batch.column("shingles").offsets.to_numpy()
             for row, (lo, hi) in enumerate(zip(ends, ends[1:], strict=False)):
                 if lo == hi:
                     continue
-                x = values[lo:hi].view(np.uint64)
-                least = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
-                for start in range(0, len(x), 4096):  # memory stays bounded for long texts
-                    h = x[start : start + 4096, None] * a[None, :] + b[None, :]
-                    h ^= h >> np.uint64(33)
-                    least = np.minimum(least, h.min(axis=0))
+                x = (values[lo:hi].view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)
+                least = np.full(bands * rows, VALUE, dtype=np.uint64)
+                for start in range(0, len(x), 1024):  # memory stays bounded for long texts
+                    least = np.minimum(least, _permuted(x[start : start + 1024, None], a[None, :], b[None, :]).min(axis=0))
                 for k in range(bands):
                     taken.append(row)
-                    keys.append(xxhash.xxh64_intdigest(k.to_bytes(2, "big") + least[k * rows : (k + 1) * rows].tobytes()) - (1 << 63))
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(taken, pa.int64())), pa.array(keys, pa.int64())], ["id", "band"])
+                    keys.append(hashlib.md5(f"{k}:{','.join(map(str, least[k * rows : (k + 1) * rows].tolist()))}".encode(), usedforsecurity=False).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(taken, pa.int64())), pa.array(keys, pa.string())], ["id", "band"])
 
-    return sets.select("id", "shingles").mapInArrow(run, f"id {kind}, band long")
+    return sets.select("id", "shingles").mapInArrow(run, f"id {kind}, band string")
 
 
 def banded_pairs(sets: DataFrame, minimum: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """All pairs of at least `minimum` among those that share a band (approximate retrieval). Equal sets are paired through one of them only."""
-    sets, copies, ones = _collapsed(sets)
+    """All pairs of at least `minimum` among those that share a band (approximate retrieval). Equal sets are paired through one of them only.
+
+    Sets come to the cells of their buckets and are verified there, so only pairs of at least `minimum` are rows.
+    """
+    _, copies, ones = _collapsed(sets)
+    ones = materialise(ones, "ones")
+    kind = ones.schema["id"].dataType.simpleString()
     keys = materialise(minhash_bands(ones, bands, rows), "bands")
-    # a bucket is cut into blocks of some PART sets, and every two blocks meet in a task of their own
-    parts = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band", F.ceil(F.col("n") / F.lit(PART)).cast("int").alias("parts"))
-    dealt = keys.join(parts, "band").withColumns({"own": F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), "any": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
-    left = dealt.select("band", F.col("own").alias("row"), F.col("any").alias("col"), F.col("id").alias("first"))
-    right = dealt.select("band", F.col("any").alias("row"), F.col("own").alias("col"), F.col("id").alias("second"))
-    pairs = left.join(right, ["band", "row", "col"]).where("first < second").select("first", "second").distinct()
-    return _verified(pairs.unionByName(copies), sets, minimum)
+    crowded = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    members = keys.join(crowded, "band", "left_semi").join(ones, "id")
+
+    def compare(cell: dict[str, list], left: np.ndarray, right: np.ndarray) -> list[tuple]:
+        shingles, words, ids, out = [np.array(x, dtype=np.int64) for x in cell["shingles"]], np.array(cell["words"]), cell["id"], []
+        size = np.array([len(x) for x in shingles])
+        values, at = np.unique(np.concatenate([shingles[j] for j in right.tolist()]), return_inverse=True)
+        owner, count = np.repeat(np.arange(len(right)), size[right]), len(right)
+        order = np.argsort(at, kind="stable")
+        lists, bounds = owner[order], np.searchsorted(at[order], np.arange(len(values) + 1))  # who has each shingle
+        for i in left.tolist():
+            place = np.searchsorted(values, shingles[i])
+            place = place[(place < len(values)) & (values[np.minimum(place, len(values) - 1)] == shingles[i])]
+            met = [lists[bounds[p] : bounds[p + 1]] for p in place.tolist()]
+            common = np.bincount(np.concatenate(met), minlength=count) if met else np.zeros(count, dtype=np.int64)
+            score = common / (size[i] + size[right] - common)
+            hits = np.flatnonzero(score >= minimum)
+            for k in hits[right[hits] > i] if left is right else hits:
+                j = int(right[k])
+                ratio = min(words[i], words[j]) / max(words[i], words[j])
+                out.append((*((ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i])), float(score[k]), float(ratio)))
+        return out
+
+    found = _cells(members, "band", compare, f"first {kind}, second {kind}, jaccard double, word_ratio double")
+    return found.distinct().unionByName(copies)
 
 
 def duplicate_edges(pairs: DataFrame, similarity: float = 0.92, word_ratio: float = 0.85) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..operators import aggregate, budget, dedup, detector, gates, similarity, spans, splits, verify
+from ..operators import aggregate, budget, dedup, detector, gates, language, similarity, spans, splits, verify
 from ..operators.graph import component_edges
 from ..session import materialise
 
@@ -30,14 +30,19 @@ class QualityPolicy:
     exact: bool = True
 
 
-def curate(rows: DataFrame, policy: gates.NewsPolicy, open_licensed: Column, maximum_span_words: int = 3000, seed: str = "news-curation-v1") -> dict[str, DataFrame]:
+def curate(rows: DataFrame, policy: gates.NewsPolicy, open_licensed: Column, maximum_span_words: int = 3000, seed: str = "news-curation-v1", language_model: language.LanguageModel | None = None) -> dict[str, DataFrame]:
     """News rows (id, dataset, text, url, domain, source, date, created, metadata) -> documents, rejected, duplicates, spans, review.
 
-    The cheap rules decide first; only what they keep is scored for its language.
+    The cheap rules decide first; only what they keep is scored for its language, by the model if there is one, else by its stop words.
     """
     gated = materialise(gates.news_gate(rows, policy, open_licensed), "gated")
-    kept = gated.where("reason IS NULL").withColumn("reason", gates.english_reason(F.col("text"), policy.english_confidence_minimum))
-    kept = materialise(kept, "english")
+    kept = gated.where("reason IS NULL").drop("reason")
+    if language_model is None:
+        kept = kept.withColumn("_confidence", t.minimum_confidence(F.col("text")))
+    else:
+        found = language.language_confidences(kept, language_model).select("id", F.col("confidence").alias("_confidence"))
+        kept = kept.join(found, "id")
+    kept = materialise(kept.withColumn("reason", gates.english_reason(F.col("_confidence"), policy.english_confidence_minimum)).drop("_confidence"), "english")
     rejected = gated.where("reason IS NOT NULL").unionByName(kept.where("reason IS NOT NULL")).select("id", "reason")
     candidates = kept.where("reason IS NULL").drop("reason").withColumns({
         "publication_date": F.col("dated.date").cast("string"), "last_known_update_date": F.col("dated.updated").cast("string"), "publication_date_evidence": F.col("dated.evidence"),

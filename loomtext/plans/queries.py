@@ -250,9 +250,20 @@ def near_dup_keep(spark, sf):
     return similarity.keep_distinct(ranked, sets, similarity.similar_pairs(sets, 0.8))[1]
 
 
-@query()
+_DRAW = "('0x' || left(md5('minhash:42:{}:' || k), 15))::HUGEINT"
+
+
+@query(f"""WITH {_SHINGLES.partition("f AS (")[0]} v AS (SELECT s.doc_id, ('0x' || left(md5(s), 8))::HUGEINT AS x FROM s JOIN r USING (doc_id)), c AS (SELECT doc_id, s, n FROM s JOIN r USING (doc_id)),
+  p AS (SELECT k, {_DRAW.format("a")} + 1 AS a, {_DRAW.format("b")} AS b FROM range({similarity.BANDS * similarity.ROWS}) t(k)),
+  g AS (SELECT doc_id, k // {similarity.ROWS} AS band, k, min((a * x + b) % {similarity.PRIME} & {similarity.VALUE}) AS m FROM v, p GROUP BY 1, 2, 3), b AS (SELECT doc_id, band, string_agg(m::VARCHAR, ',' ORDER BY k) AS key FROM g GROUP BY 1, 2),
+  q AS (SELECT DISTINCT x.doc_id AS first, y.doc_id AS second FROM b x JOIN b y ON x.band = y.band AND x.key = y.key AND x.doc_id < y.doc_id),
+  o AS (SELECT first, second, count(*) AS c FROM q JOIN c x ON x.doc_id = first JOIN c y ON y.doc_id = second AND y.s = x.s GROUP BY 1, 2), l AS (SELECT doc_id, {_N} AS words FROM documents),
+  same AS (SELECT min(doc_id) OVER (PARTITION BY h) AS first, doc_id AS second FROM k),
+  found AS (SELECT first, second, c / (x.n + y.n - c) AS jaccard FROM o JOIN r x ON x.doc_id = first JOIN r y ON y.doc_id = second WHERE c / (x.n + y.n - c) >= 0.8 UNION ALL SELECT first, second, 1 FROM same WHERE first < second)
+  SELECT first, second, round(jaccard, 9) AS jaccard, round(least(x.words, y.words) / greatest(x.words, y.words), 9) AS word_ratio FROM found JOIN l x ON x.doc_id = first JOIN l y ON y.doc_id = second""")
 def near_dup_banded(spark, sf):
-    return similarity.banded_pairs(_sets(spark, sf), 0.8).select("first", "second", "jaccard", "word_ratio")
+    """Pairs of similarity 0.8 or more that share a band of a MinHash signature."""
+    return similarity.banded_pairs(_sets(spark, sf), 0.8).select("first", "second", F.round("jaccard", 9).alias("jaccard"), F.round("word_ratio", 9).alias("word_ratio"))
 
 
 @query(r"""WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+(?:[''’][\p{L}\p{N}\p{M}_]+)*') AS w FROM documents), b AS (SELECT item_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+(?:[''’][\p{L}\p{N}\p{M}_]+)*') AS w FROM benchmark),
