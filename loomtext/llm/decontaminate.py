@@ -45,7 +45,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import discard, materialise, materialise_small, table
-from .textcore import SHINGLE_WORDS, batches, flat_words, shingle_hashes
+from .textcore import SHINGLE_WORDS, batches, flat_words, released, shingle_hashes
 
 K1, B = 1.2, 0.75
 SLACK = 0.1
@@ -277,7 +277,7 @@ def item_parts(benchmark: DataFrame, item_id: str = "item_id", text: str = "text
             words = [flat_words(t).split() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(map(len, words), pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.binary()))], ["row", "n", "words"])
 
-    worded = materialise_small(items.select("row", "text").mapInArrow(split, "row long, n long, words array<binary>").where("n > 0"), "item-words")
+    worded = materialise_small(items.select("row", "text").mapInArrow(released(split), "row long, n long, words array<binary>").where("n > 0"), "item-words")
     size = worded.agg(F.count("*").alias("items"), F.avg("n").alias("mean")).first()
     each = worded.select("row", F.explode("words").alias("word"))
     frequency = each.groupBy("word").agg(F.count("*").alias("n"))
@@ -313,7 +313,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
                 ids = batch.column("doc_id").take(pa.array([h[0] for h in hits], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[h[1]] for h in hits], of), *[pa.array([h[k] for h in hits], pa.float64()) for k in (2, 3)]], schema.names)
 
-        return materialise_small(rows.mapInArrow(run, schema), "leaks")  # one part at a time; its rows are few
+        return materialise_small(rows.mapInArrow(released(run), schema), "leaks")  # one part at a time; its rows are few
 
     of = to_arrow_type(schema["item_id"].dataType)
     parts = [over(index) for index in item_parts(benchmark, item_id, item_text)]

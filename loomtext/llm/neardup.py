@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import connected_components
 from ..session import discard, fresh, materialise, materialise_small, table
 from .bagminhash import COMPONENTS, signed_texts
-from .textcore import batches, mix, shingle_hashes
+from .textcore import batches, mix, released, shingle_hashes
 
 SIMILARITY = 0.8
 BANDS = 20
@@ -141,7 +141,7 @@ def _signed(nodes: DataFrame) -> DataFrame:
             key = key.view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([names[first[i]] for i in has], pa.binary()), *[pa.array(key[:, b]) for b in range(BANDS)], pa.array(counts[has])], ["node", *_KEYS, "n"])
 
-    signed = nodes.mapInArrow(sign, f"node binary, {', '.join(f'{k} long' for k in _KEYS)}, n long")
+    signed = nodes.mapInArrow(released(sign), f"node binary, {', '.join(f'{k} long' for k in _KEYS)}, n long")
     return signed.groupBy("node").agg(*[F.min(k).alias(k) for k in [*_KEYS, "n"]])
 
 
@@ -168,7 +168,7 @@ def _sets(nodes: DataFrame, members: DataFrame) -> DataFrame:
                 parts = np.split(hashes, np.cumsum(counts)[:-1])
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(piece.start, len(parts)), pa.array([_elements(p).tobytes() for p in parts], pa.binary())], ["node", "elements"])
 
-    sets = materialise_small(texts.mapInArrow(split, "node binary, elements binary"), "sets")
+    sets = materialise_small(texts.mapInArrow(released(split), "node binary, elements binary"), "sets")
     discard(ends)
     return sets
 
@@ -196,7 +196,7 @@ def _verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFra
                         keep.append(i)
             yield batch.select(["leader", "node"]).take(pa.array(keep, pa.int64()))
 
-    return both.mapInArrow(verify, "leader binary, node binary")
+    return both.mapInArrow(released(verify), "leader binary, node binary")
 
 
 def _open_buckets(keys: DataFrame, members: DataFrame, linked: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
@@ -293,7 +293,7 @@ def _joined(cells: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         if last:
             yield pack(last)
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(released(run), "a binary, b binary")
 
 
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:

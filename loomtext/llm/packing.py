@@ -15,6 +15,7 @@ its tokenizer gives them. Ids are passed on untouched, null ones too. Other colu
 from __future__ import annotations
 
 import base64
+import functools
 import importlib
 import json
 import re
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..session import discard, materialise, materialise_small, table
+from .textcore import released
 
 CAPACITY = 2048
 END_ID = 0
@@ -45,15 +47,19 @@ def vocabulary_path(name: str) -> str:
     return importlib.import_module("public_tokenizers").path(name)
 
 
+@functools.cache
+def _tokenizer(vocabulary: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary_path(vocabulary))
+
+
 def encoder(vocabulary: str = VOCABULARY):
     """texts -> lists of ids. For the byte-level vocabulary the rank file of the same tokens is used, which gives the
     same ids several times faster; the added tokens of the vocabulary file are cut out first, as its tokenizer does. That library
     can't take very long runs of white space, so a text with one is left to tokenizers, which loads any other file too."""
     if vocabulary not in _ENCODERS:
-        from tokenizers import Tokenizer
-
-        loaded = Tokenizer.from_file(vocabulary_path(vocabulary))
-        whole = lambda text: loaded.encode(text, add_special_tokens=False).ids
+        whole = lambda text: _tokenizer(vocabulary).encode(text, add_special_tokens=False).ids
         if vocabulary == VOCABULARY:
             import tiktoken
 
@@ -152,7 +158,7 @@ def _pieces(docs: DataFrame, doc_id: str, text: str, vocabulary: str, capacity:
 
     long = {"piece": IntegerType(), "start": LongType(), "length": LongType(), "ids_crc32": LongType(), "bin": LongType(), "offset": LongType(), "bin_fill": IntegerType(), "part": IntegerType()}
     schema = StructType([rows.schema["doc_id"], *[StructField(n, k) for n, k in long.items()]])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 _NODE = "members array<struct<bin:bigint,base:int>>, fill int, grp int"

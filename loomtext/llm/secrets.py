@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import discard, materialise, materialise_small, table
+from .textcore import released
 
 KINDS = ("assign", "access", "hex", "markov")
 #: Generated samples of each class, beside the identifiers made of the corpus.
@@ -208,7 +209,7 @@ def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
             yield _packed(["secret", "sample", "n"], [*[(False, w, n) for w, n in words.items()], *[(True, x, n) for x, n in labelled.items()]], [pa.bool_(), pa.string(), pa.int64()])
 
     texts = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
-    return texts.mapInArrow(run, "secret boolean, sample string, n long").groupBy("secret", "sample").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(released(run), "secret boolean, sample string, n long").groupBy("secret", "sample").agg(F.sum("n").alias("n"))
 
 
 def _packed(names: Sequence[str], rows: Sequence[tuple], types: Sequence[pa.DataType]) -> pa.RecordBatch:
@@ -265,7 +266,7 @@ def train_models(docs: DataFrame, text: str = "text", samples: int = SAMPLES) ->
         True: _trigrams([x for i, x in enumerate(drawn) if i % 5], [1] * sum(i % 5 > 0 for i in range(len(drawn)))),
     }
     # at most two tables of the alphabet's triples
-    for side, triple, n in known.mapInArrow(triples, "secret boolean, triple long, n long").groupBy("secret", "triple").agg(F.sum("n").alias("n")).toPandas().itertuples(index=False):
+    for side, triple, n in known.mapInArrow(released(triples), "secret boolean, triple long, n long").groupBy("secret", "triple").agg(F.sum("n").alias("n")).toPandas().itertuples(index=False):
         counts[side][triple] += n
     models = MarkovPair(MarkovPair._log_of(counts[True]) - MarkovPair._log_of(counts[False]), 0.0)
 
@@ -278,7 +279,7 @@ def train_models(docs: DataFrame, text: str = "text", samples: int = SAMPLES) ->
             yield _packed(["score", "n"], list(seen.items()), [pa.float64(), pa.int64()])
 
     # scores of three decimals, so the histogram is bounded
-    bins = Counter({r[0]: r[1] for r in words.mapInArrow(scores, "score double, n long").groupBy("score").agg(F.sum("n")).collect()})
+    bins = Counter({r[0]: r[1] for r in words.mapInArrow(released(scores), "score double, n long").groupBy("score").agg(F.sum("n")).collect()})
     bins.update(_scores(models, [x for x in made if _held_out(x)]).tolist())
     discard(known)
     left = FALSE_ALARMS * sum(bins.values())
@@ -327,7 +328,7 @@ def scan_secrets(docs: DataFrame, models: MarkovPair | None = None, doc_id: str
 
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = StructType([slim.schema["doc_id"], *[StructField(n, LongType() if n.startswith("n_") else StringType()) for n in names]])
-    return materialise_small(slim.mapInArrow(run, schema), "secrets")
+    return materialise_small(slim.mapInArrow(released(run), schema), "secrets")
 
 
 def redact(text: str | None, models: MarkovPair) -> str | None:

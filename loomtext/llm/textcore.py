@@ -8,10 +8,13 @@ than `size`, but at least one, has a single shingle of all its words; a text wit
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 SHINGLE_WORDS = 5
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -19,6 +22,20 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BATCH_BYTES = 300_000
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, after which the worker gives the memory that it has freed back to the system: workers are reused by later stages."""
+
+    def to_the_end(found: Iterator) -> Iterator:
+        yield from run(found)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return to_the_end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on unsigned 64-bit values."""
     x = x.astype(np.uint64, copy=True)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from ..session import discard, materialise, materialise_small, table
-from .textcore import flat_words
+from .textcore import flat_words, released
 
 FIT_DOCUMENTS = 20_000
 #: Texts whose features are in a worker's memory at once.
@@ -121,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                 few = frame.iloc[start : start + TEXTS_AT_ONCE]
                 yield pd.DataFrame({"key": few["key"], "grade": few["grade"], "features": [sorted(features_of(t)) for t in few["text"]]})
 
-    rows = materialise_small(sample.mapInPandas(featured, "key string, grade int, features array<string>"), "toxicity-sample")
+    rows = materialise_small(sample.mapInPandas(released(featured), "key string, grade int, features array<string>"), "toxicity-sample")
     sampled = rows
     rows = rows.withColumn("fold", F.conv(F.substring("key", 1, 4), 16, 10).cast("int") % FOLDS)
     sizes = {(r["fold"], r["bad"]): r["n"] for r in rows.groupBy("fold", (F.col("grade") > 0).alias("bad")).agg(F.count("*").alias("n")).collect()}
@@ -144,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         for frame in frames:
             yield pd.DataFrame({"key": frame["key"], "grade": frame["grade"], "fold": frame["fold"], "at": [[place[w] for w in ws if w in place] for ws in frame["features"]]})
 
-    got = sorted(rows.mapInPandas(compact, "key string, grade int, fold int, at array<int>").collect())
+    got = sorted(rows.mapInPandas(released(compact), "key string, grade int, fold int, at array<int>").collect())
     grades, fold = np.array([r["grade"] for r in got], dtype=np.int64), np.array([r["fold"] for r in got], dtype=np.int64)
     held = fold == 0
     row_of = np.repeat(np.arange(len(got)), [len(r["at"]) for r in got])
@@ -216,7 +216,7 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, doc_id: str = "doc_id",
 
     kinds = {"p_toxic": DoubleType(), "p_severe": DoubleType(), "expected_severity": DoubleType(), "grade": IntegerType(), "toxic": BooleanType()}
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return materialise_small(slim.mapInArrow(run, StructType([slim.schema["doc_id"], *[StructField(n, k) for n, k in kinds.items()]])), "toxicity")
+    return materialise_small(slim.mapInArrow(released(run), StructType([slim.schema["doc_id"], *[StructField(n, k) for n, k in kinds.items()]])), "toxicity")
 
 
 def drop_toxic(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
