@@ -243,6 +243,6 @@ def wilson(successes: Column, total: Column) -> Column:
     return F.when(total > 0, F.struct(F.greatest(F.lit(0.0), center - margin).alias("low"), F.least(F.lit(1.0), center + margin).alias("high")))
 
 
-def lsh_probability(similarity: float, rows: int, bands: int) -> float:
-    """The probability that a pair of this similarity shares a band."""
+def lsh_probability(similarity: Column | float, rows: int, bands: int) -> Column | float:
+    """The probability that a pair of this similarity (a number or a column) shares a band."""
     return 1 - (1 - similarity**rows) ** bands

@@ -65,10 +65,10 @@ def jaccard(a, b):
     return F.when(union > 0, common / union).otherwise(F.lit(0.0))
 
 
-def _verified(candidates: DataFrame, sets: DataFrame, minimum: float) -> DataFrame:
-    """(first, second, jaccard, word_ratio) of candidate pairs of at least `minimum`; the size bound comes before the sets are read."""
+def pair_scores(pairs: DataFrame, sets: DataFrame, minimum: float = 0.0) -> DataFrame:
+    """(first, second, jaccard, word_ratio) of pairs of at least `minimum`; the size bound comes before the sets are compared."""
     side = lambda name: sets.select(F.col("id").alias(name), F.col("shingles").alias(f"{name}_set"), F.col("words").alias(f"{name}_words"))
-    both = candidates.join(side("first"), "first").join(side("second"), "second")
+    both = pairs.join(side("first"), "first").join(side("second"), "second")
     a, b = F.size("first_set"), F.size("second_set")
     both = both.where(F.least(a, b) >= minimum * F.greatest(a, b))
     scored = both.withColumn("jaccard", jaccard(F.col("first_set"), F.col("second_set"))).where(F.col("jaccard") >= minimum)
@@ -196,7 +196,7 @@ def similar_pairs(sets: DataFrame, minimum: float = 0.8) -> DataFrame:
     """All pairs of at least `minimum` (first < second), exactly. Equal sets are paired through one of them only."""
     _, copies, ones = _collapsed(sets)
     ones = materialise(ones, "ones")
-    return _verified(prefix_candidates(ones, minimum), ones, minimum).unionByName(copies)
+    return pair_scores(prefix_candidates(ones, minimum), ones, minimum).unionByName(copies)
 
 
 def permutations(count: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from .similarity import shingle_sets, similar_pairs
+from ..session import materialise
+from .similarity import keep_distinct, pair_scores, shingle_sets, similar_pairs
 from .spans import span_gaps
 
 
@@ -68,10 +69,38 @@ def verify_curated(scanned: DataFrame, retained: DataFrame, rejected: DataFrame,
     })
 
 
-def verify_near_duplicates(kept: DataFrame, removed: DataFrame, similarity: float = 0.92) -> None:
-    """Every removed row has its retained neighbour, and no two kept rows are that similar (recomputed from the texts)."""
-    pairs = similar_pairs(shingle_sets(kept), similarity)
-    require_empty({"kept rows too similar": pairs, "removed for a row that is not kept": removed.join(kept.select(F.col("id").alias("retained_id")), "retained_id", "left_anti")})
+def near_duplicate_violations(rows: DataFrame, kept: DataFrame, removed: DataFrame, rejected: DataFrame | None = None, similarity: float = 0.92, word_ratio: float = 0.85) -> DataFrame:
+    """(violation, id, other_id): where a near-duplicate release breaks its own certificate, recomputed from the texts.
+
+    rows (id, text, rank) are all that went in, kept (id), removed (removed_id, retained_id) and rejected (id) what came out. A removed row
+    must name a retained one that is kept, ranks before it and is a near copy by both bounds; no two kept rows may be near copies by both; and every
+    row must have come out exactly once.
+    """
+    sets = materialise(shingle_sets(rows), "verified-sets")
+    ranks = rows.select("id", "rank")
+    named = removed.select(F.col("removed_id").alias("first"), F.col("retained_id").alias("second"))
+    is_kept = kept.select(F.col("id").alias("second"), F.lit(True).alias("_kept")).distinct()
+    own = ranks.select(F.col("id").alias("first"), F.col("rank").alias("_rank"))
+    its = ranks.select(F.col("id").alias("second"), F.col("rank").alias("_before"))
+    near = pair_scores(named, sets).where((F.col("jaccard") >= similarity) & (F.col("word_ratio") >= word_ratio)).select("first", "second", F.lit(True).alias("_near"))
+    judged = named.join(is_kept, "second", "left").join(own, "first", "left").join(its, "second", "left").join(near, ["first", "second"], "left")
+    kind = F.when(F.col("_kept").isNull(), "retained row is not kept").when(~F.coalesce(F.col("_before") < F.col("_rank"), F.lit(False)), "retained row ranks behind").when(F.col("_near").isNull(), "not a near copy")
+    broken = judged.select(kind.alias("violation"), F.col("first").alias("id"), F.col("second").alias("other_id")).where("violation IS NOT NULL")
+    # what the greedy rule would still remove from the kept rows
+    left = materialise(sets.join(kept.select("id").distinct(), "id", "left_semi"), "kept-sets")
+    again = keep_distinct(ranks.join(kept.select("id").distinct(), "id", "left_semi"), left, similar_pairs(left, min(0.8, similarity)), similarity, word_ratio)[1]
+    again = again.select(F.lit("kept rows are near copies").alias("violation"), F.col("removed_id").alias("id"), F.col("retained_id").alias("other_id"))
+    out = kept.select("id").unionByName(removed.select(F.col("removed_id").alias("id")))
+    if rejected is not None:
+        out = out.unionByName(rejected.select("id"))
+    sides = rows.select("id", F.lit(1).alias("i"), F.lit(0).alias("o")).unionByName(out.select("id", F.lit(0).alias("i"), F.lit(1).alias("o")))
+    uneven = sides.groupBy("id").agg(F.sum("i").alias("i"), F.sum("o").alias("o")).where("i <> o")
+    none = F.lit(None).cast(rows.schema["id"].dataType)
+    return broken.unionByName(again).unionByName(uneven.select(F.lit("not accounted for once").alias("violation"), "id", none.alias("other_id")))
+
+
+def verify_near_duplicates(rows: DataFrame, kept: DataFrame, removed: DataFrame, rejected: DataFrame | None = None, similarity: float = 0.92, word_ratio: float = 0.85) -> None:
+    require_empty({"near-duplicate certificate": near_duplicate_violations(rows, kept, removed, rejected, similarity, word_ratio)})
 
 
 def verify_selection(selected: DataFrame, budget: int | None = None) -> None:

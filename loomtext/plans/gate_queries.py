@@ -124,19 +124,6 @@ def jsonl_round_trip(spark, sf):
     return rows.where(F.lit(not files.isEmpty())).select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "lang", "source")
 
 
-@query("SELECT doc_id, doc_id % 7 = 0 AND doc_id > 5 AS hit FROM documents WHERE doc_id >= 0")
-def row_numbers(spark, sf):
-    """Lines of a JSON lines file by number: rows go out in order of doc_id in one file, so line and rank must agree."""
-    path = _folder(spark, "numbered")
-    rows = _docs(spark, sf, "doc_id").orderBy("doc_id").coalesce(1)
-    rows.write.json(path)
-    read = readers.read_any(spark, path, "doc_id long")
-    first = readers.first_rows(read, 1 << 40)
-    wrong = first.groupBy("input_file").agg(F.max("input_row").alias("last"), F.count("*").alias("n"), F.count_distinct("input_row").alias("distinct")).where("last <> n OR n <> distinct")
-    checked = F.when(F.lit(not wrong.isEmpty()), F.raise_error(F.lit("lines are not numbered from 1 without gaps")).cast("boolean")).otherwise(_nth(7) & (F.col("doc_id") > 5))
-    return first.select("doc_id", checked.alias("hit"))
-
-
 _MONTH = "strftime({0}, '%B') || ' ' || day({0}) || ', ' || year({0})"
 _IN_URL = "(doc_id % 3 = 0)"
 
@@ -361,13 +348,6 @@ def dataset_summary(spark, sf):
     return made.select("dataset", "records", "whitespace_words", "documents", "ambiguous_text_records", count("authorship", "human_translation").alias("human"), count("authorship", "machine_translation").alias("machine"), count("engine", "e1").alias("e1"), count("split", "train").alias("train"))
 
 
-@query("SELECT k, round(1 - pow(1 - pow(0.5 + k / 20.0, 8), 16), 9) AS retrieved FROM range(11) AS t(k)")
-def retrieval_probability(spark, sf):
-    """The probability that a pair of a similarity shares one of 16 bands of 8."""
-    rows = [(k, round(t.lsh_probability(0.5 + k / 20.0, 8, 16), 9)) for k in range(11)]
-    return spark.createDataFrame(rows, "k long, retrieved double")
-
-
 @query(f"""WITH d AS (SELECT doc_id, lang, source, {_split_sql(_bucket_sql('doc_id::VARCHAR'), 80, 10)} AS split FROM documents WHERE source IS NOT NULL),
   g AS (SELECT source, max(CASE split WHEN 'train' THEN 0 WHEN 'validation' THEN 1 ELSE 2 END) AS m FROM d GROUP BY 1), e AS (SELECT source, CASE WHEN source IN ('src1', 'src10', 'src11') THEN 'src1' ELSE source END AS root FROM g),
   r AS (SELECT root, max(m) AS m FROM e JOIN g USING (source) GROUP BY 1) SELECT doc_id, root AS split_group, source AS upstream_split_group, CASE r.m WHEN 0 THEN 'train' WHEN 1 THEN 'validation' ELSE 'test' END AS split, split AS upstream_split FROM d JOIN e USING (source) JOIN r USING (root)""")

@@ -59,7 +59,7 @@ def curate(rows: DataFrame, policy: gates.NewsPolicy, open_licensed: Column, max
 
 
 def clean(documents: DataFrame, policy: QualityPolicy) -> dict[str, DataFrame]:
-    """Documents (id, text, publisher, license, split_group, split) -> cleaned documents, spans, rejected, pairs, removed, tail_changes.
+    """Documents (id, text, publisher, license, split_group, split) -> cleaned documents, spans, rejected, pairs, removed, tail_changes, ranked (what near-copies are removed from).
 
     Recognised tails go, short and disclosed texts are rejected, near-copies of a preferred document go, and groups that are similar or
     share an exact span are split together.
@@ -90,7 +90,7 @@ def clean(documents: DataFrame, policy: QualityPolicy) -> dict[str, DataFrame]:
     documents = retained.withColumnRenamed("split", "source_split").join(regrouped, "id").drop("split_group").withColumnRenamed("_group", "split_group")
     documents = materialise(documents.withColumn("split", splits.split_of(splits.hash_bucket(F.concat(F.lit(policy.split_seed + ":"), F.col("split_group"))))), "regrouped")
     final = cut_spans.join(documents.select(F.col("id").alias("parent_document_id"), "publisher", "license", "split_group", "split"), "parent_document_id")
-    return {"documents": documents, "spans": final, "rejected": rejected.select("id", "reason"), "pairs": pairs, "removed": removed, "tail_changes": changes}
+    return {"documents": documents, "spans": final, "rejected": rejected.select("id", "reason"), "pairs": pairs, "removed": removed, "tail_changes": changes, "ranked": kept.select("id", "text").join(ranked, "id")}
 
 
 def assemble_words(cut: DataFrame, word_budget: int | None = None, seed: str = "wordcorpus-v1") -> dict[str, DataFrame]:

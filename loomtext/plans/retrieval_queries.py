@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import language, splits
-from .queries import _bucket_sql, _docs, query
+from ..functions import text as t
+from ..operators import language, similarity, splits
+from .queries import _SHINGLES, _bucket_sql, _docs, _sets, query
 
 _LETTERS = r"' ' || trim(regexp_replace(lower({}), '[^\p{{L}}]+', ' ', 'g')) || ' '"
 
@@ -27,3 +28,10 @@ def language_check(spark, sf):
     model = language.train_language_model(rows.where("NOT held"))
     found = language.language_confidences(rows, model, "en", "doc_id").withColumnRenamed("id", "doc_id")
     return rows.drop("text").join(found, "doc_id").select("doc_id", "lang", "held", "detected", F.round("confidence", 4).alias("confidence"), (F.col("confidence") >= 0.8).alias("accepted"))
+
+
+@query(f"WITH {_SHINGLES} SELECT first, second, round(1 - pow(1 - pow(jaccard, {similarity.ROWS}), {similarity.BANDS}), 6) AS retrieved FROM j")
+def retrieval_probability(spark, sf):
+    """How likely each pair of similar documents is to share a band."""
+    found = similarity.similar_pairs(_sets(spark, sf), 0.8).where("jaccard < 1")
+    return found.select("first", "second", F.round(t.lsh_probability(F.col("jaccard"), similarity.ROWS, similarity.BANDS), 6).alias("retrieved"))

@@ -34,7 +34,9 @@ def test_curate_and_clean(spark):
     cleaned = pipelines.clean(made["documents"], pipelines.QualityPolicy(minimum_words=40, maximum_span_words=100))
     assert [(r["removed_id"], r["retained_id"]) for r in cleaned["removed"].collect()] == [("d/5", "d/1")]
     assert sorted(r["id"] for r in cleaned["documents"].collect()) == ["d/1", "d/3"]
-    verify.verify_near_duplicates(cleaned["documents"], cleaned["removed"])
+    verify.verify_near_duplicates(cleaned["ranked"], cleaned["documents"], cleaned["removed"])
+    with pytest.raises(ValueError, match="certificate"):
+        verify.verify_near_duplicates(cleaned["ranked"], cleaned["documents"], cleaned["removed"].limit(0))
     words = pipelines.assemble_words(cleaned["spans"], 100)
     verify.verify_selection(words["selected"], 100)
 

@@ -1,6 +1,5 @@
 import gzip
 import json
-import pickle
 import zipfile
 
 import pytest
@@ -102,13 +101,15 @@ def test_conversations_and_hydration(spark):
     assert {r["id"]: r["reason"] for r in rejected.collect()} == {"100": "participant_authorship_unresolved", "102": "not_english_or_language_conflict", "103": "conflicting_release_metadata", "7": "id_not_in_pinned_release"}
 
 
-def test_books(spark):
+def test_books(spark, tmp_path):
     data = {"work_1_fr": {"source_paras": ["s", "s2"], "gt_paras": ["machine text here", "short"], "translator_data": {"t1": {"translator_paras": ["human text here", "human text here"]}, "t2": {"translator_paras": [None, "x"]}}}}
-    loaded = readers.plain_pickle(pickle.dumps(data))
-    got = readers.aligned_paragraphs(readers.books_frame(spark, loaded), 2, 10, {r"work_\d_fr": "work"}).collect()
+    rows = [{"book": k, "source_paras": v["source_paras"], "gt_paras": v["gt_paras"], "translators": {n: x["translator_paras"] for n, x in v["translator_data"].items()}} for k, v in data.items()]
+    (tmp_path / "books.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    got = readers.aligned_paragraphs(readers.read_books(spark, str(tmp_path / "books.jsonl")), 2, 10, {r"work_\d_fr": "work"}).collect()
     assert sorted((r["id"], r["engine"], r["work_group"], r["source_language"]) for r in got) == [("par3/work_1_fr/0/google_translate", "Google Translate", "work", "fr"), ("par3/work_1_fr/0/t1", "Par3 human t1", "work", "fr")]
-    with pytest.raises(ValueError, match="forbidden"):
-        readers.plain_pickle(pickle.dumps(len))
+    (tmp_path / "short.jsonl").write_text(json.dumps({**rows[0], "gt_paras": ["one"]}))
+    with pytest.raises(Exception, match="not aligned"):
+        readers.read_books(spark, str(tmp_path / "short.jsonl")).collect()
 
 
 def test_stitched_articles(spark):
