@@ -7,9 +7,9 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,9 +72,11 @@ def fit(training: DataFrame, text: str = "text", label: str = "binary_target", f
     grams = training.withColumn("_grams", character_ngrams(F.col(text))).withColumn("_weight", weight)
     counts = CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=features, minDF=MIN_DOCUMENTS).fit(grams)
     counted = counts.transform(grams).withColumn("_tf", _sublinear("_counts"))
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted)
-    shaped = PipelineModel([idf, Normalizer(inputCol="_idf", outputCol="_features")])
-    classifier = LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight", regParam=1.0 / total, maxIter=100).fit(shaped.transform(counted))
+    # one more than the logarithm, so that a feature of all documents still counts; at most one number a feature
+    inverse = Vectors.dense(IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf.toArray() + 1.0)
+    shaped = PipelineModel([ElementwiseProduct(scalingVec=inverse, inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol="_features")])
+    # the penalty is on the coefficients as they are
+    classifier = LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight", regParam=1.0 / total, standardization=False, maxIter=1000, tol=1e-10).fit(shaped.transform(counted))
     return Detector(counts, shaped, classifier)
 
 

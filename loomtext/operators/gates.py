@@ -229,7 +229,10 @@ def asked_and_answered(text: Column) -> Column:
 
 
 def strict_core_reason(policy: CorePolicy) -> Column:
-    """The strict gate on passages joined to their parent (struct column `parent`)."""
+    """The strict gate on passages joined to their parent (struct column `parent`).
+
+    A passage that its own source gate keeps fails the job where its parent's doesn't, where it is no slice of the parent, or where its hash or word count is wrong.
+    """
     metrics = t.prose_metrics(F.col("text"))
     words = t.word_count(F.col("text"))
     limits = [(f"prose_screen:{k}", metrics[k] > getattr(policy, f"maximum_{k}")) for k in ("digit_token_fraction", "numeric_line_fraction", "tabular_line_fraction")]
@@ -237,11 +240,16 @@ def strict_core_reason(policy: CorePolicy) -> Column:
     own = t.text_slice(body, F.col("character_range")[0], F.col("character_range")[1])
     wrong = ~F.coalesce((own == F.col("text")) & (F.col("parent.split_group") == F.col("split_group")) & (F.col("parent.split") == F.col("split")), F.lit(False))
     source = source_reason(policy)
-    checked = F.when(source.isNull() & wrong, F.raise_error(F.lit("Passage body or partition differs from parent")).cast("string"))
-    return F.coalesce(source, checked, first_reason([
+    disagree = F.when(source.isNull() & source_reason(policy, "parent").isNotNull(), F.raise_error(F.lit("Passage and parent source policy disagree")).cast("string"))
+    differs = F.when(source.isNull() & wrong, F.raise_error(F.lit("Passage body or partition differs from parent")).cast("string"))
+    before = first_reason([
         ("parent_generation_or_translation_mention_requires_review", body.rlike(NOTICE)),
         ("parent_extraction_annotation_requires_review", body.rlike(PARSER_NOTE)),
         ("outside_word_bounds", ~words.between(policy.minimum_words, policy.maximum_words)),
+    ])
+    intact = F.coalesce((F.col("text_sha256") == t.text_hash(F.col("text"))) & (F.col("whitespace_words") == words), F.lit(False))
+    broken = F.when(~intact, F.raise_error(F.lit("Passage integrity differs")).cast("string"))
+    return F.coalesce(source, disagree, differs, before, broken, first_reason([
         ("insufficient_named_participants", F.size(participants(F.col("text"))) < policy.minimum_distinct_named_participants),
         ("no_explicit_named_question_and_answer", ~asked_and_answered(F.col("text"))),
         *limits,

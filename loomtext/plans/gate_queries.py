@@ -233,6 +233,7 @@ _STRICT_RULES = [
 def strict_core_gate(spark, sf):
     """Passages joined to their parents, and the whole strict gate on them."""
     passages, parents = _strict(spark, sf)
+    passages = passages.withColumns({"text_sha256": t.text_hash(F.col("text")), "whitespace_words": t.word_count(F.col("text"))})
     joined = spans.join_parents(passages, parents)
     return joined.select("doc_id", gates.strict_core_reason(gates.CorePolicy(minimum_words=100)).alias("reason"))
 

@@ -2,7 +2,9 @@ import itertools
 import math
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,6 +279,37 @@ def test_detector_report_uses_all_features(monkeypatch, spark, sf):
     assert detector_report(spark, sf).get("features", detector.FEATURES) == 75_000
 
 
+def test_detector_scores_equal_a_plain_model(spark):
+    """TF-IDF with sublinear counts and smoothed, raised IDF, unit length, and the minimum of the penalised balanced loss by Newton's method."""
+    from loomtext.operators import detector
+
+    draw = random.Random(11)
+    words = [["river", "stone", "walks", "house"], ["token", "model", "stone", "layer"]]
+    rows = [(i, " ".join(draw.choices(words[y] + ["the", "Of"], k=draw.randint(3, 12))), y) for i, y in enumerate([0] * 25 + [1] * 15)]
+    made = detector.fit(spark.createDataFrame(rows, "id int, text string, binary_target int"))
+    got = {r["id"]: r["score"] for r in made.score(spark.createDataFrame(rows, "id int, text string, binary_target int")).collect()}
+    grams = [[p[i : i + n] for p in [" ".join(t.lower().split())] for n in (3, 4, 5) for i in range(len(p) - n + 1)] for _, t, _ in rows]
+    frequency = Counter(g for each in grams for g in set(each))
+    vocabulary = {g: k for k, g in enumerate(sorted(g for g, n in frequency.items() if n >= 3))}
+    x = np.zeros((len(rows), len(vocabulary) + 1))
+    for i, each in enumerate(grams):
+        for g, n in Counter(each).items():
+            if g in vocabulary:
+                x[i, vocabulary[g]] = (1 + math.log(n)) * (1 + math.log((1 + len(rows)) / (1 + frequency[g])))
+        x[i] /= np.linalg.norm(x[i]) or 1
+    x[:, -1] = 1
+    y = np.array([r[2] for r in rows])
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    penalty = np.append(np.ones(len(vocabulary)), 0)
+    w = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        slope = x.T @ (weight * (p - y)) + penalty * w
+        w -= np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + np.diag(penalty), slope)
+    want = 1 / (1 + np.exp(-x @ w))
+    assert max(abs(got[i] - want[i]) for i in got) < 1e-6
+
+
 def test_threshold_is_an_order_statistic_of_all_scores(spark):
     scores = [(i * 37 % 101) / 101 for i in range(400)] + [0.5] * 200
     rows = spark.createDataFrame([(0, s) for s in scores] + [(1, 0.999)] * 5, "binary_target int, score double")

@@ -49,7 +49,7 @@ def test_select_tokens(spark):
 
 def test_pilot_and_literary(spark):
     books = {f"w{i}_fr": {"source_paras": [f"source {i} {k}" for k in range(2)], "gt_paras": [f"machine words {i} {k}" for k in range(2)], "translator_data": {"t": {"translator_paras": [f"human words {i} {k}" for k in range(2)]}}} for i in range(5)}
-    records = readers.aligned_paragraphs(readers.books_frame(spark, books), 2, 20)
+    records = readers.aligned_paragraphs(spark.createDataFrame([(k, v["source_paras"], v["gt_paras"], {n: x["translator_paras"] for n, x in v["translator_data"].items()}) for k, v in books.items()], readers.BOOKS), 2, 20)
     made = pipelines.literary(records)
     assert {r["split"] for r in made["records"].collect()} == {"train", "validation", "test"} and made["binary"].count() == 20
     assert pipelines.pilot(records)["summary"].first()["records"] == 20
@@ -77,6 +77,7 @@ def test_strict_core(spark):
     row = ("s1", "p1", text, [0, len(text)], "g", "train", "hansard", "uk-hansard-lords-written-answers", "UK Parliament", "en", meta, "2005-03-02", "lordswrans2005-03-02a", None, None, gates.PARLIAMENT_LICENSE, None, "human_candidate", None, None)
     names = "id string, parent_document_id string, text string, character_range array<int>, split_group string, split string, dataset string, source string, publisher string, language string, metadata struct<language:string, year:string>, publication_date string, original_id string, last_known_update_date string, text_version_date string, license string, license_review_status string, authorship string, binary_target int, engine string"
     span = spark.createDataFrame([row], names)
+    span = span.withColumns({"text_sha256": F.sha2("text", 256), "whitespace_words": F.lit(len(text.split()))})
     parent = span.withColumn("id", F.lit("p1"))
     policy = gates.CorePolicy(minimum_words=5)
     kept, excluded = pipelines.strict_core(span, parent, policy)
@@ -84,5 +85,10 @@ def test_strict_core(spark):
     assert pipelines.strict_core(span, parent, gates.CorePolicy(minimum_words=500))[1].first()["reason"] == "outside_word_bounds"
     with pytest.raises(Exception, match="differs from parent"):
         pipelines.strict_core(span, parent.withColumn("split", F.lit("test")), policy)[0].collect()
+    with pytest.raises(Exception, match="source policy disagree"):
+        pipelines.strict_core(span, parent.withColumn("publisher", F.lit("x")), policy)[0].collect()
+    for broken in (span.withColumn("text_sha256", F.lit("0")), span.withColumn("whitespace_words", F.lit(3))):
+        with pytest.raises(Exception, match="integrity differs"):
+            pipelines.strict_core(broken, parent, policy)[0].collect()
     with pytest.raises(Exception, match="missing parent"):
         pipelines.strict_core(span, parent.withColumn("id", F.lit("other")), policy)[0].collect()
