@@ -413,13 +413,26 @@ def record_splits(spark, sf):
     return splits.assign_splits(rows).select("doc_id", "split_group", "split")
 
 
-@query(f"""WITH RECURSIVE r AS (SELECT doc_id AS id, {_PLAIN} AS p, source || '/' || length(text) AS u, (source = 'src0')::INT AS rank, {_N} AS w FROM documents), k AS (SELECT id, 't' || p AS k FROM r UNION ALL SELECT id, 'u' || u FROM r),
-  e AS (SELECT DISTINCT a.id AS a, b.id AS b FROM k a JOIN k b USING (k) WHERE a.id <> b.id), c AS (SELECT id, id AS root FROM r UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.id WHERE c.root < e.b), g AS (SELECT id, min(root) AS g FROM c GROUP BY 1)
+_ARTICLES = f"""WITH RECURSIVE r AS (SELECT doc_id AS id, {_PLAIN} AS p, source || '/' || length(text) AS u, (source = 'src0')::INT AS rank, {_N} AS w FROM documents), k AS (SELECT id, 't' || p AS k FROM r UNION ALL SELECT id, 'u' || u FROM r),
+  e AS (SELECT DISTINCT a.id AS a, b.id AS b FROM k a JOIN k b USING (k) WHERE a.id <> b.id), c AS (SELECT id, id AS root FROM r UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.id WHERE c.root < e.b), g AS (SELECT id, min(root) AS g FROM c GROUP BY 1)"""
+
+
+def _articles(spark, sf):
+    rows = _docs(spark, sf).select(F.col("doc_id").alias("id"), "text", F.concat("source", F.lit("/"), F.length("text").cast("string")).alias("canonical_url"), F.when(F.col("source") == "src0", "unknown").otherwise("open").alias("license"), t.word_count(F.col("text")).alias("whitespace_words"))
+    return dedup.article_groups(rows)
+
+
+@query(f"""{_ARTICLES}
   SELECT g AS split_group, arg_min(id, (rank, -w, id)) AS retained_id, count(*) AS members FROM g JOIN r USING (id) GROUP BY 1""")
 def article_groups(spark, sf):
-    rows = _docs(spark, sf).select(F.col("doc_id").alias("id"), "text", F.concat("source", F.lit("/"), F.length("text").cast("string")).alias("canonical_url"), F.when(F.col("source") == "src0", "unknown").otherwise("open").alias("license"), t.word_count(F.col("text")).alias("whitespace_words"))
-    kept, _ = dedup.article_groups(rows)
-    return kept.select("split_group", F.col("id").alias("retained_id"), F.size("equivalent_record_ids").cast("long").alias("members"))
+    return _articles(spark, sf)[0].select("split_group", F.col("id").alias("retained_id"), F.size("equivalent_record_ids").cast("long").alias("members"))
+
+
+@query(f"""{_ARTICLES}, b AS (SELECT g, arg_min(id, (rank, -w, id)) AS retained_id FROM g JOIN r USING (id) GROUP BY 1)
+  SELECT id, retained_id, g AS split_group FROM g JOIN b USING (g) WHERE id <> retained_id""")
+def article_duplicates(spark, sf):
+    """The other side of article_groups: every row that isn't retained, with the one that is."""
+    return _articles(spark, sf)[1].select("id", "retained_id", F.col("group").alias("split_group"))
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
