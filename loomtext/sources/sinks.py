@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,15 +57,41 @@ def manifest(spark: SparkSession, path: str, counts: Mapping[str, DataFrame], **
     return body
 
 
+#: Identities in one piece of the list that selection_identity hashes.
+PIECE_ROWS = 5_000
+
+
 def selection_identity(rows: DataFrame, keys: Sequence[str], id: str = "id") -> str:
-    """SHA-256 of the canonical JSON of the rows' identity columns in order of id; streams the identities to the driver, in order,
-    so nothing but one row is held."""
-    digest, first = hashlib.sha256(b"["), True
-    for row in rows.select(*keys).orderBy(id).toLocalIterator():
-        digest.update((b"" if first else b",") + canonical_json(row.asDict()).encode())
-        first = False
-    digest.update(b"]")
-    return digest.hexdigest()
+    """SHA-256 of the canonical JSON of the list of the rows' identity columns, in order of id.
+
+    Rows are put in order and written to text in ranges; such a digest is sequential, so one task then hashes the pieces, one at a time.
+    """
+    names = list(dict.fromkeys([*keys, id]))
+    ordered = rows.select(*names).repartitionByRange(id).sortWithinPartitions(id)
+
+    def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, number = TaskContext.get().partitionId(), 0
+        for frame in frames:
+            for begin in range(0, len(frame), PIECE_ROWS):
+                # values come as JSON, so null numbers stay null and whole
+                some = frame.iloc[begin : begin + PIECE_ROWS].itertuples(index=False)
+                held = [canonical_json({k: json.loads(v)["v"] for k, v in zip(keys, row, strict=True)}) for row in some]
+                yield pd.DataFrame({"part": [part], "number": [number], "body": [",".join(held)]})
+                number += 1
+
+    def digest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state, first = hashlib.sha256(b"["), True
+        for frame in frames:
+            for body in frame["body"]:
+                state.update(("" if first else ",").encode() + body.encode())
+                first = False
+        state.update(b"]")
+        yield pd.DataFrame({"identity": [state.hexdigest()]})
+
+    coded = ordered.select(*[F.to_json(F.struct(F.col(k).alias("v")), {"ignoreNullFields": "false"}).alias(f"_{i}") for i, k in enumerate(keys)])
+    listed = coded.mapInPandas(pieces, "part int, number int, body string")
+    found = listed.repartition(1).sortWithinPartitions("part", "number").mapInPandas(digest, "identity string").first()
+    return found[0] if found else hashlib.sha256(b"[]").hexdigest()
 
 
 def content_identity(rows: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 import json
 import zipfile
 
@@ -128,6 +129,14 @@ def test_sinks(spark, tmp_path):
     assert sinks.content_identity(rows).first() == sinks.content_identity(rows.orderBy("id").repartition(3)).first()
     assert sinks.content_identity(rows).first() != sinks.content_identity(rows.unionByName(rows)).first()
     assert sinks.selection_identity(rows, ["id", "split"]) == sinks.selection_identity(rows.orderBy("n"), ["id", "split"])
+    listed = [{"id": "a", "n": None, "split": "test"}, {"id": "b", "n": 1, "split": "train"}]
+    for keys in (["id", "split"], ["n", "id"]):
+        plain = json.dumps([{k: r[k] for k in keys} for r in listed], sort_keys=True, separators=(",", ":"))
+        assert sinks.selection_identity(rows, keys) == hashlib.sha256(plain.encode()).hexdigest()
+    many = spark.range(20_000).selectExpr("id", "id % 7 AS split").repartition(5)
+    plain = "[" + ",".join(f'{{"id":{i},"split":{i % 7}}}' for i in range(20_000)) + "]"
+    assert sinks.selection_identity(many, ["id", "split"]) == hashlib.sha256(plain.encode()).hexdigest()
+    assert sinks.selection_identity(rows.limit(0), ["id"]) == hashlib.sha256(b"[]").hexdigest()
     made = sinks.manifest(spark, str(tmp_path / "manifest.json"), {"rows": rows.agg(F.count("*").alias("n"))}, name="x")
     assert json.loads((tmp_path / "manifest.json").read_text())["counts"]["rows"]["n"] == 2 == made["counts"]["rows"]["n"]
 
