@@ -76,7 +76,7 @@ def fit(training: DataFrame, text: str = "text", label: str = "binary_target", f
     inverse = Vectors.dense(IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf.toArray() + 1.0)
     shaped = PipelineModel([ElementwiseProduct(scalingVec=inverse, inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol="_features")])
     # the penalty is on the coefficients as they are
-    classifier = LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight", regParam=1.0 / total, standardization=False, maxIter=1000, tol=1e-10).fit(shaped.transform(counted))
+    classifier = LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight", regParam=1.0 / total, standardization=False, maxIter=1000, tol=1e-8).fit(shaped.transform(counted))
     return Detector(counts, shaped, classifier)
 
 
