@@ -200,20 +200,22 @@ def _strict(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 _TOKENS = f"regexp_extract_all({{0}}, '[^{t.SPACE}]+')"
+#: The attributions of the strict gate, and whether what follows asks.
+_ASKED = gates.ATTRIBUTION + r"((?i:asked\b|To\s+ask\b)?)"
 _STRICT = rf"""b AS (SELECT doc_id, lang, {_DAY} AS d, CASE WHEN doc_id % 5 = 0 THEN 'Lord Avebury: It is.' || chr(10) || coalesce(text, '') || chr(10) || 'Baroness Blake: asked why?' WHEN doc_id % 6 = 0 THEN coalesce(text, '')
     ELSE 'Lord Avebury: asked Her Majesty what follows.' || chr(10) || coalesce(text, '') || chr(10) || 'Baroness Blake: It is so.' END AS x FROM documents),
   c AS (SELECT doc_id, lang, d, CASE WHEN doc_id % 29 = 0 THEN x || ' made by Google Translate' WHEN doc_id % 31 = 0 THEN x || ' possibly truncated question' ELSE x END AS text FROM b),
   m AS (SELECT *, {_TOKENS.format('text')} AS w, list_filter(string_split_regex(text, '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: len({_TOKENS.format('x')}) > 0) AS l FROM c),
   k AS (SELECT *, len(list_filter(w, lambda x: regexp_matches(x, '[\p{{Nd}}²³¹⁰⁴-⁹₀-₉]'))) / greatest(1, len(w)) AS digit, len(list_filter(l, lambda x: len(list_filter({_TOKENS.format('x')}, lambda y: regexp_matches(y, '[\p{{Nd}}²³¹⁰⁴-⁹₀-₉]'))) / len({_TOKENS.format('x')}) >= 0.4)) / greatest(1, len(l)) AS num,
     len(list_filter(l, lambda x: regexp_matches(x, '^[{t.SPACE}]*\t[{t.SPACE}]*\t'))) / greatest(1, len(l)) AS tab, len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) / greatest(1, len(w)) AS alpha,
-    regexp_extract_all(text, '(?m)^[ \t]*((?:Lord|Baroness|Earl|Viscount|The\s+(?:Lord|Earl|Viscount|Baroness|Archbishop|Bishop))[^:\n]{{1,110}}):[ \t]*((?i:asked\b|To\s+ask\b)?)', 1) AS who,
-    regexp_extract_all(text, '(?m)^[ \t]*((?:Lord|Baroness|Earl|Viscount|The\s+(?:Lord|Earl|Viscount|Baroness|Archbishop|Bishop))[^:\n]{{1,110}}):[ \t]*((?i:asked\b|To\s+ask\b)?)', 2) AS asks FROM m),
+    regexp_extract_all(text, '{_ASKED}', 1) AS who,
+    regexp_extract_all(text, '{_ASKED}', 2) AS asks FROM m),
   q AS (SELECT *, list_position(list_transform(asks, lambda x: x <> ''), true) AS first_ask FROM k)"""
 _SOURCE_RULES = [
     ("source_outside_strict_core", "doc_id % 41 = 0"), ("missing_english_provenance", "coalesce(lang, '') <> 'en'"), ("date_id_year_disagreement", "doc_id % 43 = 0 AND d <> DATE '1990-01-01'"), ("publication_after_strict_cutoff", "d > DATE '2010-12-31'"),
     ("known_text_version_after_strict_cutoff", "doc_id % 47 = 0"), ("missing_or_disputed_parliamentary_license", "doc_id % 37 = 0"),
 ]
-_NOTICE = r"(?i)\b(?:computer[ -]generated|machine[ -]generated|automatically\s+generated|machine\s+translation|automatically\s+translated|google\s+translate|deepl|babelfish|systran|chatgpt|gpt[ -]?[234])\b"
+_NOTICE = gates.NOTICE.replace("(?U)", "")
 
 
 @query(f"WITH f AS (SELECT doc_id, lang, {_DAY} AS d FROM documents) SELECT doc_id, {_case(_SOURCE_RULES)} AS reason FROM f")
