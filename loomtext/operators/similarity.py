@@ -1,9 +1,10 @@
 """Similar texts: word shingles, exact and banded retrieval, verified edges, greedy keep and grouping.
 
 A shingle is a 64-bit hash of `width` consecutive words (with inner apostrophes) of the normalized text. Exact mode finds
-every pair of at least the threshold. Shingles are ordered by how rare they are, and two sets of Jaccard similarity s or more share one
-of the first n - ceil(s n) + 1 (prefix). Where they share one, its places bound how much can be common (position), and so does the sum of the
-smaller counts of both sets in PARTITIONS groups of shingles (suffix). Banded mode retrieves by MinHash bands.
+every pair of at least the threshold. Shingles are ordered by value, those known to be common behind all others, and two sets of Jaccard similarity s
+or more share one of the first n - ceil(s n) + 1 (prefix), whatever the order. Where they share one, its places bound how much can be common (position), and so
+does the sum of the smaller counts of both sets in PARTITIONS groups of shingles (suffix). Only prefixes, and the whole sets of candidates, are ever shuffled.
+Banded mode retrieves by MinHash bands.
 
 What shares a shingle or a band is a bucket. It is cut into blocks of some PART sets, and every two blocks are a cell: a task reads its cells one
 after the other and compares them in arrays, so what doesn't pass the bounds never is a row, and a bucket of any size has cells of bounded size.
@@ -30,6 +31,8 @@ BANDS, ROWS = 16, 8
 PART = 256
 #: Groups of shingles whose counts bound what two sets can have in common.
 PARTITIONS = 64
+#: Shingles that are read to learn which are common, and how often one must be among them. They only order the shingles, which no result depends on.
+ORDER_SHINGLES, COMMON = 4_000_000, 4
 #: Postings (an id and two numbers) up to which `overlaps` broadcasts its other side; beyond, both sides are shuffled.
 BROADCAST_POSTINGS = 500_000
 #: The modulus of the permutations, and the bits of a value that a signature keeps.
@@ -65,9 +68,17 @@ def jaccard(a, b):
     return F.when(union > 0, common / union).otherwise(F.lit(0.0))
 
 
+def _sets_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets that pairs (first, second) name, so that no others are shuffled; pairs is a working table."""
+    ids = pairs.select(F.col("first").alias("id")).unionByName(pairs.select(F.col("second").alias("id"))).distinct()
+    return sets.join(materialise(ids, "named"), "id", "left_semi")
+
+
 def pair_scores(pairs: DataFrame, sets: DataFrame, minimum: float = 0.0) -> DataFrame:
     """(first, second, jaccard, word_ratio) of pairs of at least `minimum`; the size bound comes before the sets are compared."""
-    side = lambda name: sets.select(F.col("id").alias(name), F.col("shingles").alias(f"{name}_set"), F.col("words").alias(f"{name}_words"))
+    pairs = written(pairs, "named-pairs")
+    named = _sets_of(pairs, sets)
+    side = lambda name: named.select(F.col("id").alias(name), F.col("shingles").alias(f"{name}_set"), F.col("words").alias(f"{name}_words"))
     both = pairs.join(side("first"), "first").join(side("second"), "second")
     a, b = F.size("first_set"), F.size("second_set")
     both = both.where(F.least(a, b) >= minimum * F.greatest(a, b))
@@ -76,18 +87,42 @@ def pair_scores(pairs: DataFrame, sets: DataFrame, minimum: float = 0.0) -> Data
     return scored.select("first", "second", "jaccard", ratio.alias("word_ratio"))
 
 
-def _collapsed(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sets, copies, ones): sets that have an id and aren't empty, pairs of copies with the least id of their equals, and one row a set."""
-    keyed = sets.where((F.size("shingles") > 0) & F.col("id").isNotNull()).withColumn("digest", F.md5(F.array_join(F.col("shingles").cast("array<string>"), ",")))
+def _digests(sets: DataFrame) -> DataFrame:
+    """(id, words, n, digest) of every set that has an id and isn't empty."""
+    kind = sets.schema["id"].dataType.simpleString()
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            values, ends = batch.column("shingles").values.to_numpy(), batch.column("shingles").offsets.to_numpy()
+            each = [hashlib.md5(values[lo:hi].tobytes(), usedforsecurity=False).digest() for lo, hi in zip(ends, ends[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("words"), pa.array(np.diff(ends), pa.int64()), pa.array(each, pa.binary())], ["id", "words", "n", "digest"])
+
+    whole = sets.where((F.size("shingles") > 0) & F.col("id").isNotNull())
+    return whole.select("id", F.col("words").cast("long").alias("words"), "shingles").mapInArrow(run, f"id {kind}, words long, n long, digest binary")
+
+
+def _collapsed(sets: DataFrame, among: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sets, copies, ones): sets, pairs of copies with the least id of their equals, and one row a set, of those that have an id (in `among`, if given) and aren't empty.
+
+    Whole sets are written once; digests find the copies, and ids leave them out.
+    """
+    sets = written(sets, "shingles")
+    keyed = _digests(sets)
+    if among is not None:
+        keyed = keyed.join(among.select("id").distinct(), "id", "left_semi")
     keyed = materialise(keyed, "sets")
     # equal sets collapse before anything is paired: a group of n copies makes n-1 pairs with its least id
     least = keyed.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("copies")).where("copies > 1")
     copies = materialise(keyed.select("id", "words", "digest").join(least, "digest").select("id", "words", "least"), "copies")
-    ones = keyed.join(copies.where("id <> least").select("id"), "id", "left_anti").drop("digest")
+    out = copies.where("id <> least").select("id")
+    whole = sets.where((F.size("shingles") > 0) & F.col("id").isNotNull())
+    if among is not None:
+        out = out.unionByName(whole.select("id").join(keyed.select("id"), "id", "left_anti"))
+    ones = whole.join(materialise(out, "left-out"), "id", "left_anti")
     words = copies.where("id = least").select("least", F.col("words").alias("least_words"))
     ratio = F.least("words", "least_words") / F.greatest("words", "least_words")
     pairs = copies.where("id <> least").join(words, "least").select(F.col("least").alias("first"), F.col("id").alias("second"), F.lit(1.0).alias("jaccard"), ratio.alias("word_ratio"))
-    return keyed.drop("digest"), pairs, ones
+    return keyed, pairs, ones
 
 
 def _cells(members: DataFrame, bucket: str, compare: Callable[[dict[str, list], np.ndarray, np.ndarray], list[tuple]], schema: str) -> DataFrame:
@@ -160,42 +195,83 @@ def _histograms(ones: DataFrame) -> DataFrame:
     return ones.select("id", "shingles").mapInArrow(run, f"id {kind}, n long, parts binary")
 
 
+def _common_shingles(ones: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles, ascending, that are common among ORDER_SHINGLES, and how often they were met there."""
+    total = ones.agg(F.sum(F.size("shingles").cast("long"))).first()[0] or 0
+    every = max(1, -(-total // ORDER_SHINGLES))
+    some = ones.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select(F.explode("shingles").alias("shingle"))
+    found = some.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
+    values, counts = found.column("shingle").to_numpy(), found.column("n").to_numpy()
+    order = np.argsort(values)
+    return values[order], counts[order]
+
+
+def _prefixes(ones: DataFrame, minimum: float) -> DataFrame:
+    """(shingle, id, n, place) of the first shingles of every set, in the order of the operator; places count from 1."""
+    kind = ones.schema["id"].dataType.simpleString()
+    common, counts = _common_shingles(ones)
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            values, ends = batch.column("shingles").values.to_numpy(), batch.column("shingles").offsets.to_numpy()
+            sizes = np.diff(ends)
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            values = values[ends[0] : ends[-1]]
+            rank = np.zeros(len(values), dtype=np.int64)
+            if len(common):
+                at = np.minimum(np.searchsorted(common, values), len(common) - 1)
+                rank = np.where(common[at] == values, counts[at], 0)
+            order = np.lexsort((values, rank, row))
+            place = np.arange(len(values)) - np.repeat(ends[:-1] - ends[0], sizes) + 1
+            taken = place <= (sizes - np.ceil(sizes * minimum - 1e-9).astype(np.int64) + 1)[row]
+            row, values, place = row[taken], values[order][taken], place[taken]
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), batch.column("id").take(pa.array(row)), pa.array(sizes[row], pa.int32()), pa.array(place, pa.int32())], ["shingle", "id", "n", "place"])
+
+    return ones.select("id", "shingles").mapInArrow(run, f"shingle long, id {kind}, n int, place int")
+
+
+def _within_histograms(pairs: DataFrame, ones: DataFrame, minimum: float) -> DataFrame:
+    """The pairs (first, second) that pass the suffix bound; pairs is a working table."""
+    kind = ones.schema["id"].dataType.simpleString()
+    counts = _histograms(_sets_of(pairs, ones))
+    side = lambda name: counts.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("parts").alias(f"{name}_parts"))
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            n, m = batch.column("first_n").to_numpy(), batch.column("second_n").to_numpy()
+            parts = lambda name: np.frombuffer(b"".join(batch.column(name).to_pylist()), dtype="<u2").reshape(batch.num_rows, PARTITIONS)  # noqa: E731,B023
+            common = np.minimum(parts("first_parts"), parts("second_parts")).sum(axis=1, dtype=np.int64)
+            fit = (common >= minimum * (n + m) / (1 + minimum) - 1e-9) | (np.maximum(n, m) > 65_535)
+            yield batch.select(["first", "second"]).filter(pa.array(fit))
+
+    both = pairs.join(side("first"), "first").join(side("second"), "second")
+    return both.mapInArrow(run, f"first {kind}, second {kind}")
+
+
 def prefix_candidates(ones: DataFrame, minimum: float = 0.8) -> DataFrame:
     """(first, second) of different sets that pass the bounds of size, prefix, position and suffix: a superset of the pairs of at least `minimum`."""
     kind = ones.schema["id"].dataType.simpleString()
-    postings = ones.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    frequency = postings.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    # shingles of one text only come first in the order and pair nothing, so they are counted, not joined
-    shared = postings.join(frequency, "shingle")
-    own = Window.partitionBy("id")
-    shared = shared.withColumns({"r": F.row_number().over(own.orderBy("df", "shingle")), "n_shared": F.count("*").over(own)})
-    place = F.col("n") - F.col("n_shared") + F.col("r")
-    prefix = shared.where(place <= F.col("n") - F.ceil(F.col("n") * minimum) + 1).select("id", "shingle", place.cast("long").alias("place"))
-    members = prefix.join(_histograms(ones), "id").select("shingle", "id", "n", "place", "parts")
+    met = _prefixes(ones, minimum).withColumn("_met", F.count("*").over(Window.partitionBy("shingle"))).where("_met > 1").drop("_met")
+    members = materialise(met, "prefixes")
 
     def compare(cell: dict[str, list], left: np.ndarray, right: np.ndarray) -> list[tuple]:
-        n, place = np.array(cell["n"]), np.array(cell["place"])
-        parts = np.frombuffer(b"".join(cell["parts"]), dtype="<u2").reshape(len(n), PARTITIONS).astype(np.int32)
+        n, place = np.array(cell["n"], dtype=np.int64), np.array(cell["place"], dtype=np.int64)
         ids, out = cell["id"], []
         for i in left.tolist():
             others = right[right > i] if left is right else right
             m = n[others]
             needed = np.ceil(minimum * (n[i] + m) / (1 + minimum) - 1e-9)
             fit = (np.minimum(n[i], m) >= minimum * np.maximum(n[i], m) - 1e-9) & (np.minimum(place[i], place[others]) + np.minimum(n[i] - place[i], m - place[others]) >= needed)
-            others, needed = others[fit], needed[fit]
-            if len(others):
-                common = np.minimum(parts[i], parts[others]).sum(axis=1)
-                fit = (common >= needed) | (np.maximum(n[i], n[others]) > 65_535)
-                out += [(ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i]) for j in others[fit].tolist()]
+            out += [(ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i]) for j in others[fit].tolist()]
         return out
 
-    return _cells(members, "shingle", compare, f"first {kind}, second {kind}").distinct()
+    found = materialise(_cells(members, "shingle", compare, f"first {kind}, second {kind}").distinct(), "candidates")
+    return _within_histograms(found, ones, minimum)
 
 
-def similar_pairs(sets: DataFrame, minimum: float = 0.8) -> DataFrame:
-    """All pairs of at least `minimum` (first < second), exactly. Equal sets are paired through one of them only."""
-    _, copies, ones = _collapsed(sets)
-    ones = materialise(ones, "ones")
+def similar_pairs(sets: DataFrame, minimum: float = 0.8, among: DataFrame | None = None) -> DataFrame:
+    """All pairs of at least `minimum` (first < second), exactly, of all sets or of those whose ids are in `among`. Equal sets are paired through one of them only."""
+    _, copies, ones = _collapsed(sets, among)
     return pair_scores(prefix_candidates(ones, minimum), ones, minimum).unionByName(copies)
 
 

@@ -87,8 +87,8 @@ def near_duplicate_violations(rows: DataFrame, kept: DataFrame, removed: DataFra
     kind = F.when(F.col("_kept").isNull(), "retained row is not kept").when(~F.coalesce(F.col("_before") < F.col("_rank"), F.lit(False)), "retained row ranks behind").when(F.col("_near").isNull(), "not a near copy")
     broken = judged.select(kind.alias("violation"), F.col("first").alias("id"), F.col("second").alias("other_id")).where("violation IS NOT NULL")
     # what the greedy rule would still remove from the kept rows
-    left = materialise(sets.join(kept.select("id").distinct(), "id", "left_semi"), "kept-sets")
-    again = keep_distinct(ranks.join(kept.select("id").distinct(), "id", "left_semi"), left, similar_pairs(left, min(0.8, similarity)), similarity, word_ratio)[1]
+    listed = materialise(kept.select("id").distinct(), "listed")
+    again = keep_distinct(ranks.join(listed, "id", "left_semi"), sets, similar_pairs(sets, min(0.8, similarity), listed), similarity, word_ratio)[1]
     again = again.select(F.lit("kept rows are near copies").alias("violation"), F.col("removed_id").alias("id"), F.col("retained_id").alias("other_id"))
     out = kept.select("id").unionByName(removed.select(F.col("removed_id").alias("id")))
     if rejected is not None:

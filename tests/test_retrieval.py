@@ -101,3 +101,27 @@ def test_sets_without_an_id_pair_nothing(spark):
     frame = spark.createDataFrame([(1, [1, 2, 3], 3), (None, [1, 2, 3], 3), (None, [1, 2, 4], 3), (2, [], 0), (3, [1, 2, 3], 3)], "id long, shingles array<long>, words long")
     for found in (similarity.similar_pairs(frame, 0.5), similarity.banded_pairs(frame, 0.5)):
         assert [tuple(r) for r in found.collect()] == [(1, 3, 1.0, 1.0)]
+
+
+def test_only_prefixes_and_candidates_leave_the_sets(spark, monkeypatch):
+    """Whole sets are written once, and not at all when they are a working table; what is shuffled of them is their first shingles and the candidates."""
+    draw = random.Random(5)
+    sets = {i: set(draw.sample(range(10**9), 500)) for i in range(200)}
+    sets |= {200: set(sorted(sets[0])[5:]) | {1}, 201: sets[3], 202: set(sorted(sets[4])[:300])}
+    labels = {}
+    keep = similarity.materialise
+
+    def noted(df, label):
+        labels[label] = keep(df, label)
+        return labels[label]
+
+    monkeypatch.setattr(similarity, "materialise", noted)
+    frame = keep(_sets(spark, sets), "given")
+    found = {(r["first"], r["second"]) for r in similarity.similar_pairs(frame, 0.8).collect()}
+    assert found == {(0, 200), (3, 201)}
+    assert not any("shingles" in t.columns for t in labels.values()) and labels["prefixes"].count() < 400  # of 101,000 shingles
+    # the order of common shingles moves no result; ids outside are as if they were not there
+    monkeypatch.setattr(similarity, "COMMON", 1)
+    assert {(r["first"], r["second"]) for r in similarity.similar_pairs(frame, 0.8).collect()} == found
+    among = frame.select("id").where("id <> 3")
+    assert {(r["first"], r["second"]) for r in similarity.similar_pairs(frame, 0.8, among).collect()} == {(0, 200)}
