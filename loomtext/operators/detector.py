@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialise, small_batches
 from .evaluate import choose_threshold, evaluate
 
 FEATURES, MIN_DOCUMENTS, LENGTHS = 75_000, 3, (3, 4, 5)
+#: Texts, and their bytes, whose n-grams a worker holds at a time; they take some two hundred times the memory of the text.
+BATCH_ROWS, BATCH_BYTES = 64, "256k"
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -63,7 +66,12 @@ class Detector:
 
 
 def fit(training: DataFrame, text: str = "text", label: str = "binary_target", features: int = FEATURES) -> Detector:
-    """Features and classifier from the training rows alone; classes weigh the same."""
+    """Features and classifier from the training rows alone; classes weigh the same. N-grams are made of small Arrow batches."""
+    with small_batches(training.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        return _fitted(training, text, label, features)
+
+
+def _fitted(training: DataFrame, text: str, label: str, features: int) -> Detector:
     kinds = {r[0]: r[1] for r in training.groupBy(label).count().collect()}
     if set(kinds) != {0, 1}:
         raise ValueError("both classes are needed")
@@ -83,6 +91,7 @@ def fit(training: DataFrame, text: str = "text", label: str = "binary_target", f
 def train_and_report(rows: DataFrame, maximum_fpr: float = 0.01, **options) -> tuple[Detector, DataFrame]:
     """Fit on train, choose the threshold on validation, report on test (rows have the slice columns of evaluate)."""
     model = fit(rows.where("split = 'train' AND binary_target IS NOT NULL"), **options)
-    scored = model.score(rows.where("split <> 'train' AND binary_target IS NOT NULL"))
+    with small_batches(rows.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        scored = materialise(model.score(rows.where("split <> 'train' AND binary_target IS NOT NULL")).drop("text"), "scored")
     model.threshold = choose_threshold(scored.where("split = 'validation'"), maximum_fpr)
     return model, evaluate(scored, model.threshold, "test")
