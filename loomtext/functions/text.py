@@ -27,6 +27,12 @@ def normalized(text: pd.Series) -> pd.Series:
     return pd.Series([fold(t) for t in text], dtype=object)
 
 
+@F.pandas_udf(T.StringType())
+def lowered(text: pd.Series) -> pd.Series:
+    """Lower case character by character, as DuckDB's lower() has it: two capitals are else more than one character, or depend on their place."""
+    return pd.Series([None if t is None else t.replace("İ", "i").replace("Σ", "σ").lower() for t in text], dtype=object)
+
+
 def text_hash(text: Column) -> Column:
     return F.sha2(text, 256)
 

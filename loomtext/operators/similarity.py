@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import normalized
+from ..functions.text import lowered, normalized
 from ..session import materialise, written
 from .graph import connected_components
 
@@ -40,10 +41,16 @@ PRIME, VALUE = (1 << 61) - 1, (1 << 32) - 1
 _WORD = re.compile(r"\w+(?:['’]\w+)*")
 
 
-def shingle_sets(rows: DataFrame, id: str = "id", text: str = "text", width: int = WIDTH) -> DataFrame:
+def _words(plain: str, marked: bool) -> list[str]:
+    marks = "".join(c for c in set(plain) if unicodedata.category(c)[0] == "M") if marked and not plain.isascii() else ""
+    return (re.compile(rf"[\w{marks}]+(?:['’][\w{marks}]+)*") if marks else _WORD).findall(plain)
+
+
+def shingle_sets(rows: DataFrame, id: str = "id", text: str = "text", width: int = WIDTH, as_sql: bool = False) -> DataFrame:
     """(id, shingles array<long> sorted and distinct, words) of every row; texts of fewer words have an empty set. Ids pass untouched, null ones too.
 
-    A shingle is the first eight bytes of the MD5 of its words joined by blanks, which SQL can compute as well, less 2^63.
+    A shingle is the first eight bytes of the MD5 of its words joined by blanks, which SQL can compute as well, less 2^63. With `as_sql`, texts are
+    lower-cased only, and combining marks belong to words, as in the SQL of the queries.
     """
     kind = rows.schema[id].dataType.simpleString()
 
@@ -51,13 +58,13 @@ def shingle_sets(rows: DataFrame, id: str = "id", text: str = "text", width: int
         for batch in found:
             sets, counts = [], []
             for body, plain in zip(batch.column("text").to_pylist(), batch.column("plain").to_pylist(), strict=True):
-                words = [w.encode() for w in _WORD.findall(plain or "")]
+                words = [w.encode() for w in _words(plain or "", as_sql)]
                 each = b"".join({hashlib.md5(b" ".join(words[i : i + width]), usedforsecurity=False).digest()[:8] for i in range(len(words) - width + 1)})
                 sets.append(np.sort((np.frombuffer(each, dtype=">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)))
                 counts.append(len((body or "").split()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64())), pa.array(counts, pa.int64())], ["id", "shingles", "words"])
 
-    slim = rows.select(F.col(id).alias("id"), F.col(text).alias("text"), normalized(F.col(text)).alias("plain"))
+    slim = rows.select(F.col(id).alias("id"), F.col(text).alias("text"), (lowered if as_sql else normalized)(F.col(text)).alias("plain"))
     return slim.mapInArrow(run, f"id {kind}, shingles array<bigint>, words long")
 
 
@@ -423,10 +430,12 @@ def keep_distinct(ranked: DataFrame, sets: DataFrame, pairs: DataFrame, similari
 
 
 def overlaps(sets: DataFrame, others: DataFrame, minimum: float) -> DataFrame:
-    """(id, other_id, containment): share of the other text's shingles that a text holds, at least `minimum`."""
+    """(id, other_id, containment): share of the other text's shingles that a text holds, at least `minimum`. Rows of one id are one text; others without an id are none."""
     left = sets.select("id", F.explode("shingles").alias("shingle"))
-    right = materialise(others.select(F.col("id").alias("other_id"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "postings")
+    right = materialise(others.where("id IS NOT NULL").select(F.col("id").alias("other_id"), F.explode("shingles").alias("shingle")).distinct(), "postings")
+    size = right.groupBy("other_id").agg(F.count("*").alias("n"))
     if right.count() <= BROADCAST_POSTINGS:
-        right = F.broadcast(right)
-    common = left.join(right, "shingle").groupBy("id", "other_id").agg((F.count("*") / F.first("n")).alias("containment"))
-    return common.where(F.col("containment") >= minimum)
+        right, size = F.broadcast(right), F.broadcast(size)
+    # a shingle counts once for an id, however many rows have it
+    common = left.join(right, "shingle").distinct().groupBy("id", "other_id").agg(F.count("*").alias("c")).join(size, "other_id")
+    return common.select("id", "other_id", (F.col("c") / F.col("n")).alias("containment")).where(F.col("containment") >= minimum)

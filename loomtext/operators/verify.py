@@ -69,14 +69,14 @@ def verify_curated(scanned: DataFrame, retained: DataFrame, rejected: DataFrame,
     })
 
 
-def near_duplicate_violations(rows: DataFrame, kept: DataFrame, removed: DataFrame, rejected: DataFrame | None = None, similarity: float = 0.92, word_ratio: float = 0.85) -> DataFrame:
+def near_duplicate_violations(rows: DataFrame, kept: DataFrame, removed: DataFrame, rejected: DataFrame | None = None, similarity: float = 0.92, word_ratio: float = 0.85, sets: DataFrame | None = None) -> DataFrame:
     """(violation, id, other_id): where a near-duplicate release breaks its own certificate, recomputed from the texts.
 
     rows (id, text, rank) are all that went in, kept (id), removed (removed_id, retained_id) and rejected (id) what came out. A removed row
     must name a retained one that is kept, ranks before it and is a near copy by both bounds; no two kept rows may be near copies by both; and every
-    row must have come out exactly once.
+    row must have come out exactly once. Shingle sets of the texts may be given.
     """
-    sets = materialise(shingle_sets(rows), "verified-sets")
+    sets = materialise(shingle_sets(rows), "verified-sets") if sets is None else sets
     ranks = rows.select("id", "rank")
     named = removed.select(F.col("removed_id").alias("first"), F.col("retained_id").alias("second"))
     is_kept = kept.select(F.col("id").alias("second"), F.lit(True).alias("_kept")).distinct()

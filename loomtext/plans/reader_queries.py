@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import similarity, verify
-from ..session import discard, materialise, table
+from ..session import materialise, table
 from ..sources import readers, sinks
 from .gate_queries import _DAY, _day, _folder, _nth
 from .queries import _N, _SHINGLES, ORACLES, _docs, _sets, query
@@ -150,9 +150,8 @@ def near_dup_violations(spark, sf):
     rows = _docs(spark, sf, "doc_id", "text").select(F.col("doc_id").alias("id"), "text", F.struct((-t.word_count(F.coalesce("text", F.lit("")))).alias("w"), F.col("doc_id").alias("id")).alias("rank"))
     sets = materialise(_sets(spark, sf), "shingles")
     gone = materialise(similarity.keep_distinct(rows.select("id", "rank"), sets, similarity.similar_pairs(sets, 0.8))[1], "gone")
-    discard(sets)  # the certificate makes its own of the texts
     third = F.pmod("removed_id", F.lit(3))
     removed = gone.where(third != 0).select("removed_id", F.when(third == 1, F.col("retained_id") + 1).otherwise(F.col("retained_id")).alias("retained_id"))
     kept = rows.select("id").join(removed.select(F.col("removed_id").alias("id")), "id", "left_anti")
     twice = rows.select("id").where(F.pmod("id", F.lit(101)) == 0).join(gone.select(F.col("removed_id").alias("id")), "id", "left_anti")
-    return verify.near_duplicate_violations(rows, kept, removed, twice)
+    return verify.near_duplicate_violations(rows, kept, removed, twice, sets=sets)
