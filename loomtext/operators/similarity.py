@@ -3,7 +3,8 @@
 A shingle is a 64-bit hash of `width` consecutive words (with inner apostrophes) of the normalized text. Exact mode finds
 every pair of at least the threshold. Shingles are ordered by value, those known to be common behind all others, and two sets of Jaccard similarity s
 or more share one of the first n - ceil(s n) + 1 (prefix), whatever the order. Where they share one, its places bound how much can be common (position), and so
-does the sum of the smaller counts of both sets in PARTITIONS groups of shingles (suffix). Only prefixes, and the whole sets of candidates, are ever shuffled.
+does the sum of the smaller counts of both sets in PARTITIONS groups of shingles (suffix). Only prefixes, and the whole sets of candidates, are ever shuffled;
+of Texts, whole sets are made again for the candidates, so the others are never written.
 Banded mode retrieves by MinHash bands.
 
 What shares a shingle or a band is a bucket. It is cut into blocks of some PART sets, and every two blocks are a cell: a task reads its cells one
@@ -16,6 +17,7 @@ import hashlib
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import lowered, normalized
-from ..session import materialise, written
+from ..session import discard, materialise, written
 from .graph import connected_components
 
 WIDTH = 7
@@ -36,6 +38,10 @@ PARTITIONS = 64
 ORDER_SHINGLES, COMMON = 4_000_000, 4
 #: Postings (an id and two numbers) up to which `overlaps` broadcasts its other side; beyond, both sides are shuffled.
 BROADCAST_POSTINGS = 500_000
+#: Ids up to which they are broadcast to what they pick or leave out; beyond, that is shuffled.
+BROADCAST_IDS = 1_000_000
+#: Shingles of prefixes that a task holds before it deals them out, and about how many of them meet in one row's worth of work.
+HELD, BUCKET = 1_000_000, 500_000
 #: The modulus of the permutations, and the bits of a value that a signature keeps.
 PRIME, VALUE = (1 << 61) - 1, (1 << 32) - 1
 _WORD = re.compile(r"\w+(?:['’]\w+)*")
@@ -68,6 +74,34 @@ def shingle_sets(rows: DataFrame, id: str = "id", text: str = "text", width: int
     return slim.mapInArrow(run, f"id {kind}, shingles array<bigint>, words long")
 
 
+@dataclass(frozen=True)
+class Texts:
+    """Rows whose shingle sets are made wherever they are needed, and never written as a whole."""
+
+    rows: DataFrame
+    id: str = "id"
+    text: str = "text"
+    width: int = WIDTH
+    as_sql: bool = False
+
+    def sets(self, rows: DataFrame | None = None) -> DataFrame:
+        return shingle_sets(self.rows if rows is None else rows, self.id, self.text, self.width, self.as_sql)
+
+    def some(self, shingles: int) -> DataFrame:
+        """Sets of rows with about so many shingles, of six characters each."""
+        length = self.rows.agg(F.sum(F.length(self.text).cast("long"))).first()[0] or 0
+        return self.sets(self.rows.where(F.pmod(F.xxhash64(self.id), F.lit(max(1, -(-length // (6 * shingles))))) == 0))
+
+    def named(self, ids: DataFrame) -> DataFrame:
+        """The sets of a working table of ids (id)."""
+        return self.sets(self.rows.join(_listed(ids).withColumnRenamed("id", self.id), self.id, "left_semi"))
+
+
+def _listed(ids: DataFrame) -> DataFrame:
+    """ids, to be broadcast up to a bounded number of them; a working table."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def jaccard(a, b):
     """Jaccard similarity of two arrays of distinct values; 0 when both are empty."""
     common = F.size(F.array_intersect(a, b))
@@ -108,28 +142,22 @@ def _digests(sets: DataFrame) -> DataFrame:
     return whole.select("id", F.col("words").cast("long").alias("words"), "shingles").mapInArrow(run, f"id {kind}, words long, n long, digest binary")
 
 
-def _collapsed(sets: DataFrame, among: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sets, copies, ones): sets, pairs of copies with the least id of their equals, and one row a set, of those that have an id (in `among`, if given) and aren't empty.
-
-    Whole sets are written once; digests find the copies, and ids leave them out.
-    """
-    sets = written(sets, "shingles")
-    keyed = _digests(sets)
-    if among is not None:
-        keyed = keyed.join(among.select("id").distinct(), "id", "left_semi")
-    keyed = materialise(keyed, "sets")
+def _copies(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(copies, pairs) of rows (id, words, digest): copies (id, words, least) with the least id of their equals, and the pairs of others with it."""
     # equal sets collapse before anything is paired: a group of n copies makes n-1 pairs with its least id
     least = keyed.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("copies")).where("copies > 1")
     copies = materialise(keyed.select("id", "words", "digest").join(least, "digest").select("id", "words", "least"), "copies")
-    out = copies.where("id <> least").select("id")
-    whole = sets.where((F.size("shingles") > 0) & F.col("id").isNotNull())
-    if among is not None:
-        out = out.unionByName(whole.select("id").join(keyed.select("id"), "id", "left_anti"))
-    ones = whole.join(materialise(out, "left-out"), "id", "left_anti")
     words = copies.where("id = least").select("least", F.col("words").alias("least_words"))
     ratio = F.least("words", "least_words") / F.greatest("words", "least_words")
-    pairs = copies.where("id <> least").join(words, "least").select(F.col("least").alias("first"), F.col("id").alias("second"), F.lit(1.0).alias("jaccard"), ratio.alias("word_ratio"))
-    return keyed, pairs, ones
+    return copies, copies.where("id <> least").join(words, "least").select(F.col("least").alias("first"), F.col("id").alias("second"), F.lit(1.0).alias("jaccard"), ratio.alias("word_ratio"))
+
+
+def _collapsed(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(copies, ones): pairs of copies with the least id of their equals, and one row a set, of those that have an id and aren't empty. Whole sets are written once."""
+    sets = written(sets, "shingles")
+    copies, pairs = _copies(materialise(_digests(sets), "sets"))
+    whole = sets.where((F.size("shingles") > 0) & F.col("id").isNotNull())
+    return pairs, whole.join(materialise(copies.where("id <> least").select("id"), "left-out"), "id", "left_anti")
 
 
 def _cells(members: DataFrame, bucket: str, compare: Callable[[dict[str, list], np.ndarray, np.ndarray], list[tuple]], schema: str) -> DataFrame:
@@ -202,25 +230,29 @@ def _histograms(ones: DataFrame) -> DataFrame:
     return ones.select("id", "shingles").mapInArrow(run, f"id {kind}, n long, parts binary")
 
 
-def _common_shingles(ones: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles, ascending, that are common among ORDER_SHINGLES, and how often they were met there."""
-    total = ones.agg(F.sum(F.size("shingles").cast("long"))).first()[0] or 0
-    every = max(1, -(-total // ORDER_SHINGLES))
-    some = ones.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select(F.explode("shingles").alias("shingle"))
-    found = some.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
+def _common_shingles(sets: DataFrame | Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles, ascending, that are common among some ORDER_SHINGLES, and how often they were met there."""
+    if isinstance(sets, Texts):
+        some = sets.some(ORDER_SHINGLES)
+    else:
+        total = sets.agg(F.sum(F.size("shingles").cast("long"))).first()[0] or 0
+        some = sets.where(F.pmod(F.xxhash64("id"), F.lit(max(1, -(-total // ORDER_SHINGLES)))) == 0)
+    found = some.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
     values, counts = found.column("shingle").to_numpy(), found.column("n").to_numpy()
     order = np.argsort(values)
     return values[order], counts[order]
 
 
-def _prefixes(ones: DataFrame, minimum: float) -> DataFrame:
-    """(shingle, id, n, place) of the first shingles of every set, in the order of the operator; places count from 1."""
-    kind = ones.schema["id"].dataType.simpleString()
-    common, counts = _common_shingles(ones)
+def summaries(sets: DataFrame | Texts, minimum: float = 0.8) -> DataFrame:
+    """(id, words, n, digest, prefix) of every set: its size, a digest, and its first shingles in the order of the operator; a working table."""
+    common, counts = _common_shingles(sets)
+    sets = sets.sets() if isinstance(sets, Texts) else sets
+    kind = sets.schema["id"].dataType.simpleString()
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             values, ends = batch.column("shingles").values.to_numpy(), batch.column("shingles").offsets.to_numpy()
+            each = [hashlib.md5(values[lo:hi].tobytes(), usedforsecurity=False).digest() for lo, hi in zip(ends, ends[1:], strict=False)]
             sizes = np.diff(ends)
             row = np.repeat(np.arange(batch.num_rows), sizes)
             values = values[ends[0] : ends[-1]]
@@ -231,10 +263,78 @@ def _prefixes(ones: DataFrame, minimum: float) -> DataFrame:
             order = np.lexsort((values, rank, row))
             place = np.arange(len(values)) - np.repeat(ends[:-1] - ends[0], sizes) + 1
             taken = place <= (sizes - np.ceil(sizes * minimum - 1e-9).astype(np.int64) + 1)[row]
-            row, values, place = row[taken], values[order][taken], place[taken]
-            yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), batch.column("id").take(pa.array(row)), pa.array(sizes[row], pa.int32()), pa.array(place, pa.int32())], ["shingle", "id", "n", "place"])
+            bounds = np.concatenate([[0], np.cumsum(np.bincount(row[taken], minlength=batch.num_rows))])
+            prefix = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values[order][taken], pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("words"), pa.array(sizes, pa.int64()), pa.array(each, pa.binary()), prefix], ["id", "words", "n", "digest", "prefix"])
+
+    slim = sets.select("id", F.col("words").cast("long").alias("words"), F.coalesce("shingles", F.array().cast("array<long>")).alias("shingles"))
+    return materialise(slim.mapInArrow(run, f"id {kind}, words long, n long, digest binary, prefix array<long>"), "sets")
+
+
+def _met_prefixes(ones: DataFrame) -> DataFrame:
+    """(shingle, id, n, place) of the shingles of prefixes that more than one set of ones (id, n, prefix) has there; places count from 1.
+
+    Shingles go by hash to buckets, as arrays with 32 bits of the hash each, so a row costs a few bytes. Different shingles that share a bucket and
+    these bits meet as if they were one, which adds candidates and takes none away.
+    """
+    kind = ones.schema["id"].dataType.simpleString()
+    buckets = max(1, -(-(ones.agg(F.sum(F.size("prefix").cast("long"))).first()[0] or 0) // BUCKET))
+
+    def deal(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def dealt(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            ends = rows.column("prefix").offsets.to_numpy()
+            sizes = np.diff(ends)
+            row, place = np.repeat(np.arange(rows.num_rows), sizes), np.arange(ends[-1] - ends[0]) - np.repeat(ends[:-1] - ends[0], sizes) + 1
+            h = rows.column("prefix").values.to_numpy()[ends[0] : ends[-1]].view(np.uint64)
+            for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+                h = (h ^ (h >> np.uint64(31))) * np.uint64(factor)
+            h ^= h >> np.uint64(32)
+            bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            present, begins = np.unique(bucket[order], return_index=True)
+            bounds = pa.array(np.append(begins, len(order)), pa.int32())
+            row = pa.array(row[order])
+            lists = [pa.array((h & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)[order]), rows.column("id").take(row), rows.column("n").take(row).cast(pa.int32()), pa.array(place[order], pa.int32())]
+            return pa.RecordBatch.from_arrays([pa.array(present, pa.int32()), *[pa.ListArray.from_arrays(bounds, x) for x in lists]], ["bucket", "hashes", "ids", "ns", "places"])
+
+        held, size = [], 0
+        for batch in found:
+            for begin in range(0, batch.num_rows, 1000):
+                part = batch.slice(begin, 1000)
+                held.append(part)
+                size += int(part.column("prefix").offsets[-1].as_py() - part.column("prefix").offsets[0].as_py())
+                if size > HELD:
+                    yield dealt(held)
+                    held, size = [], 0
+        if size:
+            yield dealt(held)
+
+    def meet(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def finish(bucket: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hashes, ids, ns, places = (pa.concat_arrays([b.column(c).flatten() for b in held]) for c in ("hashes", "ids", "ns", "places"))
+            plain = hashes.to_numpy()
+            order = np.argsort(plain, kind="stable")
+            same = plain[order][1:] == plain[order][:-1]
+            met = order[np.append(same, False) | np.append(False, same)]
+            for begin in range(0, len(met), 100_000):
+                some = met[begin : begin + 100_000]
+                shingle = (np.int64(bucket) << np.int64(32)) | plain[some].view(np.uint32).astype(np.int64)
+                some = pa.array(some)
+                yield pa.RecordBatch.from_arrays([pa.array(shingle, pa.int64()), ids.take(some), ns.take(some), places.take(some)], ["shingle", "id", "n", "place"])
+
+        held, now = [], None
+        for batch in found:
+            for begin, bucket in enumerate(batch.column("bucket").to_pylist()):
+                if held and bucket != now:
+                    yield from finish(now, held)
+                    held = []
+                held, now = [*held, batch.slice(begin, 1)], bucket
+        if held:
+            yield from finish(now, held)
 
-    return ones.select("id", "shingles").mapInArrow(run, f"shingle long, id {kind}, n int, place int")
+    dealt = ones.select("id", "n", "prefix").mapInArrow(deal, f"bucket int, hashes array<int>, ids array<{kind}>, ns array<int>, places array<int>")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, f"shingle long, id {kind}, n int, place int")
 
 
 def _within_histograms(pairs: DataFrame, ones: DataFrame, minimum: float) -> DataFrame:
@@ -257,9 +357,13 @@ def _within_histograms(pairs: DataFrame, ones: DataFrame, minimum: float) -> Dat
 
 def prefix_candidates(ones: DataFrame, minimum: float = 0.8) -> DataFrame:
     """(first, second) of different sets that pass the bounds of size, prefix, position and suffix: a superset of the pairs of at least `minimum`."""
+    return _within_histograms(_meetings(summaries(ones, minimum), minimum), ones, minimum)
+
+
+def _meetings(ones: DataFrame, minimum: float) -> DataFrame:
+    """(first, second) of ones (id, n, prefix) that pass the bounds of size, prefix and position; a working table."""
     kind = ones.schema["id"].dataType.simpleString()
-    met = _prefixes(ones, minimum).withColumn("_met", F.count("*").over(Window.partitionBy("shingle"))).where("_met > 1").drop("_met")
-    members = materialise(met, "prefixes")
+    members = materialise(_met_prefixes(ones), "prefixes")
 
     def compare(cell: dict[str, list], left: np.ndarray, right: np.ndarray) -> list[tuple]:
         n, place = np.array(cell["n"], dtype=np.int64), np.array(cell["place"], dtype=np.int64)
@@ -272,14 +376,28 @@ def prefix_candidates(ones: DataFrame, minimum: float = 0.8) -> DataFrame:
             out += [(ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i]) for j in others[fit].tolist()]
         return out
 
-    found = materialise(_cells(members, "shingle", compare, f"first {kind}, second {kind}").distinct(), "candidates")
-    return _within_histograms(found, ones, minimum)
+    return materialise(_cells(members, "shingle", compare, f"first {kind}, second {kind}").distinct(), "candidates")
+
 
+def similar_pairs(sets: DataFrame | Texts, minimum: float = 0.8, among: DataFrame | None = None, keyed: DataFrame | None = None) -> DataFrame:
+    """All pairs of at least `minimum` (first < second), exactly, of all sets or of those whose ids are in `among`. Equal sets are paired through one of them only.
 
-def similar_pairs(sets: DataFrame, minimum: float = 0.8, among: DataFrame | None = None) -> DataFrame:
-    """All pairs of at least `minimum` (first < second), exactly, of all sets or of those whose ids are in `among`. Equal sets are paired through one of them only."""
-    _, copies, ones = _collapsed(sets, among)
-    return pair_scores(prefix_candidates(ones, minimum), ones, minimum).unionByName(copies)
+    Summaries of the sets may be given; they are deleted.
+    """
+    if not isinstance(sets, Texts):
+        sets = written(sets, "shingles")
+    keyed = summaries(sets, minimum) if keyed is None else keyed
+    mine = keyed.where("n > 0 AND id IS NOT NULL")
+    if among is not None:
+        mine = mine.join(_listed(written(among.select("id").distinct(), "among")), "id", "left_semi")
+    copies, pairs = _copies(mine)
+    ones = mine.join(_listed(materialise(copies.where("id <> least").select("id"), "left-out")), "id", "left_anti")
+    found = _meetings(ones, minimum)
+    discard(keyed)
+    if isinstance(sets, Texts):
+        ids = found.select(F.col("first").alias("id")).unionByName(found.select(F.col("second").alias("id"))).distinct()
+        sets = materialise(sets.named(materialise(ids, "listed")), "named-sets")
+    return pair_scores(_within_histograms(found, sets, minimum), sets, minimum).unionByName(pairs)
 
 
 def permutations(count: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
@@ -330,7 +448,7 @@ def banded_pairs(sets: DataFrame, minimum: float = 0.8, bands: int = BANDS, rows
 
     Sets come to the cells of their buckets and are verified there, so only pairs of at least `minimum` are rows.
     """
-    _, copies, ones = _collapsed(sets)
+    copies, ones = _collapsed(sets)
     ones = materialise(ones, "ones")
     kind = ones.schema["id"].dataType.simpleString()
     keys = materialise(minhash_bands(ones, bands, rows), "bands")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import language, similarity, splits
-from .queries import _SHINGLES, _bucket_sql, _docs, _sets, query
+from .queries import _SHINGLES, _bucket_sql, _docs, _texts, query
 
 _LETTERS = r"' ' || trim(regexp_replace(lower({}), '[^\p{{L}}]+', ' ', 'g')) || ' '"
 
@@ -33,5 +33,5 @@ def language_check(spark, sf):
 @query(f"WITH {_SHINGLES} SELECT first, second, round(1 - pow(1 - pow(jaccard, {similarity.ROWS}), {similarity.BANDS}), 6) AS retrieved FROM j")
 def retrieval_probability(spark, sf):
     """How likely each pair of similar documents is to share a band."""
-    found = similarity.similar_pairs(_sets(spark, sf), 0.8).where("jaccard < 1")
+    found = similarity.similar_pairs(_texts(spark, sf), 0.8).where("jaccard < 1")
     return found.select("first", "second", F.round(t.lsh_probability(F.col("jaccard"), similarity.ROWS, similarity.BANDS), 6).alias("retrieved"))

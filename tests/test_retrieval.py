@@ -144,3 +144,29 @@ def test_benchmark_overlap_equals_its_sql_on_odd_texts_and_ids(spark, tmp_path):
     key = lambda rows: sorted(rows, key=str)
     got = key(tuple(r) for r in __spark_entry__.queries()["benchmark_overlap"](spark, str(tmp_path)).collect())
     assert len(got) > 10 and got == key(con.execute(__spark_entry__.oracle_sql()["benchmark_overlap"]).fetchall())
+
+
+def test_sets_of_texts_are_never_written_whole(spark, monkeypatch):
+    """All sets were written, twice the texts' size, and all prefixes shuffled as rows; now only the candidates' sets are."""
+    draw = random.Random(8)
+    bodies = {i: [f"w{draw.randrange(10**6)}" for _ in range(300)] for i in range(150)}
+    bodies |= {150: bodies[0][4:], 151: bodies[3], 152: bodies[4][:200], 153: ["short"], 154: bodies[0][:-4]}
+    rows = [(i, " ".join(words)) for i, words in bodies.items()] + [(155, None), (None, " ".join(bodies[7]))]
+    labels = {}
+    keep = similarity.materialise
+
+    def noted(df, label):
+        labels[label] = (keep(df, label), df.count())
+        return labels[label][0]
+
+    monkeypatch.setattr(similarity, "materialise", noted)
+    frame = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    brute = sorted(map(tuple, similarity.similar_pairs(keep(similarity.shingle_sets(frame), "given"), 0.8).collect()))
+    labels.clear()
+    for buckets, held, listed in ((500_000, 1_000_000, 1_000_000), (100, 50, 0)):
+        monkeypatch.setattr(similarity, "BUCKET", buckets)
+        monkeypatch.setattr(similarity, "HELD", held)
+        monkeypatch.setattr(similarity, "BROADCAST_IDS", listed)
+        assert sorted(map(tuple, similarity.similar_pairs(similarity.Texts(frame), 0.8).collect())) == brute
+        assert {(p[0], p[1]) for p in brute} == {(0, 150), (0, 154), (150, 154), (3, 151)}
+        assert labels["named-sets"][1] == 3 and "shingles" not in labels and labels["prefixes"][1] < 400
