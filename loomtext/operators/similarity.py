@@ -3,8 +3,8 @@
 A shingle is a 64-bit hash of `width` consecutive words (with inner apostrophes) of the normalized text. Exact mode finds
 every pair of at least the threshold. Shingles are ordered by value, those known to be common behind all others, and two sets of Jaccard similarity s
 or more share one of the first n - ceil(s n) + 1 (prefix), whatever the order. Where they share one, its places bound how much can be common (position), and so
-does the sum of the smaller counts of both sets in PARTITIONS groups of shingles (suffix). Only prefixes, and the whole sets of candidates, are ever shuffled;
-of Texts, whole sets are made again for the candidates, so the others are never written.
+does the number of those that they share, with all shingles behind the prefix (count). Only prefixes, and the whole sets of candidates, are ever shuffled;
+of Texts, whole sets are made again for the candidates, so none is ever written.
 Banded mode retrieves by MinHash bands.
 
 What shares a shingle or a band is a bucket. It is cut into blocks of some PART sets, and every two blocks are a cell: a task reads its cells one
@@ -32,8 +32,6 @@ WIDTH = 7
 BANDS, ROWS = 16, 8
 #: Sets of a block, of which every two of a bucket meet.
 PART = 256
-#: Groups of shingles whose counts bound what two sets can have in common.
-PARTITIONS = 64
 #: Shingles that are read to learn which are common, and how often one must be among them. They only order the shingles, which no result depends on.
 ORDER_SHINGLES, COMMON = 4_000_000, 4
 #: Postings (an id and two numbers) up to which `overlaps` broadcasts its other side; beyond, both sides are shuffled.
@@ -160,8 +158,8 @@ def _collapsed(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, whole.join(materialise(copies.where("id <> least").select("id"), "left-out"), "id", "left_anti")
 
 
-def _cells(members: DataFrame, bucket: str, compare: Callable[[dict[str, list], np.ndarray, np.ndarray], list[tuple]], schema: str) -> DataFrame:
-    """What `compare` finds in every two blocks of every bucket of members (bucket, id and more); buckets of one are left out.
+def _cells(members: DataFrame, bucket: str, compare: Callable[[dict[str, list], np.ndarray, np.ndarray], list[tuple]], schema: str, payload: DataFrame | None = None) -> DataFrame:
+    """What `compare` finds in every two blocks of every bucket of members (bucket, id and more); buckets of one are left out. A payload (id and more) joins the members once their cells are known.
 
     `compare` takes the columns of a cell as lists and the places of its two sides (the same ones for a block with itself), and returns rows.
     """
@@ -171,6 +169,8 @@ def _cells(members: DataFrame, bucket: str, compare: Callable[[dict[str, list],
     cell = F.xxhash64(F.col(bucket), F.least("_own", "_other"), F.greatest("_own", "_other"))
     dealt = dealt.select(bucket, F.least("_own", "_other").alias("_row"), F.greatest("_own", "_other").alias("_col"), F.when(F.col("_own") <= F.col("_other"), 0).otherwise(1).alias("_side"), cell.alias("_cell"), *[c for c in members.columns if c != bucket])
     keys = [bucket, "_row", "_col"]
+    if payload is not None:
+        dealt = payload.join(_listed(materialise(dealt, "cells")), "id").select(*dealt.columns, *[c for c in payload.columns if c != "id"])
     dealt = dealt.repartition("_cell").sortWithinPartitions(*keys)
     names = [n for n in dealt.columns if n not in (*keys, "_cell")]
     fields = [f.split()[0] for f in schema.split(", ")]
@@ -214,22 +214,6 @@ def _cells(members: DataFrame, bucket: str, compare: Callable[[dict[str, list],
     return dealt.mapInArrow(run, schema)
 
 
-def _histograms(ones: DataFrame) -> DataFrame:
-    """(id, n, parts): size of a set and how many of its shingles are in each of PARTITIONS groups, two bytes each."""
-    kind = ones.schema["id"].dataType.simpleString()
-
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            values, ends = batch.column("shingles").values.to_numpy(), batch.column("shingles").offsets.to_numpy()
-            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-            values = values[ends[0] : ends[-1]]
-            counts = np.bincount(row * PARTITIONS + (values & (PARTITIONS - 1)), minlength=batch.num_rows * PARTITIONS)
-            counts = np.minimum(counts, 65_535).astype("<u2").reshape(batch.num_rows, PARTITIONS)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(ends), pa.int64()), pa.array([c.tobytes() for c in counts], pa.binary())], ["id", "n", "parts"])
-
-    return ones.select("id", "shingles").mapInArrow(run, f"id {kind}, n long, parts binary")
-
-
 def _common_shingles(sets: DataFrame | Texts) -> tuple[np.ndarray, np.ndarray]:
     """Shingles, ascending, that are common among some ORDER_SHINGLES, and how often they were met there."""
     if isinstance(sets, Texts):
@@ -337,46 +321,50 @@ def _met_prefixes(ones: DataFrame) -> DataFrame:
     return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, f"shingle long, id {kind}, n int, place int")
 
 
-def _within_histograms(pairs: DataFrame, ones: DataFrame, minimum: float) -> DataFrame:
-    """The pairs (first, second) that pass the suffix bound; pairs is a working table."""
-    kind = ones.schema["id"].dataType.simpleString()
-    counts = _histograms(_sets_of(pairs, ones))
-    side = lambda name: counts.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("parts").alias(f"{name}_parts"))
-
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            n, m = batch.column("first_n").to_numpy(), batch.column("second_n").to_numpy()
-            parts = lambda name: np.frombuffer(b"".join(batch.column(name).to_pylist()), dtype="<u2").reshape(batch.num_rows, PARTITIONS)  # noqa: E731,B023
-            common = np.minimum(parts("first_parts"), parts("second_parts")).sum(axis=1, dtype=np.int64)
-            fit = (common >= minimum * (n + m) / (1 + minimum) - 1e-9) | (np.maximum(n, m) > 65_535)
-            yield batch.select(["first", "second"]).filter(pa.array(fit))
-
-    both = pairs.join(side("first"), "first").join(side("second"), "second")
-    return both.mapInArrow(run, f"first {kind}, second {kind}")
-
-
 def prefix_candidates(ones: DataFrame, minimum: float = 0.8) -> DataFrame:
-    """(first, second) of different sets that pass the bounds of size, prefix, position and suffix: a superset of the pairs of at least `minimum`."""
-    return _within_histograms(_meetings(summaries(ones, minimum), minimum), ones, minimum)
+    """(first, second) of different sets that pass the bounds of size, prefix, position and count: a superset of the pairs of at least `minimum`."""
+    return _meetings(summaries(ones, minimum).where("n > 0 AND id IS NOT NULL"), minimum)
 
 
 def _meetings(ones: DataFrame, minimum: float) -> DataFrame:
-    """(first, second) of ones (id, n, prefix) that pass the bounds of size, prefix and position; a working table."""
+    """The candidates among ones (id, n, prefix), a working table."""
     kind = ones.schema["id"].dataType.simpleString()
     members = materialise(_met_prefixes(ones), "prefixes")
 
     def compare(cell: dict[str, list], left: np.ndarray, right: np.ndarray) -> list[tuple]:
         n, place = np.array(cell["n"], dtype=np.int64), np.array(cell["place"], dtype=np.int64)
+        rest = np.ceil(n * minimum - 1e-9) - 1  # shingles behind the prefix
         ids, out = cell["id"], []
         for i in left.tolist():
             others = right[right > i] if left is right else right
             m = n[others]
             needed = np.ceil(minimum * (n[i] + m) / (1 + minimum) - 1e-9)
             fit = (np.minimum(n[i], m) >= minimum * np.maximum(n[i], m) - 1e-9) & (np.minimum(place[i], place[others]) + np.minimum(n[i] - place[i], m - place[others]) >= needed)
-            out += [(ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i]) for j in others[fit].tolist()]
+            # of the two last shingles of the prefixes one comes first; what is common is shared by the prefixes, or behind that one
+            least = needed - np.maximum(rest[i], rest[others])
+            out += [(ids[i], ids[j], x) if ids[i] < ids[j] else (ids[j], ids[i], x) for j, x in zip(others[fit].tolist(), least[fit].tolist(), strict=True)]
         return out
 
-    return materialise(_cells(members, "shingle", compare, f"first {kind}, second {kind}").distinct(), "candidates")
+    # every shared shingle of the prefixes meets once
+    found = _cells(members, "shingle", compare, f"first {kind}, second {kind}, least double").where("first <> second")
+    shared = found.groupBy("first", "second").agg(F.count("*").alias("shared"), F.min("least").alias("least"))
+    return materialise(shared.where("shared >= least").select("first", "second"), "candidates")
+
+
+def _scored(pairs: DataFrame, sets: DataFrame | Texts, minimum: float) -> DataFrame:
+    """(first, second, jaccard, word_ratio) of all pairs of at least `minimum` among pairs (first, second) of different sets, a working table, and maybe more such pairs.
+
+    Sets meet at the least id that has a pair with the first of theirs, so a group of near copies is sent there once and not once a pair.
+    """
+    home = pairs.groupBy(F.col("second").alias("first")).agg(F.min("first").alias("home"))
+    routed = pairs.join(home, "first", "left").withColumn("home", F.coalesce("home", "first"))
+    members = materialise(routed.select("home", F.col("first").alias("id")).unionByName(routed.select("home", F.col("second").alias("id"))).distinct(), "homes")
+    kind = members.schema["id"].dataType.simpleString()
+    if isinstance(sets, Texts):
+        payload = sets.named(materialise(members.select("id").distinct(), "listed"))
+    else:
+        payload = sets
+    return _cells(members, "home", _verified(minimum), f"first {kind}, second {kind}, jaccard double, word_ratio double", payload.select("id", "shingles", F.col("words").cast("long").alias("words"))).distinct()
 
 
 def similar_pairs(sets: DataFrame | Texts, minimum: float = 0.8, among: DataFrame | None = None, keyed: DataFrame | None = None) -> DataFrame:
@@ -394,10 +382,7 @@ def similar_pairs(sets: DataFrame | Texts, minimum: float = 0.8, among: DataFram
     ones = mine.join(_listed(materialise(copies.where("id <> least").select("id"), "left-out")), "id", "left_anti")
     found = _meetings(ones, minimum)
     discard(keyed)
-    if isinstance(sets, Texts):
-        ids = found.select(F.col("first").alias("id")).unionByName(found.select(F.col("second").alias("id"))).distinct()
-        sets = materialise(sets.named(materialise(ids, "listed")), "named-sets")
-    return pair_scores(_within_histograms(found, sets, minimum), sets, minimum).unionByName(pairs)
+    return _scored(found, sets, minimum).unionByName(pairs)
 
 
 def permutations(count: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
@@ -443,17 +428,8 @@ def minhash_bands(sets: DataFrame, bands: int = BANDS, rows: int = ROWS, seed: i
     return sets.select("id", "shingles").mapInArrow(run, f"id {kind}, band string")
 
 
-def banded_pairs(sets: DataFrame, minimum: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """All pairs of at least `minimum` among those that share a band (approximate retrieval). Equal sets are paired through one of them only.
-
-    Sets come to the cells of their buckets and are verified there, so only pairs of at least `minimum` are rows.
-    """
-    copies, ones = _collapsed(sets)
-    ones = materialise(ones, "ones")
-    kind = ones.schema["id"].dataType.simpleString()
-    keys = materialise(minhash_bands(ones, bands, rows), "bands")
-    crowded = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    members = keys.join(crowded, "band", "left_semi").join(ones, "id")
+def _verified(minimum: float) -> Callable[[dict[str, list], np.ndarray, np.ndarray], list[tuple]]:
+    """Compares the sets of a cell: rows (first, second, jaccard, word_ratio) of at least `minimum`."""
 
     def compare(cell: dict[str, list], left: np.ndarray, right: np.ndarray) -> list[tuple]:
         shingles, words, ids, out = [np.array(x, dtype=np.int64) for x in cell["shingles"]], np.array(cell["words"]), cell["id"], []
@@ -475,7 +451,22 @@ def banded_pairs(sets: DataFrame, minimum: float = 0.8, bands: int = BANDS, rows
                 out.append((*((ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i])), float(score[k]), float(ratio)))
         return out
 
-    found = _cells(members, "band", compare, f"first {kind}, second {kind}, jaccard double, word_ratio double")
+    return compare
+
+
+def banded_pairs(sets: DataFrame, minimum: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """All pairs of at least `minimum` among those that share a band (approximate retrieval). Equal sets are paired through one of them only.
+
+    Sets come to the cells of their buckets and are verified there, so only pairs of at least `minimum` are rows.
+    """
+    copies, ones = _collapsed(sets)
+    ones = materialise(ones, "ones")
+    kind = ones.schema["id"].dataType.simpleString()
+    keys = materialise(minhash_bands(ones, bands, rows), "bands")
+    crowded = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    members = keys.join(crowded, "band", "left_semi").join(ones, "id")
+
+    found = _cells(members, "band", _verified(minimum), f"first {kind}, second {kind}, jaccard double, word_ratio double")
     return found.distinct().unionByName(copies)
 
 

@@ -169,4 +169,4 @@ def test_sets_of_texts_are_never_written_whole(spark, monkeypatch):
         monkeypatch.setattr(similarity, "BROADCAST_IDS", listed)
         assert sorted(map(tuple, similarity.similar_pairs(similarity.Texts(frame), 0.8).collect())) == brute
         assert {(p[0], p[1]) for p in brute} == {(0, 150), (0, 154), (150, 154), (3, 151)}
-        assert labels["named-sets"][1] == 3 and "shingles" not in labels and labels["prefixes"][1] < 400
+        assert labels["listed"][1] == 3 and not any("shingles" in t.columns for t, _ in labels.values()) and labels["prefixes"][1] < 400
