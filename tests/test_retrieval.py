@@ -170,3 +170,15 @@ def test_sets_of_texts_are_never_written_whole(spark, monkeypatch):
         assert sorted(map(tuple, similarity.similar_pairs(similarity.Texts(frame), 0.8).collect())) == brute
         assert {(p[0], p[1]) for p in brute} == {(0, 150), (0, 154), (150, 154), (3, 151)}
         assert labels["listed"][1] == 3 and not any("shingles" in t.columns for t, _ in labels.values()) and labels["prefixes"][1] < 400
+
+
+def test_components_and_kept_rows_write_sizes_only(spark, sf, monkeypatch):
+    """near_dup_components and near_dup_keep wrote every shingle set for the sake of ids and sizes."""
+    from loomtext.plans import queries
+
+    seen = []
+    for module in (queries, similarity):
+        monkeypatch.setattr(module, "materialise", lambda df, label, keep=module.materialise: seen.append(df.columns) or keep(df, label))
+    queries.near_dup_components(spark, sf)
+    queries.near_dup_keep(spark, sf)
+    assert ["id", "words", "n"] in seen and not any("shingles" in columns for columns in seen)
